@@ -1,0 +1,35 @@
+"""Connected components of an edge table by alternating large-star and small-star steps."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from strandline.llm.common import cut_lineage
+
+
+def _starred(both: DataFrame) -> DataFrame:
+    """Rows (u, v, m): m is the smallest of u and its neighbours."""
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return both.join(least, "u")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """From rows (a, b): (node, root) of every node that has an edge to another; root is the smallest node reachable.
+
+    Each round writes the edges to the shared checkpoint folder; rounds grow with the logarithm of the
+    longest path. Minima are taken before rows meet, so a node with very many edges is no hot spot.
+    """
+    edges = cut_lineage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    said = None
+    while True:
+        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        large = _starred(both).filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
+        edges = cut_lineage(small.filter("a <> b").distinct())
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == said:
+            break
+        said = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(edges.select(F.col("b"), F.col("b"))).distinct()

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from strandline.llm import substring_dedup, suffix_dedup
+from strandline.llm import quality_rules, simhash, source_mix, substring_dedup, suffix_dedup
 
 
 def queries() -> dict:
     return {
+        "op1_source_mix": source_mix.op1_source_mix,
+        "op2_simhash": simhash.op2_simhash,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op8_quality_rules": quality_rules.op8_quality_rules,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_source_mix": source_mix.ORACLE,
+        "op8_quality_rules": quality_rules.ORACLE,
+    }

@@ -34,6 +34,8 @@ from strandline.llm.common import mix, order_id, slabs
 
 #: Symbols that one numpy pass holds; longer texts are passed in pieces that overlap by a window.
 SLAB = 1 << 18
+#: Symbols between two listed windows that are named along rather than left out.
+GAP = 1 << 11
 #: Runs that a task compares at once before it sends the earliest of each kind on.
 GATHER = 1 << 19
 
@@ -117,7 +119,7 @@ class Plan:
     def stretches(self, text: str, places: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
         """The starts of the windows at ``places`` in pieces of bounded length: starts less their base, the base, the symbols."""
         data, every = self.symbols(text), self.starts(places)
-        cut = np.flatnonzero((np.diff(every) > self.length) | (np.diff(every // SLAB) > 0)) + 1
+        cut = np.flatnonzero((np.diff(every) > GAP) | (np.diff(every // SLAB) > 0)) + 1
         for part in np.split(every, cut):
             yield part - part[0], int(part[0]), data[part[0] : part[-1] + self.length]
 
