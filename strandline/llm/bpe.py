@@ -117,7 +117,7 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*ids, np.empty(0, np.int32)]), pa.int32()))
 
 
-def _few(batch: pa.RecordBatch, most: int = 1 << 22):
+def few(batch: pa.RecordBatch, most: int = 1 << 22):
     """Parts of a batch of at most so many bytes, or one row."""
     ends = np.cumsum([len(x.as_buffer() or b"") if x.is_valid else 0 for x in batch.column("text")]) if batch.num_rows else []
     a = 0
@@ -127,6 +127,18 @@ def _few(batch: pa.RecordBatch, most: int = 1 << 22):
         a = b
 
 
+def long_parts(rows: DataFrame, keys: list[str], size: int, overlap: int) -> tuple[DataFrame, str]:
+    """The texts longer than ``size`` in parts, one row each, dealt out evenly, and the types of the columns that tell texts and parts apart. Repeated rows are one text and a count."""
+    long = rows.filter(F.length("text") > size).groupBy(*keys, F.xxhash64("text").alias("__mark"), F.sha2("text", 256).alias("__sha")).agg(F.count("*").alias("__n"), F.first("text").alias("text"))
+    starts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / size).cast("int"))
+    parts = F.posexplode(F.transform(starts, lambda i: F.substring("text", i * size + 1, F.lit(size + overlap))))
+    return long.select(*keys, "__mark", "__sha", "__n", parts.alias("__part", "text")).repartition(*keys, "__mark", "__part"), "__mark long, __sha string, __n long, __part int"
+
+
+def repeated(whole: DataFrame) -> DataFrame:
+    return whole.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+
+
 def encode(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """Rows (*keys, ids, decoded) of all rows of docs; the text column is text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -136,7 +148,7 @@ def encode(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     def ids_of(batches, decoded=True):
         own = codec(path)
         for whole in batches:
-            for b in _few(whole):
+            for b in few(whole):
                 ids = own.batch(b.column("text").to_pylist())
                 columns = [*[b.column(k) for k in b.schema.names if k != "text"], _lists(ids)]
                 names = [*[k for k in b.schema.names if k != "text"], "ids"]
@@ -158,15 +170,11 @@ def encode(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], _lists(out), pa.array([own.text(x.tolist()) for x in out], pa.string())], [*rest, "ids", "decoded"])
 
     short = rows.filter(F.length("text") <= PART).mapInArrow(ids_of, f"{types}, ids array<int>, decoded string")
-    # repeated rows are encoded once and counted
-    long = rows.filter(F.length("text") > PART).groupBy(*keys, F.xxhash64("text").alias("__mark"), F.sha2("text", 256).alias("__sha")).agg(F.count("*").alias("__n"), F.first("text").alias("text"))
-    starts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PART).cast("int"))
-    parts = long.select(*keys, "__mark", "__sha", "__n", F.posexplode(F.transform(starts, lambda i: F.substring("text", i * PART + 1, F.lit(PART)))).alias("__part", "text"))
-    parts = parts.repartition(*keys, "__mark", "__part").mapInArrow(lambda b: ids_of(b, False), f"{types}, __mark long, __sha string, __n long, __part int, ids array<int>")
+    parts, of = long_parts(rows, keys, PART, 0)
+    parts = parts.mapInArrow(lambda b: ids_of(b, False), f"{types}, {of}, ids array<int>")
     tree = parts.groupBy(*keys, "__mark", "__sha", "__n").agg(F.array_sort(F.collect_list(F.struct("__part", "ids"))).alias("parts"))
-    whole = tree.mapInArrow(joined_ids, f"{types}, __mark long, __sha string, __n long, ids array<int>, decoded string")
-    again = whole.withColumn("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
-    return short.unionAll(again.select(*keys, "ids", "decoded"))
+    whole = tree.mapInArrow(joined_ids, f"{types}, {of.replace(', __part int', '')}, ids array<int>, decoded string")
+    return short.unionAll(repeated(whole).select(*keys, "ids", "decoded"))
 
 
 def vocabulary(name: str) -> str:

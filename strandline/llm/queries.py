@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from strandline.llm import quality_rules, simhash, source_mix, substring_dedup, suffix_dedup
+from strandline.llm import bpe, quality_rules, simhash, source_mix, substring_dedup, suffix_dedup, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_source_mix": source_mix.op1_source_mix,
         "op2_simhash": simhash.op2_simhash,
+        "op4_bpe": bpe.op4_bpe,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+        "op7_token_counts": token_counts.op7_token_counts,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     }

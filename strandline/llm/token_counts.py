@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.bpe import _few, vocabulary
+from strandline.llm.bpe import few, long_parts, repeated, vocabulary
 from strandline.llm.common import table
 
 CHUNK, OVERLAP, LIMIT, HELD = 1 << 16, 256, 2048, 400_000
@@ -46,45 +46,28 @@ class Counter:
         return [sum([held[w] for w in own]) for own in words]
 
     def starts(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
-        """The number of tokens; the offsets of those right after white space, and their numbers."""
+        """The number of tokens; the offsets of those that begin right after white space, and their numbers."""
         begin = [a for a, _ in self.model.encode(text, add_special_tokens=False).offsets]
-        number = [k for k, a in enumerate(begin) if (k == 0 or begin[k - 1] != a) and a and text[a - 1] in SPACE]
+        number = [k for k, a in enumerate(begin) if a and text[a - 1] in SPACE and (k == 0 or begin[k - 1] != a)]
         return len(begin), np.array([begin[k] for k in number], np.int64), np.array(number, np.int64)
 
-    def spliced(self, chunks: list[str], step: int = CHUNK) -> int:
-        """The number of tokens of a document from its overlapping chunks, each of which begins ``step`` after the last."""
-        total, skip = 0, 0
-        seen = [self.starts(c) for c in chunks]
-        for k, (n, at, number) in enumerate(seen):
-            if k + 1 == len(chunks):
-                return total + n - skip
-            own, wide = chunks[k], OVERLAP
+    def spliced(self, text: str, chunks: list[tuple[int, np.ndarray, np.ndarray]], step: int = CHUNK, overlap: int = OVERLAP) -> int:
+        """The number of tokens of a text from ``starts`` of its chunks, each of which begins ``step`` after the last and overlaps the next."""
+        total, skip, begin = 0, 0, 0
+        n, at, number = chunks[0]
+        for k, (n_next, at_next, number_next) in enumerate(chunks[1:], 1):
+            wide = overlap
             while True:
-                common, i, j = np.intersect1d(at - step, seen[k + 1][1], return_indices=True)
-                use = np.flatnonzero(common < len(own) - step)
-                if len(use):
-                    total += int(number[i[use[0]]]) - skip
-                    skip = int(seen[k + 1][2][j[use[0]]])
+                common, i, j = np.intersect1d(at + begin, at_next + k * step, return_indices=True)
+                if len(common):
+                    total += int(number[i[0]]) - skip
+                    n, at, number, skip, begin = n_next, at_next, number_next, int(number_next[j[0]]), k * step
                     break
                 wide *= 2
-                later = own[:step] + self._rest(chunks, k + 1, step, wide)
-                if len(later) == len(own):  # the document has no such place from here on
-                    return total + n - skip
-                if wide > step:  # past the next chunk: that one is taken in whole
-                    merged = own[:step] + chunks[k + 1]
-                    return total - skip + self.spliced_from(merged, chunks[k + 2 :], step, k, chunks)
-                own = later
-                n, at, number = self.starts(own)
-        return total
-
-    def spliced_from(self, first: str, rest: list[str], step: int, k: int, chunks: list[str]) -> int:
-        """The same where the first chunk has taken in its neighbour: the text from there on as one."""
-        whole = first + "".join(c[OVERLAP:] if n or first else c for n, c in enumerate(rest)) if rest else first
-        return len(self.model.encode_batch_fast([whole], add_special_tokens=False)[0].ids)
-
-    @staticmethod
-    def _rest(chunks: list[str], k: int, step: int, n: int) -> str:
-        return "".join(c[:step] if i + k + 1 < len(chunks) else c for i, c in enumerate(chunks[k:]))[:n]
+                n, at, number = self.starts(text[begin : k * step + min(wide, step + overlap)])
+                if wide >= step + overlap:  # the next chunk is taken in whole
+                    break
+        return total + n - skip
 
 
 @lru_cache(2)
@@ -101,8 +84,33 @@ def token_counts(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     def counted(batches):
         own = counter(path)
         for whole in batches:
-            for b in _few(whole):
+            for b in few(whole):
                 rest = [k for k in b.schema.names if k != "text"]
                 yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], pa.array(own.batch(b.column("text").to_pylist()), pa.int64())], [*rest, "n_tokens"])
 
-    raise NotImplementedError
+    def offsets(batches):
+        own = counter(path)
+        for b in batches:
+            found = [own.starts(x.as_py()) for x in b.column("text")]
+            rest = [k for k in b.schema.names if k != "text"]
+            own_text = pa.array([x.as_py()[:CHUNK] for x in b.column("text")], pa.string())
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], own_text, pa.array([f[0] for f in found], pa.int64()), *[pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in (1, 2)]], [*rest, "own", "n", "at", "number"])
+
+    def spliced(batches):
+        own = counter(path)
+        for b in batches:
+            n = [own.spliced("".join([c["own"] for c in doc]), [(c["n"], np.array(c["at"], np.int64), np.array(c["number"], np.int64)) for c in doc]) for doc in map(lambda x: x.as_py(), b.column("chunks"))]
+            rest = [k for k in b.schema.names if k != "chunks"]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], pa.array(n, pa.int64())], [*rest, "n_tokens"])
+
+    short = rows.filter(F.length("text") <= CHUNK).mapInArrow(counted, f"{types}, n_tokens long")
+    parts, of = long_parts(rows, [*keys, "n_bytes"], CHUNK, OVERLAP)
+    each = parts.mapInArrow(offsets, f"{types}, {of}, own string, n long, at array<long>, number array<long>")
+    docs_of = each.groupBy(*keys, "n_bytes", "__mark", "__sha", "__n").agg(F.array_sort(F.collect_list(F.struct("__part", "own", "n", "at", "number"))).alias("chunks"))
+    whole = docs_of.mapInArrow(spliced, f"{types}, {of.replace(', __part int', '')}, n_tokens long")
+    return short.unionAll(repeated(whole).select(*keys, "n_bytes", "n_tokens"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), ["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
