@@ -105,6 +105,11 @@ def write(payload: bytes) -> bytes:
     return b"".join([*out, b"\xff\xd9"])
 
 
+@lru_cache(64)
+def codes_of(counts: bytes, symbols: bytes) -> "Codes":
+    return Codes(counts, symbols)
+
+
 class Codes:
     """A Huffman table."""
 
@@ -143,6 +148,24 @@ class Bits:
         return value if n == 0 or value >> (n - 1) else value - (1 << n) + 1
 
 
+@lru_cache(512)
+def scan_order(height: int, width: int, sampling: tuple, members: tuple) -> tuple[np.ndarray, np.ndarray]:
+    most_h, most_v = max(h for h, _ in sampling), max(v for _, v in sampling)
+    high, wide = -(-height // (8 * most_v)), -(-width // (8 * most_h))
+    base = np.cumsum([0, *[high * v * wide * h for h, v in sampling]])
+    which, block = [], []
+    for m, c in enumerate(members):
+        h, v = sampling[c]
+        grid = base[c] + np.arange(high * v * wide * h).reshape(high * v, wide * h)
+        if len(members) == 1:
+            grid = grid[: -(-(-(-height * v // most_v)) // 8), : -(-(-(-width * h // most_h)) // 8)].reshape(-1, 1)
+        else:
+            grid = grid.reshape(high, v, wide, h).transpose(0, 2, 1, 3).reshape(high * wide, -1)
+        block.append(grid)
+        which.append(np.full(grid.shape, m))
+    return np.concatenate(which, axis=1).reshape(-1), np.concatenate(block, axis=1).reshape(-1)
+
+
 class Frame:
     """What ``read`` gives: coefficients of each component in scan order, and how to make pixels of them."""
 
@@ -155,27 +178,12 @@ class Frame:
         self.base = np.cumsum([0, *sizes])
         self.blocks = np.zeros((self.base[-1], 64), np.int32)  # of all components, one after another
         self.coefficients = [self.blocks[a : a + n].reshape(self.high * v, self.wide * h, 64) for a, n, h, v in zip(self.base, sizes, self.h, self.v, strict=False)]
-        self.orders: dict[tuple, tuple] = {}
         self.quant: dict[int, np.ndarray] = {}
         self.note = b""
 
     def order(self, members: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The blocks of a scan in order: which member, and which of all blocks."""
-        if (key := tuple(members)) not in self.orders:
-            which, block = [], []
-            for m, c in enumerate(members):
-                rows, cols, _ = self.coefficients[c].shape
-                grid = self.base[c] + np.arange(rows * cols).reshape(rows, cols)
-                if len(members) == 1:
-                    rows = -(-(-(-self.height * self.v[c] // max(self.v))) // 8)
-                    cols = -(-(-(-self.width * self.h[c] // max(self.h))) // 8)
-                    grid = grid[:rows, :cols].reshape(-1, 1)
-                else:
-                    grid = grid.reshape(self.high, self.v[c], self.wide, self.h[c]).transpose(0, 2, 1, 3).reshape(self.high * self.wide, -1)
-                block.append(grid)
-                which.append(np.full(grid.shape, m))
-            self.orders[key] = np.concatenate(which, axis=1).reshape(-1), np.concatenate(block, axis=1).reshape(-1)
-        return self.orders[key]
+        return scan_order(self.height, self.width, tuple(zip(self.h, self.v, strict=True)), tuple(members))
 
     def pixels(self) -> np.ndarray:
         """The full-resolution RGB tensor: inverse transform, chroma upsampled by repetition."""
@@ -321,7 +329,7 @@ def read(stream: bytes, quick: bool = True) -> Frame:
         elif marker == 0xC4:
             while body:
                 n = sum(body[1:17])
-                (ac if body[0] >> 4 else dc)[body[0] & 15] = Codes(body[1:17], body[17 : 17 + n])
+                (ac if body[0] >> 4 else dc)[body[0] & 15] = codes_of(body[1:17], body[17 : 17 + n])
                 body = body[17 + n :]
         elif marker == 0xC2:
             frame = Frame(body)
