@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from strandline.llm import bpe, quality_rules, simhash, source_mix, substring_dedup, suffix_dedup, token_counts
+from strandline.llm import bpe, masked_lm, media, quality_rules, simhash, source_mix, substring_dedup, suffix_dedup, token_counts, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_source_mix": source_mix.op1_source_mix,
         "op2_simhash": simhash.op2_simhash,
+        "op3_masked_lm": masked_lm.op3_masked_lm,
         "op4_bpe": bpe.op4_bpe,
+        "op5_url_filter": url_filter.op5_url_filter,
         "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op7_token_counts": token_counts.op7_token_counts,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "op9_media": media.op9_media,
         "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op1_source_mix": source_mix.ORACLE,
-        "op8_quality_rules": quality_rules.ORACLE,
-    }
+    return {"op1_source_mix": source_mix.ORACLE, "op8_quality_rules": quality_rules.ORACLE}
