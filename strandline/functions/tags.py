@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,5 +72,5 @@ def alarms(metrics, rules: list[dict]):
             seen.add(i)
         return chain
 
-    rows = [F.when(F.col(r["id"]) & ~F.coalesce(F.greatest(*[F.col(a) for a in above(r["id"])], F.lit(False)), F.lit(False)), F.struct(F.lit(r["id"]).alias("id"), F.col(f"{r['id']}__text").alias("message"), F.lit(r["level"]).alias("level"))) for r in rules]
+    rows = [F.when(F.col(r["id"]) & ~reduce(lambda x, y: x | y, [F.col(a) for a in above(r["id"])], F.lit(False)), F.struct(F.lit(r["id"]).alias("id"), F.col(f"{r['id']}__text").alias("message"), F.lit(r["level"]).alias("level"))) for r in rules]
     return raised.select(F.explode(F.array_compact(F.array(*rows))).alias("a")).select("a.*")

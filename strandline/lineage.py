@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -13,3 +13,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # tests only: no cluster has named one
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # tests only: no cluster has named one
+        named = spark.sparkContext.getCheckpointDir()
+    return named

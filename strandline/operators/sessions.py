@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def _numbered(df: DataFrame, by: list[str], order: list, new: Column, name: str) -> DataFrame:
@@ -50,7 +51,8 @@ def clusters(df: DataFrame, by: list[str], window: int, most: int | None = None)
     if most is None:
         return _numbered(df, by, ["start", "end"], F.col("start") > F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)) + window, "cluster")
     # the bound depends on where the cluster began: chains without it are cut apart first, so that groups stay short
-    chained = clusters(df, by, window).withColumnRenamed("cluster", "__chain")
+    whole = W.partitionBy(*by, "__chain")
+    chained = clusters(df, by, window).withColumnRenamed("cluster", "__chain").withColumn("__long", F.max("end").over(whole) - F.min("start").over(whole) > most)
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "end"], kind="stable")
@@ -62,10 +64,10 @@ def clusters(df: DataFrame, by: list[str], window: int, most: int | None = None)
             reach = max(reach, e)
         return pdf.assign(__part=number)
 
-    schema = chained.schema.add("__part", "long")
-    parts = chained.groupBy(*by, "__chain").applyInPandas(cut, schema)
+    schema = StructType([*chained.schema.fields, StructField("__part", LongType())])
+    parts = chained.filter("__long").groupBy(*by, "__chain").applyInPandas(cut, schema).unionByName(chained.filter(~F.col("__long")).withColumn("__part", F.lit(1).cast("long")))
     rank = F.dense_rank().over(W.partitionBy(*by).orderBy("__chain", "__part"))
-    return parts.withColumn("cluster", rank.cast("long")).drop("__chain", "__part")
+    return parts.withColumn("cluster", rank.cast("long")).drop("__chain", "__part", "__long")
 
 
 def islands(df: DataFrame, by: list[str], pos: str) -> DataFrame:

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandline.plans import base, intervals, matching, models, records, sessions, statistics  # noqa: F401  each registers its queries
+
 
 def queries() -> dict:
-    return {}
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(base.SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Molecules by gap sessions."""
+    return sessions.session_molecules(spark, sf_dir)

@@ -101,8 +101,8 @@ def by_allele(variants: DataFrame) -> DataFrame:
     """One row for each alternative allele, with its number from 1, trimmed of what it shares with the reference: first the suffix, then the prefix."""
     rows = variants.select("*", F.posexplode("alts").alias("__n", "alt")).withColumn("allele", F.col("__n") + 1).drop("__n")
     common = lambda a, b: F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)) - 1, F.lit(1))), lambda k: (k < F.length(a)) & (k < F.length(b)) & (F.substring(a, F.lit(1), k) == F.substring(b, F.lit(1), k))))
-    tail = common(F.reverse("ref"), F.reverse("alt"))
-    rows = rows.withColumns({"ref": F.substring("ref", F.lit(1), F.length("ref") - tail), "alt": F.substring("alt", F.lit(1), F.length("alt") - tail)})
+    rows = rows.withColumn("__tail", common(F.reverse("ref"), F.reverse("alt")))
+    rows = rows.withColumns({c: F.expr(f"substring({c}, 1, length({c}) - __tail)") for c in ("ref", "alt")}).drop("__tail")
     head = common(F.col("ref"), F.col("alt"))
     return rows.withColumn("__head", head).withColumns({"pos": F.col("pos") + F.col("__head"), "ref": F.expr("substring(ref, __head + 1)"), "alt": F.expr("substring(alt, __head + 1)")}).drop("__head")
 
@@ -162,7 +162,7 @@ def sample_sheet(df: DataFrame, order: str, lanes: int) -> DataFrame:
     section = F.last(F.nullif(F.regexp_extract("value", r"^\[(\w+)\]", 1), F.lit("")), ignorenulls=True).over(W.partitionBy().orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))  # a sheet is one small file
     own = df.withColumn("section", section).filter("section = 'Data'").withColumn("f", F.split("value", ",")).filter((F.size("f") >= 3) & (_at(0) != "Lane"))
     lane = F.when(_at(0) == "*", F.transform(F.sequence(F.lit(1), F.lit(lanes)), lambda x: x.cast("string"))).otherwise(F.split(_at(0), "-"))
-    return own.select(F.explode(lane).cast("int").alias("lane"), _at(1).alias("sample"), _at(2).alias("index"))
+    return own.select(F.explode(lane).alias("lane"), _at(1).alias("sample"), _at(2).alias("index")).withColumn("lane", F.col("lane").cast("int"))
 
 
 def sanitised(c: Column) -> Column:

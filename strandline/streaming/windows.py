@@ -11,7 +11,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def events(spark: SparkSession, path: str, schema: str, files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+    """The Parquet files of a folder, or one file, as a stream."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    if own.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(own).isDirectory():
+        return source.parquet(path)
+    return source.option("pathGlobFilter", own.getName()).parquet(own.getParent().toString())
 
 
 def counts(df: DataFrame, time: str, keys: list[str], size: str, step: str | None = None, late: str = "1 hour") -> DataFrame:
