@@ -39,16 +39,6 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the shared folder that the cluster names, so that a lost executor costs one stage."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # tests only: no cluster has named one
-    return df.checkpoint()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = x ^ (x >> np.uint64(32))

@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.llm.common import NO_ID, cut_lineage, order_id, table
-from strandline.llm.components import components
+from strandline.lineage import cut_lineage
+from strandline.llm.common import NO_ID, order_id, table
 from strandline.llm.windows import text_mark
+from strandline.operators.graph import components
 
 WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 SEGMENTS = ((0, 22, 0), (22, 21, 1), (43, 21, 1))  # first bit, bits, radius

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strandline.llm.common import cut_lineage, n_words, table, words
+from strandline.lineage import cut_lineage
+from strandline.llm.common import n_words, table, words
 
 SEED, BLOCK, MOST, SHARDS = 17, 16, 3, 256
 PRIME = 2147483647
