@@ -1,8 +1,7 @@
 """BPE encoding and decoding with a public byte-level vocabulary, exactly as its library encodes whole texts.
 
 A space between two characters that aren't white space always begins a new piece of the vocabulary's
-pattern, so texts are encoded word by word and words that a worker has met are looked up. Text without
-such a space that is longer than ``LEAF``, and documents longer than ``PART``, are encoded by tree
+pattern. Text without such a space that is longer than ``LEAF``, and documents longer than ``PART``, are encoded by tree
 concatenation: halves are encoded on their own (the parts of a document as rows of their own, in
 parallel), and at each join a window of tokens is encoded again and doubled until its first and last
 tokens agree exactly with both sides. Tokens of a text are the right ones if each neighbouring pair is,
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm.common import table
 
-LEAF, PART, WINDOW, MARGIN, HELD = 1 << 12, 1 << 16, 8, 16, 300_000
+LEAF, PART, WINDOW, MARGIN = 1 << 12, 1 << 16, 8, 16
 _CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
@@ -35,8 +34,15 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: The pattern of byte-level vocabularies of this kind, as the second library takes it. Fixed value.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of characters that every Unicode version classes alike, and none of the special tokens, go to the faster library.
+_OTHER = re.compile("[^\x00-\u04ff]")
+
+
 class Codec:
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -46,7 +52,10 @@ class Codec:
         self.bytes_of = [b""] * self.model.get_vocab_size()
         for token, i in self.model.get_vocab().items():
             self.bytes_of[i] = token.encode() if token in special else bytes(chars[c] for c in token)
-        self.held: dict[str, bytes] = {}
+        self.special = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
+        # the ids of such vocabularies are the order of their merges, which is what the other library takes
+        self.ranks = {t: i for i, t in enumerate(self.bytes_of) if t.decode("utf-8", "replace") not in special}
+        self.quick = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
@@ -54,7 +63,7 @@ class Codec:
     def unsplit(self, text: str, leaf: int | None = None) -> np.ndarray:
         """Ids of a text that may have no place to cut it: halves, joined."""
         if len(text) <= (leaf or LEAF):
-            return np.array(self.library([text])[0], np.int32)
+            return self.whole(text)
         half = len(text) // 2
         return self.joined(self.unsplit(text[:half], leaf), self.unsplit(text[half:], leaf))
 
@@ -67,7 +76,7 @@ class Codec:
                 i -= 1
             while j < len(right) and self.bytes_of[right[j]][0] & 0xC0 == 0x80:
                 j += 1
-            new = np.array(self.library([self.text([*left[i:], *right[:j]])])[0], np.int32)
+            new = self.whole(self.text([*left[i:].tolist(), *right[:j].tolist()]))
             if (i == 0 or self._agree(new, left[i:])) and (j == len(right) or self._agree(new[::-1], right[:j][::-1])):
                 return np.concatenate((left[:i], new, right[j:]))
             k *= 2
@@ -86,21 +95,24 @@ class Codec:
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        words = [_CUT.split(t) for t in texts]
-        held, new, first = self.held, set(), set()
-        for own in words:
-            first.add(own[0])
-            new.update(own[1:])
-        if len(held) + len(new) > HELD:
-            held.clear()
-        asked = [" " + w for w in new if " " + w not in held] + [w for w in first if w not in held]
-        short = [w for w in asked if len(w) <= LEAF]
-        for w, ids in zip(short, self.library(short), strict=True):
-            held[w] = np.array(ids, np.int32).tobytes()
-        for w in asked:
+        return [self.cut(t) if len(t) > LEAF and max(map(len, t.split(" "))) > LEAF else self.whole(t) for t in texts]
+
+    def whole(self, text: str) -> np.ndarray:
+        if _OTHER.search(text) or self.special and self.special.search(text):
+            return np.array(self.library([text])[0], np.int32)
+        return np.asarray(self.quick.encode_to_numpy(text, disallowed_special=())).astype(np.int32)
+
+    def cut(self, text: str) -> np.ndarray:
+        """The ids of a text with words longer than LEAF: between cuts that are sure, the words by trees and the rest as it is."""
+        out, held = [], ""
+        first, *rest = _CUT.split(text)
+        for w in [first, *[" " + w for w in rest]]:
             if len(w) > LEAF:
-                held[w] = self.unsplit(w).tobytes()
-        return [np.frombuffer(b"".join([held[own[0]], *[held[" " + w] for w in own[1:]]]), np.int32) for own in words]
+                out += [self.whole(held)] * bool(held) + [self.unsplit(w)]
+                held = ""
+            else:
+                held += w
+        return np.concatenate([*out, *[self.whole(held)] * bool(held)])
 
     def text(self, ids) -> str:
         table = self.bytes_of
