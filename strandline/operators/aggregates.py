@@ -13,7 +13,7 @@ def ratio(a: Column, b: Column) -> Column:
 
 def histogram(df: DataFrame, value: str, by: list[str] = (), bins: float | None = None) -> DataFrame:
     """(by, value, n): counts of values, or of the lower ends of bins."""
-    v = F.col(value) if bins is None else F.floor(F.col(value) / bins) * bins
+    v = F.col(value) if bins is None else (F.floor(F.col(value) / bins) * bins).cast("double")
     return df.groupBy(*by, v.alias(value)).agg(F.count("*").alias("n"))
 
 

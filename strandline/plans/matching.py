@@ -112,7 +112,7 @@ def corrected_keys(spark, sf):
     return reads.join(fixed, ["key", "qual"]).select("id", "corrected")
 
 
-@query(f"WITH k AS (SELECT DISTINCT {code_sql('p_partkey', 10)} AS k FROM part) SELECT a.k AS a, b.k AS b, hamming(a.k, b.k) AS distance FROM k a JOIN k b ON a.k < b.k AND hamming(a.k, b.k) <= 2")
+@query(f"WITH k AS (SELECT DISTINCT {code_sql('p_partkey', 10)} AS k FROM part) SELECT a.k AS a, b.k AS b, hamming(a.k, b.k)::INT AS distance FROM k a JOIN k b ON a.k < b.k AND hamming(a.k, b.k) <= 2")
 def keys_within_two(spark, sf):
     return Z.pairs_within(table(spark, sf, "part").select(code(F.col("p_partkey"), 10).alias("k")), "k", 2)
 
