@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-FACTOR, LEVELS = 4, 8
+FACTOR, LEVELS = 8, 5
 
 
 def _size(base: int, level: int) -> int:
