@@ -5,7 +5,8 @@ embeddings, one hidden layer, and a softmax in two steps, over classes and over
 so probabilities add up to one over all ``CLASSES * MEMBERS`` word buckets. A document's score is the sum
 of the conditional log-probabilities of its words.
 
-The network is trained in numpy on every document: documents are dealt out at random, each task takes
+The network is trained in numpy on every document: documents are dealt out by a hash of id and text (so that
+copies of one text are spread), each task takes
 steps from common weights on its own documents, and Spark averages the weights, by numbers of words. Half
 of the documents train the first round and half the second. Only weights reach the driver.
 
@@ -143,7 +144,7 @@ def train(docs: DataFrame) -> np.ndarray:
             if own.n:
                 yield pa.RecordBatch.from_arrays([pa.array([own.n]), pa.array([own.flat], pa.list_(pa.float32()))], ["n", "w"])
 
-        rows = docs.select(F.xxhash64(text, F.lit(SEED)).alias("deal"), text.alias("text")).filter(F.pmod("deal", F.lit(ROUNDS)) == turn)
+        rows = docs.select(F.xxhash64("doc_id", text, F.lit(SEED)).alias("deal"), text.alias("text")).filter(F.pmod("deal", F.lit(ROUNDS)) == turn)
         dealt = rows.mapInArrow(tokenised, "deal long, ids binary").repartition("deal").sortWithinPartitions("deal")
         each = dealt.mapInArrow(trained, "n long, w array<float>").select("n", F.posexplode("w").alias("at", "w"))
         # whole numbers, so that the order of the sums doesn't matter
