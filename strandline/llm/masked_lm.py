@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from strandline.llm.common import table
 from strandline.llm.substring_dedup import word_symbols
 
-CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
-BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
+CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 16, 32
+BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 4096, 0.1, 3, 1 << 16
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
 
 
@@ -58,7 +58,7 @@ def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
+    np.exp(np.clip(x, -60, 60, out=x), out=x)
     x /= x.sum(axis=1, keepdims=True)
     return x
 
@@ -79,7 +79,7 @@ def log_probability(p: dict[str, np.ndarray], words: np.ndarray, around: np.ndar
 def _by_row(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of rows of values by index."""
     out = np.zeros((n, values.shape[1]), np.float32)
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.int16), kind="stable")  # 16 bits: a radix sort
     own = index[order]
     start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
     out[own[start]] = np.add.reduceat(values[order], start, axis=0)
