@@ -95,7 +95,8 @@ def grouped(prints: DataFrame) -> DataFrame:
     nodes = cut_lineage(prints.groupBy("fp").agg(F.min("oid").alias("oid")))
     roots = components(links(nodes.select("fp")))
     of = cut_lineage(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    return of.select("fp", "root").join(of.groupBy("root").agg(F.min("oid").alias("component")), "root").select("fp", "component")
+    least = cut_lineage(of.groupBy("root").agg(F.min("oid").alias("component")))  # on its own, so that the join can split a large group
+    return of.select("fp", "root").join(least, "root").select("fp", "component")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
