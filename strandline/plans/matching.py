@@ -178,7 +178,7 @@ def best_of_break_clusters(spark, sf):
 
 @query()
 def overlap_groups(spark, sf):
-    calls = items(spark, sf).filter("flag = 'N' and contig % 5 = 0").select(F.col("id").alias("name"), "contig", "start", "end", F.col("price").alias("qual"))
+    calls = items(spark, sf).filter("flag = 'N'").select(F.col("id").alias("name"), "contig", "start", "end", F.col("price").alias("qual"))
     return V.selected(V.overlap_groups(calls, 0.8, 8), "quality")
 
 
