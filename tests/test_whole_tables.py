@@ -53,3 +53,19 @@ def test_overlap_groups_takes_every_supplier(spark, folder, lineitem):
     want = {g: k[2] for g, k in best.items()}
     assert len(want) < len(own)
     assert {r.root: r.name for r in registry.queries()["overlap_groups"](spark, folder).collect()} == want
+
+
+def test_breakpoint_mates_takes_every_line_number(spark, folder, lineitem):
+    own = {}
+    for name, contig, start, end, _ in intervals(lineitem, "R"):
+        own[name] = ((contig % 50, start, start + 2), ((contig * 7 + 3) % 50, end, end + 2))
+    cluster, reach, n = {}, {}, 0
+    for spot in sorted({s for both in own.values() for s in both}):
+        if spot[0] not in reach or spot[1] > reach[spot[0]] + 1:
+            n += 1
+        reach[spot[0]] = max(spot[2], reach.get(spot[0], spot[2]))
+        cluster[spot] = n
+    held = {name: {cluster[s] for s in both} for name, both in own.items()}
+    want = {name: sum(sum(c in other for other in held.values()) - 1 for c in mine) for name, mine in held.items()}
+    assert any(want.values()) and len({name % 10 for name in want}) == 7
+    assert {r.name: r.nmates for r in registry.queries()["breakpoint_mates"](spark, folder).collect()} == want
