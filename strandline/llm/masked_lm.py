@@ -2,30 +2,40 @@
 
 A window network predicts every word from the two words on either side of it, never from itself: their
 embeddings, one hidden layer, and a softmax in two steps, over classes and over the members of a class,
-so probabilities add up to one over all ``CLASSES * MEMBERS`` word buckets. A document's score is the sum
+so probabilities add up to one over all ``CLASSES * MEMBERS`` entries. A document's score is the sum
 of the conditional log-probabilities of its words.
 
+The vocabulary comes from counts of all words of the corpus. The ``OWN`` most frequent have entries of their own;
+the others share hashed entries, and the probability of an entry is split among its words by their counts, with one
+count more for each and one for all words never seen. Counts of words are a table: it grows with the corpus and is
+joined, and only the frequent words and the totals of the shared entries reach the driver.
+
 The network is trained in numpy on every document: documents are dealt out by a hash of id and text (so that
 copies of one text are spread), each task takes
 steps from common weights on its own documents, and Spark averages the weights, by numbers of words. Half
-of the documents train the first round and half the second. Only weights reach the driver.
+of the documents train the first round and half the second.
 
-Words are bucketed by a hash of their lower-cased UTF-8. Null and blank texts have no words and score 0.
+Words are told apart by a hash of their lower-cased UTF-8. Null and blank texts have no words and score 0.
 Repeated rows get the same result each. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.lineage import cut_lineage
 from strandline.llm.common import table
 from strandline.llm.substring_dedup import word_symbols
 
-CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 16, 32
-BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 4096, 0.1, 3, 1 << 16
+CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
+BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
+OWN = 768
+SHARED, FINE = BUCKETS - OWN, 1 << 30
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
 
 
@@ -43,8 +53,51 @@ def initial() -> np.ndarray:
     return np.concatenate([p.reshape(-1) for p in parts]).astype(np.float32)
 
 
-def buckets(text: str | None) -> np.ndarray:
-    return (word_symbols((text or "").encode().lower().decode("utf-8", "replace")) >> np.uint64(54)).astype(np.int32)
+class Model(NamedTuple):
+    flat: np.ndarray
+    frequent: np.ndarray  # symbols of the words with entries of their own, the most frequent first
+    norms: np.ndarray  # of each shared entry: the logarithm of its words' counts, one count more for each and one
+    counts: DataFrame  # (symbol, n) of all words
+
+
+def symbols(text: str | None) -> np.ndarray:
+    return word_symbols((text or "").encode().lower().decode("utf-8", "replace"))
+
+
+def entries(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The entry of each symbol."""
+    out = (OWN + (own >> np.uint64(54)) % np.uint64(SHARED)).astype(np.int32)
+    if len(frequent):
+        order = np.argsort(frequent)
+        at = order[np.minimum(np.searchsorted(frequent, own, sorter=order), len(frequent) - 1)]
+        known = frequent[at] == own
+        out[known] = at[known]
+    return out
+
+
+def counted(docs: DataFrame) -> DataFrame:
+    """Rows (symbol, n) of all words of docs."""
+
+    def each(batches):
+        for b in batches:
+            own, n = np.unique(np.concatenate([symbols(x.as_py()) for x in b.column("text")] or [np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n.astype(np.int64))], ["symbol", "n"])
+
+    rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(each, "symbol long, n long")
+    return cut_lineage(rows.groupBy("symbol").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent symbols and norms, from rows (symbol, n)."""
+    top = counts.orderBy(F.desc("n"), "symbol").limit(OWN).collect()
+    frequent = np.array([r.symbol for r in top], np.int64).view(np.uint64)
+    bucket = F.shiftrightunsigned("symbol", 54) % SHARED
+    totals = np.ones(SHARED)
+    for r in counts.groupBy(bucket.alias("bucket")).agg((F.sum("n") + F.count("*")).alias("n")).collect():  # as many rows as shared entries
+        totals[r.bucket] += r.n
+    for r in top:
+        totals[((int(r.symbol) & (1 << 64) - 1) >> 54) % SHARED] -= r.n + 1
+    return frequent, np.log(totals)
 
 
 def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,14 +176,15 @@ class Trainer:
             self.flat -= RATE * g / np.sqrt(self.seen)
 
 
-def train(docs: DataFrame) -> np.ndarray:
-    """The weights, from all documents."""
+def train(docs: DataFrame) -> Model:
+    """The vocabulary and the weights, from all documents."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    flat = initial()
+    counts = counted(docs)
+    (frequent, norms), flat = vocabulary(counts), initial()
 
     def tokenised(batches):
         for b in batches:
-            ids = [buckets(x.as_py()).astype(np.int16).tobytes() for x in b.column("text")]
+            ids = [entries(symbols(x.as_py()), frequent).astype(np.int16).tobytes() for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("deal"), pa.array(ids, pa.binary())], ["deal", "ids"])
 
     for turn in range(ROUNDS):
@@ -153,18 +207,21 @@ def train(docs: DataFrame) -> np.ndarray:
         if got:
             flat = flat.copy()
             flat[[r["at"] for r in got]] = [r["w"] for r in got]
-    return flat
+    return Model(flat, frequent, norms, counts)
 
 
-def scores(docs: DataFrame, flat: np.ndarray, keys: list[str]) -> DataFrame:
+def scores(docs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """Rows (*keys, n_words, log_probability) of all rows of docs."""
     rows = docs.select(*keys, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    flat, frequent, norms, counts = model
 
     def each(batches):
         p = unpack(flat)
         for b in batches:
-            ids = [buckets(x.as_py()) for x in b.column("text")]
+            own = [symbols(x.as_py()) for x in b.column("text")]
+            ids = [entries(x, frequent) for x in own]
+            split = [np.unique(x[k >= OWN], return_counts=True) for x, k in zip(own, ids, strict=True)]
             sums, a = [], 0
             while a < len(ids):
                 z, n = a, 0
@@ -173,15 +230,24 @@ def scores(docs: DataFrame, flat: np.ndarray, keys: list[str]) -> DataFrame:
                     z += 1
                 words, around = contexts(ids[a:z])
                 logs = np.concatenate([log_probability(p, words[k : k + (1 << 13)], around[k : k + (1 << 13)]) for k in range(0, len(words), 1 << 13)] or [np.zeros(0)])
+                logs = logs - np.where(words >= OWN, norms[np.maximum(words - OWN, 0)], 0.0)
                 ends = np.cumsum([len(x) for x in ids[a:z]])
                 total = np.concatenate(([0.0], np.cumsum(logs, dtype=np.float64)))
                 sums.append(total[ends] - total[np.concatenate(([0], ends[:-1]))])
                 a = z
             rest = [k for k in b.schema.names if k != "text"]
-            out = [pa.array([len(x) for x in ids], pa.int64()), pa.array(np.concatenate(sums) if sums else np.zeros(0), pa.float64())]
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], *out], [*rest, "n_words", "log_probability"])
-
-    return rows.mapInArrow(each, f"{types}, n_words long, log_probability double")
+            starts = pa.array(np.cumsum([0, *[len(x) for x, _ in split]]), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate([np.empty(0, np.int64), *[x[k].view(np.int64) for x in split]]))) for k in (0, 1)]
+            out = [pa.array([len(x) for x in ids], pa.int64()), pa.array(np.concatenate(sums) if sums else np.zeros(0), pa.float64()), *lists]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], *out], [*rest, "n_words", "log_probability", "__symbols", "__times"])
+
+    scored = rows.mapInArrow(each, f"{types}, n_words long, log_probability double, __symbols array<long>, __times array<long>")
+    scored = cut_lineage(scored.withColumn("__row", F.monotonically_increasing_id()))
+    words = scored.select("__row", F.explode(F.arrays_zip("__symbols", "__times")).alias("w")).select("__row", F.col("w.__symbols").alias("symbol"), F.col("w.__times").alias("times"))
+    # whole numbers, so that the order of the sums doesn't matter; a word never seen counts one, of logarithm zero
+    more = words.join(counts, "symbol").groupBy("__row").agg((F.sum((F.col("times") * F.log1p("n") * FINE).cast("long")) / FINE).alias("__more"))
+    own = scored.drop("__symbols", "__times").join(more, "__row", "left")
+    return own.withColumn("log_probability", F.col("log_probability") + F.coalesce("__more", F.lit(0.0))).drop("__row", "__more")
 
 
 def op3_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
