@@ -69,3 +69,20 @@ def test_breakpoint_mates_takes_every_line_number(spark, folder, lineitem):
     want = {name: sum(sum(c in other for other in held.values()) - 1 for c in mine) for name, mine in held.items()}
     assert any(want.values()) and len({name % 10 for name in want}) == 7
     assert {r.name: r.nmates for r in registry.queries()["breakpoint_mates"](spark, folder).collect()} == want
+
+
+def test_streams_keep_rows_of_files_whose_times_interleave(spark, tmp_path):
+    first = datetime.datetime(2024, 1, 1)
+    rows = [(k, first + datetime.timedelta(hours=9 * k), k % 3, "ab"[k % 2], 1.0, "") for k in range(40)]
+    for part in (rows[30:], rows[:20], rows[20:30]):  # the latest times come first
+        spark.createDataFrame(part, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    closed = max(r[1] for r in rows) - datetime.timedelta(hours=1)
+    days, sittings = {}, 0
+    for _, ts, _, kind, _, _ in rows:
+        day = datetime.datetime(ts.year, ts.month, ts.day)
+        if day + datetime.timedelta(days=1) <= closed:
+            key = (kind, int(day.replace(tzinfo=datetime.timezone.utc).timestamp()))
+            days[key] = days.get(key, 0) + 1
+        sittings += ts + datetime.timedelta(hours=6) <= closed
+    assert {(r.event_type, r.start): r.n for r in registry.queries()["stream_daily_counts"](spark, str(tmp_path)).collect()} == days
+    assert [r.n for r in registry.queries()["stream_sessions"](spark, str(tmp_path)).collect()] == [1] * sittings
