@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm.common import NO_ID, mix, random_table, table
-from strandline.llm.windows import Plan, covered, intervals, keyed, order_id, text_mark, with_spans
+from strandline.llm.windows import Plan, covered, intervals, keyed, marked, with_spans
 
 LENGTH, Q = 100, 24
 _FIRST = (random_table(256, 10), random_table(256, 11))
@@ -87,7 +87,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, q: int = Q) -> DataFr
         return type(text)([one(t, s) for t, s in zip(text, spans, strict=True)], dtype=object)
 
     spans = repeated_windows(keyed(docs), plan(length, q)).select(F.col("oid").alias("__oid"), F.col("mark").alias("__mark"), F.col("spans").alias("__spans"))
-    tagged = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
+    tagged = marked(docs, "__oid", "__mark")
     out = tagged.join(spans, ["__oid", "__mark"], "left").withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("text", "__spans")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))

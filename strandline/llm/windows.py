@@ -16,8 +16,13 @@ symbols of one document; "earlier" means a smaller (order id, text, start).
 4. Where such a name has different blocks, the earliest of each kind lists its windows one by one,
    and the earliest holder of each window is found the same way.
 
+The comparisons are Spark's: rows are sorted by name, kind and place within the partition of their name, and
+window functions count the kinds of a name and find the first of each kind; groups of any size spill.
 A name that one task sees with many different runs is dealt out by the run instead of the name, with
-markers at the name itself: a phrase in a third of all documents doesn't meet in one task.
+markers at the name itself, so that a phrase in a third of all documents sends a few rows a task to its name.
+
+Documents are told apart by id and, where an id (or its absence) stands for several texts, by 64 bits of a
+hash of the text.
 """
 
 from __future__ import annotations
@@ -26,10 +31,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.lineage import cut_lineage
 from strandline.llm.common import mix, order_id, slabs
 
 #: Symbols that one numpy pass holds; longer texts are passed in pieces that overlap by a window.
@@ -42,21 +48,33 @@ GATHER = 1 << 19
 #: What a row says of a run: found under its name, known to need a list, a marker of the latter, repeated.
 PLAIN, LISTED, MARKER, REPEATED = range(4)
 
-RUN = "key long, name long, kind_of long, oid long, place long, what int"
-#: A place holds 26 bits of the text's hash, 31 of the start and 7 of the number of windows.
-START_BITS, COUNT_BITS = 31, 7
-HASH_SHIFT = START_BITS + COUNT_BITS
+RUN = "key long, name long, kind_of long, oid long, mark long, place long, what int"
+#: A place holds the start and, in its last bits, the number of windows.
+COUNT_BITS = 7
+#: Ids of several texts are broadcast up to this many rows, joined by a shuffle beyond.
+BROADCAST_ROWS = 200_000
 
 
 def text_mark(text: Column) -> Column:
     """Tells apart texts under the same id."""
-    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), HASH_SHIFT).cast("long")
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def marked(docs: DataFrame, oid: str, mark: str) -> DataFrame:
+    """docs with the id that orders them and the mark of their text, which is zero where the id stands for one text only."""
+    named = docs.withColumns({oid: order_id(), mark: text_mark(F.col("text"))})
+    several = cut_lineage(named.groupBy(oid).agg(F.min(mark).alias("__a"), F.max(mark).alias("__z")).filter("__a <> __z").select(oid, F.lit(True).alias("__several")))
+    n = several.count()
+    if not n:
+        return named.withColumn(mark, F.lit(0).cast("long"))
+    joined = named.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, oid, "left")
+    return joined.withColumn(mark, F.when(F.col("__several"), F.col(mark)).otherwise(F.lit(0).cast("long"))).drop("__several")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """One row for each row: oid, mark, text (null: empty), dealt out once for all steps that read the texts."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(order_id().alias("oid"), text_mark(text).alias("mark"), text.alias("text")).repartition("oid", "mark")
+    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return marked(own, "oid", "mark").select("oid", "mark", "text").repartition("oid", "mark")
 
 
 def smallest(names: np.ndarray, width: int) -> np.ndarray:
@@ -109,11 +127,11 @@ class Plan:
             base = np.array([x[2] for x in slab]) - np.append(0, ends[:-1])
             mark = np.array([x[1] for x in slab], dtype=np.int64)[doc]
             oid = np.array([x[0] for x in slab], dtype=np.int64)[doc]
-            yield {"name": name, "kind": kind, "oid": oid, "place": (mark << HASH_SHIFT) | ((start + base[doc]) << COUNT_BITS) | count}
+            yield {"name": name, "kind": kind, "oid": oid, "mark": mark, "place": ((start + base[doc]) << COUNT_BITS) | count}
 
     def starts(self, places: np.ndarray) -> np.ndarray:
         """The starts of all windows of the runs at ``places``."""
-        start, count = (places >> COUNT_BITS) & ((1 << START_BITS) - 1), places & ((1 << COUNT_BITS) - 1)
+        start, count = places >> COUNT_BITS, places & ((1 << COUNT_BITS) - 1)
         return np.unique(np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
 
     def stretches(self, text: str, places: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
@@ -144,7 +162,7 @@ class Plan:
             yield self.at(oid, mark, self.names(data)[2][start], self.second(data)[start], start + base, np.ones(len(start), np.int64))
 
     def at(self, oid: int, mark: int, name, kind, start, count) -> dict[str, np.ndarray]:
-        return {"name": name, "kind": kind, "oid": np.full(len(name), oid, np.int64), "place": (np.int64(mark) << HASH_SHIFT) | (start.astype(np.int64) << COUNT_BITS) | count}
+        return {"name": name, "kind": kind, "oid": np.full(len(name), oid, np.int64), "mark": np.full(len(name), mark, np.int64), "place": (start.astype(np.int64) << COUNT_BITS) | count}
 
 
 def groups(*columns: np.ndarray) -> np.ndarray:
@@ -155,10 +173,10 @@ def groups(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
-def same_start(oid: np.ndarray, place: np.ndarray, new: np.ndarray) -> np.ndarray:
+def same_start(new: np.ndarray, *columns: np.ndarray) -> np.ndarray:
     """Rows of the earliest place of their group: the first, and repetitions of it from repeated rows of the table."""
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
-    return (oid == oid[head]) & (place == place[head])
+    return np.logical_and.reduce([c == c[head] for c in columns])
 
 
 def batch(**columns) -> pa.RecordBatch:
@@ -180,12 +198,12 @@ def gathered(parts: Iterator[dict[str, np.ndarray]], most: int) -> Iterator[dict
 def earliest_runs(parts: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     """Of each kind of run that a task sees, the earliest; the others are known to repeat."""
     for r in gathered(parts, GATHER):
-        by = np.lexsort((r["place"], r["oid"], r["kind"], r["name"]))
-        name, kind, oid, place = (r[k][by] for k in ("name", "kind", "oid", "place"))
+        by = np.lexsort((r["place"], r["mark"], r["oid"], r["kind"], r["name"]))
+        name, kind, oid, own_mark, place = (r[k][by] for k in ("name", "kind", "oid", "mark", "place"))
         if not len(name):
             continue
         new = groups(name, kind)
-        keep, repeat = new, ~same_start(oid, place, new)
+        keep, repeat = new, ~same_start(new, oid, own_mark, place)
         heads = np.flatnonzero(new)
         of_name = groups(name[heads])
         kinds = np.diff(np.append(np.flatnonzero(of_name), len(heads)))
@@ -200,79 +218,48 @@ def earliest_runs(parts: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordB
                 # what a row's key or verdict makes needless is left zero, which costs next to nothing in a shuffle
                 own_name = np.where(said == LISTED, name[pick], np.uint64(0))
                 own_kind = np.where(said == REPEATED, np.uint64(0), kind[pick])
-                yield batch(key=k[pick], name=own_name, kind_of=own_kind, oid=oid[pick], place=place[pick], what=said)
-
-
-def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Sorted rows again, in batches that end where the key changes."""
-    held: dict[str, np.ndarray] | None = None
-    for b in batches:
-        rows = {k: b.column(k).to_numpy(zero_copy_only=False) for k in b.schema.names}
-        if not b.num_rows:
-            continue
-        if held is not None:
-            rows = {k: np.concatenate([held[k], v]) for k, v in rows.items()}
-        cut = int(np.searchsorted(rows["key"], rows["key"][-1]))
-        if cut:
-            yield {k: v[:cut] for k, v in rows.items()}
-        held = {k: v[cut:] for k, v in rows.items()}
-    if held is not None:
-        yield held
-
-
-def judged_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key, name, kind and place: what repeats and what must list its windows."""
-    for r in whole_keys(batches):
-        name, kind, oid, place, what = (r[k] for k in ("name", "kind_of", "oid", "place", "what"))
-        name = np.where(what == LISTED, name, r["key"])
-        sure = what == REPEATED
-        if sure.any():
-            yield batch(oid=oid[sure], place=place[sure], what=what[sure])
-            name, kind, oid, place, what = (x[~sure] for x in (name, kind, oid, place, what))
-        if not len(name):
-            continue
-        new = groups(name, kind)
-        repeat = ~same_start(oid, place, new) & (what != MARKER)
-        of_name = np.cumsum(groups(name)) - 1
-        several = (np.bincount(of_name, new) > 1) | (np.bincount(of_name, what != PLAIN) > 0)
-        head = np.flatnonzero(new & (what != MARKER) & several[of_name])
-        pick = np.flatnonzero(repeat)
-        if len(pick):
-            yield batch(oid=oid[pick], place=place[pick], what=np.full(len(pick), REPEATED, np.int32))
-        if len(head):
-            yield batch(oid=oid[head], place=place[head], what=np.full(len(head), LISTED, np.int32))
+                yield batch(key=k[pick], name=own_name, kind_of=own_kind, oid=oid[pick], mark=own_mark[pick], place=place[pick], what=said)
 
 
-def judged_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From single windows sorted by key, name, kind and place: those that are not the earliest."""
-    for r in judged_runs(batches):
-        yield r.filter(pa.compute.equal(r.column("what"), REPEATED))
+def judged(held: DataFrame) -> DataFrame:
+    """From rows of form RUN: (oid, mark, place) of runs that repeat and, with its bits inverted, the place of those that must list their windows."""
+    sure, name = F.col("what") == REPEATED, F.when(F.col("what") == LISTED, F.col("name")).otherwise(F.col("key"))
+    of_name = W.partitionBy("key", "__sure", "__name")
+    of_kind = W.partitionBy("key", "__sure", "__name", "kind_of").orderBy("oid", "mark", "place")
+    rows = held.repartition("key").withColumns({"__sure": sure, "__name": F.when(sure, F.lit(0).cast("long")).otherwise(name)})
+    rows = rows.withColumn("__first", F.first(F.struct("oid", "mark", "place")).over(of_kind))
+    rows = rows.withColumns({"__kinds": F.min("kind_of").over(of_name) != F.max("kind_of").over(of_name), "__most": F.max("what").over(of_name)})
+    head = F.col("__first") == F.struct("oid", "mark", "place")
+    lists = F.col("__kinds") | (F.col("__most") != PLAIN)
+    place = F.when(F.col("__sure"), F.col("place")).when(F.col("what") == MARKER, None).when(~head, F.col("place")).when(lists, F.bitwise_not("place"))
+    return rows.select("oid", "mark", place.alias("place")).filter("place is not null")
 
 
 def repeated_windows(docs: DataFrame, plan: Plan) -> DataFrame:
     """Rows (oid, mark, spans) for documents of ``keyed()`` form: spans lists places, of which the start and the number of windows that repeat can be read."""
-    mark = F.shiftrightunsigned("place", HASH_SHIFT).cast("long").alias("mark")
-    per_doc = lambda df: df.groupBy("oid", mark).agg(F.collect_list("place").alias("places"))
 
-    def judge(of: DataFrame, parts: Callable, by: Callable) -> DataFrame:
+    def judge(of: DataFrame, parts: Callable) -> DataFrame:
         held = of.mapInArrow(lambda batches: earliest_runs(parts(batches)), RUN)
-        dealt = held.repartition("key").sortWithinPartitions("key", "name", "kind_of", "oid", "place")
-        return dealt.mapInArrow(by, "oid long, place long, what int")
+        return judged(held).groupBy("oid", "mark").agg(F.collect_list("place").alias("places"))
 
-    def again(found: DataFrame, parts: Callable, by: Callable) -> DataFrame:
+    def again(found: DataFrame, parts: Callable) -> DataFrame:
         def each(batches):
             for b in batches:
                 for oid, mark, text, places in zip(*(b.column(k) for k in ("oid", "mark", "text", "places")), strict=True):
-                    yield from parts(oid.as_py(), mark.as_py(), text.as_py(), places.values.to_numpy())
+                    own = places.values.to_numpy()
+                    yield from parts(oid.as_py(), mark.as_py(), text.as_py(), ~own[own < 0])
 
-        lists = per_doc(found.filter(F.col("what") == LISTED))
-        return judge(docs.join(lists, ["oid", "mark"]), each, by)
+        return judge(docs.join(found.filter(F.array_min("places") < 0), ["oid", "mark"]), each)
 
-    runs = judge(docs, lambda batches: plan.runs(rows_of(batches)), judged_runs)
-    blocks = again(runs, plan.blocks, judged_runs)
-    singles = again(blocks, plan.singles, judged_windows)
-    found = [x.filter(F.col("what") == REPEATED) for x in (runs, blocks, singles)]
-    return per_doc(found[0].unionAll(found[1]).unionAll(found[2])).withColumnRenamed("places", "spans")
+    runs = judge(docs, lambda batches: plan.runs(rows_of(batches)))
+    blocks = again(runs, plan.blocks)
+    singles = again(blocks, plan.singles)
+    found = runs  # every document of a later step is one of the step before
+    for name, more in (("__blocks", blocks), ("__singles", singles)):
+        found = found.join(more.withColumnRenamed("places", name), ["oid", "mark"], "left")
+    none = F.array().cast("array<long>")
+    every = F.concat("places", *[F.coalesce(c, none) for c in ("__blocks", "__singles")])
+    return found.select("oid", "mark", F.filter(every, lambda p: p >= 0).alias("spans"))
 
 
 def with_spans(docs: DataFrame, plan: Plan) -> DataFrame:
@@ -285,7 +272,7 @@ def covered(spans: np.ndarray | None, length: int, n: int) -> np.ndarray:
     step = np.zeros(n + 1, np.int32)
     if spans is not None and len(spans):
         spans = np.asarray(spans, dtype=np.int64)
-        start, count = (spans >> COUNT_BITS) & ((1 << START_BITS) - 1), spans & ((1 << COUNT_BITS) - 1)
+        start, count = spans >> COUNT_BITS, spans & ((1 << COUNT_BITS) - 1)
         np.add.at(step, start, 1)
         np.add.at(step, start + count - 1 + length, -1)
     return np.cumsum(step[:n]) > 0

@@ -82,3 +82,18 @@ def test_characters_stay_whole(spark):
     got = {r.doc_id: r for r in suffix_dedup.without_repeats(df).collect()}
     assert got[1].text == "x" + shared and got[2].text == "\u0130z" and got[3].text is None
     assert got[2].n_chars == 2
+
+
+def test_many_texts_under_one_id(spark):
+    """Null ids and one shared id: texts stay apart, and one of them keeps the shared passage."""
+    passage = " ".join(f"shared{i}" for i in range(30))
+    rows = [(i, f"own{k} " * 25 + passage + f" end{k}") for k in range(1500) for i in (None, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.dedup_words(df, length=20).collect()
+    assert len(got) == 3000
+    kept = [r for r in got if "shared3 " in r.kept]
+    assert [r.doc_id for r in kept] == [7]
+    # texts are equal under both ids: of each, the one under 7 keeps its repeated words but for those that repeat inside it
+    assert all(r.n_removed >= 30 for r in got if r.doc_id is None)
+    cut = suffix_dedup.without_repeats(df.limit(0).unionAll(df.filter("doc_id is null"))).collect()
+    assert len(cut) == 1500 and sum("shared3 " in r.text for r in cut) == 1
