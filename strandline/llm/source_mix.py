@@ -8,8 +8,10 @@ proportional share are ranked; the ones below are certain.
 
 Within a shard, documents stand in a seeded order on one line of words. A quota takes the whole line
 as often as it fits and then whole blocks in a seeded order, so no document is taken more than
-``MOST`` times. Shards are the first hex digits of a seeded hash of doc_id, so a source that
-holds a third of all rows is dealt to ``SHARDS`` tasks.
+``MOST`` times; where the last block of a shard would pass that, it is cut there. Shards are ranges of a
+seeded hash of doc_id. A source has one shard for each ``SHARD_WORDS`` words or so, in powers of two and
+``2 ** DEPTH`` at most: a small source is one shard, so that its target isn't lost in parts too short
+for a block, and one that holds a third of all rows is dealt to many tasks.
 
 Null texts and texts without words have size 0 and nothing is taken. Null and repeated ids are allowed:
 rows that tie are alike. Columns of the table with other names are kept by ``mixed`` and ignored elsewhere.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from strandline.lineage import cut_lineage
 from strandline.llm.common import n_words, table, words
 
-SEED, BLOCK, MOST, SHARDS = 17, 16, 3, 256
+SEED, BLOCK, MOST, SHARD_WORDS, DEPTH = 17, 16, 3, 1 << 16, 16
 PRIME = 2147483647
 #: Quotas are broadcast up to this many rows, joined by a shuffle beyond.
 BROADCAST_ROWS = 200_000
@@ -39,7 +41,16 @@ def _div(a: Column, b: Column | int) -> Column:
 
 def sized(docs: DataFrame) -> DataFrame:
     seeded = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    return docs.withColumns({"__size": n_words(F.col("text")), "__src": F.coalesce("source", F.lit("")), "__none": F.col("source").isNull(), "__order": seeded, "__shard": F.substring(seeded, 1, 2)})
+    return docs.withColumns({"__size": n_words(F.col("text")), "__src": F.coalesce("source", F.lit("")), "__none": F.col("source").isNull(), "__order": seeded, "__cell": F.conv(F.substring(seeded, 1, 4), 16, 10).cast("long")})
+
+
+def depth(size: Column) -> Column:
+    """How many bits of the hash tell the shards of a source of so many words apart."""
+    return F.when(size < SHARD_WORDS, 0).otherwise(F.least(F.lit(DEPTH), F.length(F.bin(_div(size, SHARD_WORDS))))).cast("int")
+
+
+def shard() -> Column:
+    return F.call_function("shiftright", F.col("__cell"), F.lit(DEPTH) - F.col("__depth"))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -62,7 +73,7 @@ def seats(df: DataFrame, by: list[str], votes: str, seat_total: str, vote_total:
     share = F.coalesce(F.try_divide(F.col(votes), F.col(vote_total)), F.lit(0.0))
     near = F.floor(F.col(seat_total) * share).cast("long")
     width = F.ceil(share * F.col(members) / 2).cast("long") + 2
-    most = _div(MOST * F.col("size"), BLOCK)
+    most = _div(MOST * F.col("size") + BLOCK - 1, BLOCK)
     df = df.withColumns({"low": F.least(most, F.greatest(F.lit(0).cast("long"), near - width)), "high": F.least(most, near + width)})
     df = df.withColumn("left", F.col(seat_total) - F.sum("low").over(W.partitionBy(*by)))
     asked = df.filter(F.col("high") > F.col("low")).withColumn("k", F.explode(F.sequence("low", F.col("high") - 1)))
@@ -72,26 +83,35 @@ def seats(df: DataFrame, by: list[str], votes: str, seat_total: str, vote_total:
     return df.join(won, keys, "left").withColumn("quota", F.col("low") + F.coalesce("won", F.lit(0))).drop("low", "high", "left", "won")
 
 
-def quotas(docs: DataFrame) -> DataFrame:
-    """Rows (__src, __none, __shard, __source_size, __target, __line, __quota); from ``sized()`` rows."""
-    shards = docs.groupBy(*_KEY, "__shard").agg(F.sum("__size").alias("size"))
+def quotas(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (__src, __none, __depth) and rows (__src, __none, __shard, __source_size, __target, __line, __quota); from ``sized()`` rows."""
+    cells = cut_lineage(docs.groupBy(*_KEY, "__cell").agg(F.sum("__size").alias("size")))
+    depths = cut_lineage(cells.groupBy(*_KEY).agg(depth(F.sum("size")).alias("__depth")))
+    shards = cut_lineage(cells.join(small(depths), _KEY).groupBy(*_KEY, shard().alias("__shard")).agg(F.sum("size").alias("size")))
     sources = targets(shards.groupBy(*_KEY).agg(F.sum("size").alias("size"), F.count(F.when(F.col("size") > 0, 1)).alias("members")))
     sources = sources.withColumns({"blocks": _div(F.col("total") + BLOCK // 2, BLOCK), "all": F.lit(0)}).withColumn("whole", F.col("total").cast("double"))
     sources = seats(sources, ["all"], "target", "blocks", "whole", "sources", ["place"])
     own = sources.select(*_KEY, F.col("size").alias("source_size"), "target", "members", F.col("quota").alias("source_quota"))
-    return seats(shards.join(own, _KEY), _KEY, "size", "source_quota", "source_size", "members", ["__shard"]).select(*_KEY, "__shard", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("size").alias("__line"), F.col("quota").alias("__quota"))
+    plan = seats(shards.join(own, _KEY), _KEY, "size", "source_quota", "source_size", "members", ["__shard"])
+    return depths, cut_lineage(plan.select(*_KEY, "__shard", F.col("source_size").alias("__source_size"), F.col("target").alias("__target"), F.col("size").alias("__line"), F.col("quota").alias("__quota")))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, written before, to be broadcast if it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def planned(docs: DataFrame) -> DataFrame:
     """docs with __size, __source_size, __target, __from (place on the shard's line), __epochs and what the seeded choice of blocks needs."""
     all_docs = sized(docs)
-    plan = cut_lineage(quotas(all_docs.select("__size", *_KEY, "__shard")))
-    plan = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
+    depths, plan = quotas(all_docs.select("__size", *_KEY, "__cell"))
     line = W.partitionBy(*_KEY, "__shard").orderBy("__order", "__size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    df = all_docs.join(plan, [*_KEY, "__shard"]).withColumn("__from", F.sum("__size").over(line) - F.col("__size"))
-    want, whole = F.col("__quota") * BLOCK, F.greatest(F.col("__line"), F.lit(1))
+    df = all_docs.join(small(depths), _KEY).withColumn("__shard", shard()).join(small(plan), [*_KEY, "__shard"])
+    df = df.withColumn("__from", F.sum("__size").over(line) - F.col("__size"))
+    want, whole = F.least(F.col("__quota") * BLOCK, MOST * F.col("__line")), F.greatest(F.col("__line"), F.lit(1))
     df = df.withColumns({"__epochs": _div(want, whole), "__rest": want % whole, "__n": _div(F.col("__line"), BLOCK)})
-    return df.withColumns({"__full": _div(F.col("__rest"), BLOCK), "__part": F.col("__rest") % BLOCK, "__turn": F.conv(F.substring(F.md5(F.concat(F.lit(f"{SEED}/"), "__shard", F.lit("/"), "__src")), 1, 6), 16, 10).cast("long")})
+    seeded = F.md5(F.concat(F.lit(f"{SEED}/"), F.col("__shard").cast("string"), F.lit("/"), "__src"))
+    return df.withColumns({"__full": _div(F.col("__rest"), BLOCK), "__part": F.col("__rest") % BLOCK, "__turn": F.conv(F.substring(seeded, 1, 6), 16, 10).cast("long")})
 
 
 def _taken_of_block(j: Column) -> Column:
@@ -134,7 +154,7 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _seats_sql(table: str, by: str, votes: str, seat_total: str, vote_total: str, members: str, order: str) -> str:
     return f"""
 {table}_low AS (
-  SELECT *, least({MOST} * size // {BLOCK}, greatest(0, near - width)) AS low, least({MOST} * size // {BLOCK}, near + width) AS high FROM (
+  SELECT *, least(({MOST} * size + {BLOCK - 1}) // {BLOCK}, greatest(0, near - width)) AS low, least(({MOST} * size + {BLOCK - 1}) // {BLOCK}, near + width) AS high FROM (
     SELECT *, floor({seat_total} * coalesce({votes} / nullif({vote_total}, 0), 0))::BIGINT AS near, ceil(coalesce({votes} / nullif({vote_total}, 0), 0) * {members} / 2)::BIGINT + 2 AS width FROM {table})
 ), {table}_left AS (
   SELECT *, {seat_total} - sum(low) OVER ({by}) AS remaining FROM {table}_low
@@ -151,8 +171,12 @@ ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS src, source IS NULL AS none, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS ord FROM documents
+), dp AS (
+  SELECT src, none, CASE WHEN sum(size) < {SHARD_WORDS} THEN 0 ELSE least({DEPTH}, length(bin(sum(size)::BIGINT // {SHARD_WORDS}))) END::INT AS depth FROM d GROUP BY ALL
+), ds AS (
+  SELECT d.*, ('0x' || substr(ord, 1, 4))::BIGINT >> ({DEPTH} - depth) AS shard FROM d JOIN dp USING (src, none)
 ), sh AS (
-  SELECT src, none, substr(ord, 1, 2) AS shard, sum(size)::BIGINT AS size FROM d GROUP BY ALL
+  SELECT src, none, shard, sum(size)::BIGINT AS size FROM ds GROUP BY ALL
 ), s0 AS (
   SELECT src, none, sum(size)::BIGINT AS size, count(*) FILTER (size > 0) AS members FROM sh GROUP BY ALL
 ), s1 AS (
@@ -174,9 +198,9 @@ sd AS (
 ), {_seats_sql("sd", "PARTITION BY src, none", "size", "source_quota", "source_size", "members", "shard")},
 j AS (
   SELECT d.*, q.source_size, q.target, sum(d.size) OVER (PARTITION BY src, none, shard ORDER BY ord, d.size ROWS UNBOUNDED PRECEDING) - d.size AS a,
-         q.quota * {BLOCK} // greatest(q.size, 1) AS epochs, q.quota * {BLOCK} % greatest(q.size, 1) AS rest, q.size // {BLOCK} AS n,
+         least(q.quota * {BLOCK}, {MOST} * q.size) // greatest(q.size, 1) AS epochs, least(q.quota * {BLOCK}, {MOST} * q.size) % greatest(q.size, 1) AS rest, q.size // {BLOCK} AS n,
          ('0x' || substr(md5('{SEED}/' || shard || '/' || src), 1, 6))::BIGINT AS turn
-  FROM (SELECT *, substr(ord, 1, 2) AS shard FROM d) d JOIN sd_quota q USING (src, none, shard)
+  FROM ds d JOIN sd_quota q USING (src, none, shard)
 ), b AS (
   SELECT *, row_number() OVER () AS r, rest // {BLOCK} AS full_blocks, rest % {BLOCK} AS part FROM j
 ), e AS (
