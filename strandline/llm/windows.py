@@ -66,7 +66,7 @@ def marked(docs: DataFrame, oid: str, mark: str) -> DataFrame:
     several = cut_lineage(named.groupBy(oid).agg(F.min(mark).alias("__a"), F.max(mark).alias("__z")).filter("__a <> __z").select(oid, F.lit(True).alias("__several")))
     n = several.count()
     if not n:
-        return named.withColumn(mark, F.lit(0).cast("long"))
+        return named.withColumn(mark, F.col(oid).bitwiseAND(0))  # zero, but no literal, which each reader would fold into a plan of its own
     joined = named.join(F.broadcast(several) if n <= BROADCAST_ROWS else several, oid, "left")
     return joined.withColumn(mark, F.when(F.col("__several"), F.col(mark)).otherwise(F.lit(0).cast("long"))).drop("__several")
 
@@ -224,8 +224,8 @@ def earliest_runs(parts: Iterator[dict[str, np.ndarray]]) -> Iterator[pa.RecordB
 def judged(held: DataFrame) -> DataFrame:
     """From rows of form RUN: (oid, mark, place) of runs that repeat and, with its bits inverted, the place of those that must list their windows."""
     sure, name = F.col("what") == REPEATED, F.when(F.col("what") == LISTED, F.col("name")).otherwise(F.col("key"))
-    of_name = W.partitionBy("key", "__sure", "__name")
     of_kind = W.partitionBy("key", "__sure", "__name", "kind_of").orderBy("oid", "mark", "place")
+    of_name = W.partitionBy("key", "__sure", "__name").orderBy("kind_of", "oid", "mark", "place").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # so that one sort serves both
     rows = held.repartition("key").withColumns({"__sure": sure, "__name": F.when(sure, F.lit(0).cast("long")).otherwise(name)})
     rows = rows.withColumn("__first", F.first(F.struct("oid", "mark", "place")).over(of_kind))
     rows = rows.withColumns({"__kinds": F.min("kind_of").over(of_name) != F.max("kind_of").over(of_name), "__most": F.max("what").over(of_name)})
