@@ -2,9 +2,12 @@
 
 The vocabulary's pattern never crosses a space, so counts add up over words, and words that a worker has
 met are looked up. Documents longer than ``CHUNK`` are counted by overlap resynchronisation: overlapping
-chunks, rows of their own, are encoded with offsets; neighbours are spliced at a token start that both
-have, right after white space, where no token can reach across; where an overlap has none, it is
-widened until it has one or the chunks end.
+chunks, rows of their own, are encoded with offsets, and neighbours are spliced inside their overlap. A
+sequence of tokens is the right one if each neighbouring pair is, so a splice is proven where both chunks
+have the same token at the same place, right after white space or after another such token: the pairs before
+it stand in the one encoding and those after it in the other. Where an overlap has no such place, it is
+widened to the two chunks, which are encoded as one; chunks meet in a tree, so a text without
+any such place (one letter, repeated) is encoded a logarithmic number of times.
 
 Null texts are empty. Repeated rows get the same result each. Other columns are ignored.
 """
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -63,29 +67,52 @@ class Counter:
         held.update(zip(asked, self.counts(asked), strict=True))
         return [sum([held[w] for w in own]) for own in words]
 
-    def starts(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
-        """The number of tokens; the offsets of those that begin right after white space, and their numbers."""
-        begin = [a for a, _ in self.model.encode(text, add_special_tokens=False).offsets]
-        number = [k for k, a in enumerate(begin) if a and text[a - 1] in SPACE and (k == 0 or begin[k - 1] != a)]
-        return len(begin), np.array([begin[k] for k in number], np.int64), np.array(number, np.int64)
-
-    def spliced(self, text: str, chunks: list[tuple[int, np.ndarray, np.ndarray]], step: int = CHUNK, overlap: int = OVERLAP) -> int:
-        """The number of tokens of a text from ``starts`` of its chunks, each of which begins ``step`` after the last and overlaps the next."""
-        total, skip, begin = 0, 0, 0
-        n, at, number = chunks[0]
-        for k, (n_next, at_next, number_next) in enumerate(chunks[1:], 1):
-            wide = overlap
-            while True:
-                common, i, j = np.intersect1d(at + begin, at_next + k * step, return_indices=True)
-                if len(common):
-                    total += int(number[i[0]]) - skip
-                    n, at, number, skip, begin = n_next, at_next, number_next, int(number_next[j[0]]), k * step
-                    break
-                wide *= 2
-                n, at, number = self.starts(text[begin : k * step + min(wide, step + overlap)])
-                if wide >= step + overlap:  # the next chunk is taken in whole
-                    break
-        return total + n - skip
+    def chunk(self, text: str, begin: int, overlap: int) -> Chunk:
+        """The encoding of a text that stands at ``begin`` of its document: its tokens at either end, ``overlap`` characters deep."""
+        e = self.model.encode(text, add_special_tokens=False)
+        at, ids = np.array(e.offsets, np.int64).reshape(-1, 2), np.array(e.ids, np.int64)
+        # tokens that share a character stand together, as their offsets don't tell them apart
+        new = np.ones(len(ids), bool)
+        new[1:] = at[1:, 0] >= np.maximum.accumulate(at[:, 1])[:-1]
+        first = np.flatnonzero(new)
+        if not len(first):
+            return Chunk(begin, begin + len(text), 0, np.empty((0, 5), np.int64), np.empty((0, 5), np.int64))
+        place = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+        with np.errstate(over="ignore"):
+            names = np.add.reduceat((ids + 1) * np.int64(0x9E3779B97F4A7C1) ** place, first)
+        start, end = at[first, 0], np.maximum.reduceat(at[:, 1], first)
+        blank = np.fromiter((k > 0 and text[k - 1] in SPACE for k in start.tolist()), bool, len(first))
+        tokens = np.column_stack((start + begin, end + begin, names, first, blank))
+        head, tail = start < overlap, start >= len(text) - overlap
+        return Chunk(begin, begin + len(text), len(ids), tokens[head], tokens[tail])
+
+    def spliced(self, text: str, chunks: list[Chunk], overlap: int = OVERLAP) -> int:
+        """The number of tokens of a text from its chunks, each of which overlaps the next."""
+        while len(chunks) > 1:
+            pairs = [chunks[k : k + 2] for k in range(0, len(chunks), 2)]
+            chunks = [spliced_pair(*p) or self.chunk(text[p[0].begin : p[1].stop], p[0].begin, overlap) if len(p) > 1 else p[0] for p in pairs]
+        return chunks[0].n
+
+
+class Chunk(NamedTuple):
+    begin: int
+    stop: int
+    n: int
+    head: np.ndarray  # rows (start, end, name, number in the chunk, whether white space stands before) of tokens, or of those that share characters
+    tail: np.ndarray
+
+
+def spliced_pair(left: Chunk, right: Chunk) -> Chunk | None:
+    """Both chunks as one, spliced at a token that both have; None if their overlap has no place for it."""
+    mine = {(a, b, i): (k, blank) for a, b, i, k, blank in left.tail.tolist()}
+    before = None  # how far the numbers of the last common token are apart
+    for a, b, i, k, blank in right.head.tolist():
+        met = mine.get((a, b, i))
+        shift = met[0] - k if met else None
+        if met and (blank and met[1] or before == shift):
+            return Chunk(left.begin, right.stop, right.n + shift, left.head, right.tail + np.array([0, 0, 0, shift, 0]))
+        before = shift
+    return None
 
 
 @lru_cache(2)
@@ -109,22 +136,25 @@ def token_counts(docs: DataFrame, path: str, keys: list[str]) -> DataFrame:
     def offsets(batches):
         own = counter(path)
         for b in batches:
-            found = [own.starts(x.as_py()) for x in b.column("text")]
+            found = [own.chunk(x.as_py(), k.as_py() * CHUNK, OVERLAP) for x, k in zip(b.column("text"), b.column("__part"), strict=True)]
             rest = [k for k in b.schema.names if k != "text"]
             own_text = pa.array([x.as_py()[:CHUNK] for x in b.column("text")], pa.string())
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], own_text, pa.array([f[0] for f in found], pa.int64()), *[pa.array([f[i] for f in found], pa.list_(pa.int64())) for i in (1, 2)]], [*rest, "own", "n", "at", "number"])
+            sizes = [pa.array([getattr(f, k) for f in found], pa.int64()) for k in ("begin", "stop", "n")]
+            ends = [pa.array([getattr(f, k).reshape(-1) for f in found], pa.list_(pa.int64())) for k in ("head", "tail")]
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], own_text, *sizes, *ends], [*rest, "own", *Chunk._fields])
 
     def spliced(batches):
         own = counter(path)
         for b in batches:
-            n = [own.spliced("".join([c["own"] for c in doc]), [(c["n"], np.array(c["at"], np.int64), np.array(c["number"], np.int64)) for c in doc]) for doc in map(lambda x: x.as_py(), b.column("chunks"))]
+            tokens = lambda x: np.array(x, np.int64).reshape(-1, 5)
+            n = [own.spliced("".join([c["own"] for c in doc]), [Chunk(c["begin"], c["stop"], c["n"], tokens(c["head"]), tokens(c["tail"])) for c in doc]) for doc in map(lambda x: x.as_py(), b.column("chunks"))]
             rest = [k for k in b.schema.names if k != "chunks"]
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], pa.array(n, pa.int64())], [*rest, "n_tokens"])
 
     short = rows.filter(F.length("text") <= CHUNK).mapInArrow(counted, f"{types}, n_tokens long")
     parts, of = long_parts(rows, [*keys, "n_bytes"], CHUNK, OVERLAP)
-    each = parts.mapInArrow(offsets, f"{types}, {of}, own string, n long, at array<long>, number array<long>")
-    docs_of = each.groupBy(*keys, "n_bytes", "__mark", "__sha", "__n").agg(F.array_sort(F.collect_list(F.struct("__part", "own", "n", "at", "number"))).alias("chunks"))
+    each = parts.mapInArrow(offsets, f"{types}, {of}, own string, begin long, stop long, n long, head array<long>, tail array<long>")
+    docs_of = each.groupBy(*keys, "n_bytes", "__mark", "__sha", "__n").agg(F.array_sort(F.collect_list(F.struct("__part", "own", *Chunk._fields))).alias("chunks"))
     whole = docs_of.mapInArrow(spliced, f"{types}, {of.replace(', __part int', '')}, n_tokens long")
     return short.unionAll(repeated(whole).select(*keys, "n_bytes", "n_tokens"))
 
