@@ -7,18 +7,19 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the shared folder in spark.checkpoint.dir, so that a lost executor costs one stage."""
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # tests only: no cluster has named one
-    return df.checkpoint()
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that all executors share: spark.checkpoint.dir, or one of its own where a session of a single machine names none."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))  # tests only: no cluster has named one
-        named = spark.sparkContext.getCheckpointDir()
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = context.getCheckpointDir()
     return named
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, so that a lost executor costs one stage. Spark removes the files with the last use of df if spark.cleaner.referenceTracking.cleanCheckpoints is on."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
