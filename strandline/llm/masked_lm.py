@@ -10,10 +10,10 @@ the others share hashed entries, and the probability of an entry is split among
 count more for each and one for all words never seen. Counts of words are a table: it grows with the corpus and is
 joined, and only the frequent words and the totals of the shared entries reach the driver.
 
-The network is trained in numpy on every document: documents are dealt out by a hash of id and text (so that
-copies of one text are spread), each task takes
-steps from common weights on its own documents, and Spark averages the weights, by numbers of words. Half
-of the documents train the first round and half the second.
+The network is trained in numpy on every document: documents are dealt to trainers by a hash of id and text (so that
+copies of one text are spread), one trainer for each ``2 ** SHARE`` words of the corpus and a few in any case, so that neither the cluster nor its
+partitions change the result. Each takes steps from common weights on its own documents, and Spark averages the weights,
+by numbers of words. Half of the documents train the first round and half the second.
 
 Words are told apart by a hash of their lower-cased UTF-8. Null and blank texts have no words and score 0.
 Repeated rows get the same result each. Other columns are ignored.
@@ -21,6 +21,7 @@ Repeated rows get the same result each. Other columns are ignored.
 
 from __future__ import annotations
 
+from itertools import groupby
 from typing import NamedTuple
 
 import numpy as np
@@ -35,6 +36,7 @@ from strandline.llm.substring_dedup import word_symbols
 CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
 BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
 OWN = 768
+SHARE, LEAST, FEW = 21, 14, 8  # words of a trainer in both rounds, as powers of two; up to so many trainers do with the lesser number
 SHARED, FINE = BUCKETS - OWN, 1 << 30
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
 
@@ -182,24 +184,29 @@ def train(docs: DataFrame) -> Model:
     counts = counted(docs)
     (frequent, norms), flat = vocabulary(counts), initial()
 
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    trainers = max(n >> SHARE, min(FEW, n >> LEAST), 1)
+
     def tokenised(batches):
         for b in batches:
             ids = [entries(symbols(x.as_py()), frequent).astype(np.int16).tobytes() for x in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("deal"), pa.array(ids, pa.binary())], ["deal", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("trainer"), b.column("deal"), pa.array(ids, pa.binary())], ["trainer", "deal", "ids"])
 
     for turn in range(ROUNDS):
 
         def trained(batches, flat=flat):
-            own = Trainer(flat)
-            for b in batches:
-                for x in b.column("ids"):
-                    own.add(np.frombuffer(x.as_py(), np.int16).astype(np.int32))
-            own.learn()
-            if own.n:
-                yield pa.RecordBatch.from_arrays([pa.array([own.n]), pa.array([own.flat], pa.list_(pa.float32()))], ["n", "w"])
+            rows = ((k.as_py(), x.as_py()) for b in batches for k, x in zip(b.column("trainer"), b.column("ids"), strict=True))
+            for _, held in groupby(rows, key=lambda row: row[0]):
+                own = Trainer(flat)
+                for _, x in held:
+                    own.add(np.frombuffer(x, np.int16).astype(np.int32))
+                own.learn()
+                if own.n:
+                    yield pa.RecordBatch.from_arrays([pa.array([own.n]), pa.array([own.flat], pa.list_(pa.float32()))], ["n", "w"])
 
         rows = docs.select(F.xxhash64("doc_id", text, F.lit(SEED)).alias("deal"), text.alias("text")).filter(F.pmod("deal", F.lit(ROUNDS)) == turn)
-        dealt = rows.mapInArrow(tokenised, "deal long, ids binary").repartition("deal").sortWithinPartitions("deal")
+        rows = rows.select(F.pmod(F.shiftrightunsigned("deal", 8), F.lit(trainers)).cast("long").alias("trainer"), "deal", "text")
+        dealt = rows.mapInArrow(tokenised, "trainer long, deal long, ids binary").repartition("trainer").sortWithinPartitions("trainer", "deal", "ids")
         each = dealt.mapInArrow(trained, "n long, w array<float>").select("n", F.posexplode("w").alias("at", "w"))
         # whole numbers, so that the order of the sums doesn't matter
         mean = each.groupBy("at").agg((F.sum((F.col("w") * SCALE).cast("long") * F.col("n")) / F.sum("n") / SCALE).alias("w"))

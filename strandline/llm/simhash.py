@@ -1,16 +1,17 @@
 """SimHash near-dedup by multi-index hashing.
 
 A fingerprint has a bit for each bit that over half of the hashes of a text's word shingles share.
-Distinct fingerprints are indexed by three segments of 22, 21 and 21 bits. Fingerprints that differ in
-at most four bits agree in the first segment or differ in at most one bit of the second or of the
-third; so each fingerprint looks up the first segment and the Hamming balls of radius one in the other
-two, where of the two directions of a flipped bit only the rising one is followed. Matches are
-verified over all 64 bits.
-
-Copies of one text are one fingerprint. A table slot of more than ``HOT`` fingerprints is not compared
-pair by pair: fingerprints at such slots are linked through their Hamming balls of radius two, as two
-fingerprints differ in at most four bits exactly if these balls meet. A point lies in at most 2,081
-balls, so no group grows with the data and no link is lost.
+Distinct fingerprints are indexed by segments, whose bits grow with their number, so that a slot of the
+table holds a few of them by chance at any size: up to 2^24 fingerprints by segments of 22, 21 and 21 bits
+(four differing bits leave the first equal, or at most one differing bit in the second or third), beyond
+by two of 32 bits (at most two differing bits in one of them). Each fingerprint looks up the Hamming ball of
+a segment's radius; of radius two, one bit is flipped on either side. Matches are verified over all 64 bits.
+
+Copies of one text are one fingerprint. Where a crowd of different near copies shares a slot, ``HOT`` of them
+over what chance gives, all their pairs are links, too many to list: such fingerprints are indexed by a
+single segment of all 64 bits instead, with balls of radius two on either side, which meet exactly if two
+fingerprints differ in at most four bits. Members of a point are linked to its smallest one. A point lies in at
+most 2,081 balls, so no group grows with the data and no link is lost.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -33,7 +34,8 @@ from strandline.llm.windows import text_mark
 from strandline.operators.graph import components
 
 WORDS, BITS, SEED, HOT = 4, 4, 42, 64
-SEGMENTS = ((0, 22, 0), (22, 21, 1), (43, 21, 1))  # first bit, bits, radius
+#: First bit, bits, and the radius of the balls in the table and of those looked up.
+SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
 
 
@@ -67,21 +69,32 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(each, "oid long, mark long, fp long")
 
 
-def links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
+def depth(n: int) -> tuple:
+    """The segments for so many distinct fingerprints."""
+    return SHALLOW if n <= 1 << 24 else DEEP
+
+
+def links(nodes: DataFrame, hot: int = HOT, segments: tuple | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (fp), enough to connect all that differ in at most four bits."""
-    slots, probes = [], []
-    for k, (first, size, radius) in enumerate(SEGMENTS):
+    n = nodes.count()
+    segments = segments or depth(n)
+    held, asked = [], []
+    for k, (first, size, near, far) in enumerate(segments):
         own = F.shiftrightunsigned("fp", first).bitwiseAND((1 << size) - 1)
         slot = lambda key, k=k: F.shiftleft(F.lit(k).cast("long"), 32).bitwiseOR(key)
-        slots.append(F.struct(slot(own).alias("slot"), F.lit(False).alias("flipped")))
-        if radius:
-            probes += [F.when(own.bitwiseAND(1 << i) == 0, F.struct(slot(own.bitwiseOR(1 << i)).alias("slot"), F.lit(True).alias("flipped"))) for i in range(size)]
-    index = nodes.select("fp", F.explode(F.array(*slots)).alias("s")).select("fp", "s.slot")
-    asks = nodes.select("fp", F.explode(F.filter(F.array(*slots, *probes), lambda s: s.isNotNull())).alias("s")).select("fp", "s.*")
-    full = cut_lineage(index.groupBy("slot").agg(F.count("*").alias("n")).filter(F.col("n") > hot).select("slot"))
+        ball = lambda radius, own=own, slot=slot, size=size: [slot(own), *([slot(own.bitwiseXOR(F.lit(1 << i).cast("long"))) for i in range(size)] if radius else [])]
+        held += ball(near)
+        if near or not far:
+            asked += ball(far)
+        else:  # of the two directions of a flipped bit only the rising one is followed
+            asked += [slot(own), *[F.when(own.bitwiseAND(1 << i) == 0, slot(own.bitwiseOR(F.lit(1 << i).cast("long")))) for i in range(size)]]
+    index = nodes.select("fp", F.explode(F.array(*held)).alias("slot"))
+    asks = nodes.select("fp", F.explode(F.filter(F.array(*asked), lambda s: s.isNotNull())).alias("slot"))
+    chance = max(n * (1 + size * near) >> size for _, size, near, _ in segments)
+    full = cut_lineage(index.groupBy("slot").agg(F.count("*").alias("n")).filter(F.col("n") > hot + 4 * chance).select("slot"))
     far = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     near = asks.withColumnRenamed("fp", "a").join(full, "slot", "left_anti").join(index.withColumnRenamed("fp", "b"), "slot")
-    near = near.filter((far <= BITS) & (F.col("flipped") | (F.col("a") < F.col("b")))).select("a", "b")
+    near = near.filter((far <= BITS) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     crowd = asks.join(full, "slot", "left_semi").select("fp").distinct()
     masks = [0, *[1 << i for i in range(64)], *[(1 << i) | (1 << j) for i, j in combinations(range(64), 2)]]
     signed = np.array(masks, dtype=np.uint64).view(np.int64).tolist()

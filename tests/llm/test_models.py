@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -87,6 +88,13 @@ def test_training_tells_prose_from_shuffled_words(spark):
     got = {x.doc_id: x.log_probability / x.n_words for x in masked_lm.scores(spark.createDataFrame(tests, "doc_id long, text string"), flat, ["doc_id"]).collect()}
     assert all(got[i] > got[100 + i] + 0.3 for i in range(20))
     assert np.mean([got[i] for i in range(20)]) > -np.log(50)
+    # held out, the network beats the frequencies of single words
+    counts = Counter(w for _, t in rows for w in t.split())
+    alone = np.mean([np.log(counts[w] / counts.total()) for x in held for w in x])
+    assert np.mean([got[i] for i in range(20)]) > alone + 0.5
+    # and neither partitions nor the order of rows change it
+    again = masked_lm.train(df.repartition(5))
+    assert np.array_equal(again.flat, flat.flat)
     edge = {x.doc_id: tuple(x)[1:] for x in masked_lm.scores(df, flat, ["doc_id"]).collect()}
     assert edge[900] == edge[901] == (0, 0.0) and edge[None][0] == 1
     empty = spark.createDataFrame([], "doc_id long, text string")

@@ -40,8 +40,8 @@ def test_hot_slots_lose_no_link(spark):
     signed = [(x - (1 << 64) if x >> 63 else x,) for x in points]
     nodes = spark.createDataFrame(signed, "fp long")
     want = {frozenset((a, b)) for (a,) in signed for (b,) in signed if a != b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
-    for hot in (3, 1000):
-        got = {frozenset((e.a, e.b)) for e in simhash.links(nodes, hot).collect()}
+    for hot, segments in ((3, None), (1000, None), (1000, simhash.DEEP), (3, simhash.DEEP)):
+        got = {frozenset((e.a, e.b)) for e in simhash.links(nodes, hot, segments).collect()}
         assert hot == 3 or got == want
         roots = {}
         for pairs in (got, want):
@@ -54,6 +54,13 @@ def test_hot_slots_lose_no_link(spark):
         assert roots[id(got)] == roots[id(want)]
 
 
+def test_segments_grow():
+    assert simhash.depth(1 << 24) == simhash.SHALLOW and simhash.depth((1 << 24) + 1) == simhash.DEEP
+    for segments in (simhash.SHALLOW, simhash.DEEP):
+        assert sum(size for _, size, *_ in segments) == 64
+        assert sum(near + far + 1 for *_, near, far in segments) > simhash.BITS  # the pigeonhole bound
+
+
 def test_components(spark):
     r = random.Random(3)
     pairs = [(i, i + 1) for i in range(100, 160)] + [(r.randrange(40), r.randrange(40)) for _ in range(25)] + [(7, 7), (7, 7)]
