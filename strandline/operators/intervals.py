@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.operators.ordered import TILE, across
+
 FACTOR, LEVELS = 8, 5
 
 
@@ -72,13 +74,14 @@ def _merge_once(df: DataFrame, by: list[str], touching: bool) -> DataFrame:
     return df.withColumn("__run", run).groupBy(*by, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("__run")
 
 
-def merge(df: DataFrame, by: str | list[str], extend: int = 0, touching: bool = False, tile: int = 1 << 20) -> DataFrame:
-    """The union of the intervals of each group, with n, the number merged. Book-ended intervals stay apart unless ``touching``; ``extend`` widens both ends first.
+def merge(df: DataFrame, by: str | list[str], extend: int = 0, touching: bool = False, tile: int = TILE) -> DataFrame:
+    """The union of the intervals of each group, with n, the number merged. Book-ended intervals stay apart unless ``touching``; ``extend`` widens both ends first, the start down to 0 at most; a negative one narrows, and what it turns round is left out.
 
     Intervals merge within tiles of starts before they meet in their group, so a long group is no hot spot.
     """
     by = [by] if isinstance(by, str) else by
-    wide = df.select(*by, (F.col("start") - extend).alias("start"), (F.col("end") + extend).alias("end"), F.lit(1).cast("long").alias("n"))
+    wide = df.select(*by, F.greatest(F.col("start") - extend, F.lit(0)).alias("start") if extend else F.col("start"), (F.col("end") + extend).alias("end"), F.lit(1).cast("long").alias("n"))
+    wide = wide.filter("start <= end") if extend < 0 else wide
     tiled = wide.withColumn("__tile", F.floor(F.col("start") / tile))
     return _merge_once(_merge_once(tiled, [*by, "__tile"], touching).drop("__tile"), by, touching)
 
@@ -107,29 +110,20 @@ def subtract(left: DataFrame, right: DataFrame, by: str | list[str], ids: list[s
     return whole.select(*cut.columns).unionByName(cut)
 
 
-def gaps(df: DataFrame, by: str | list[str]) -> DataFrame:
+def gaps(df: DataFrame, by: str | list[str], tile: int = TILE) -> DataFrame:
     """The positions between the merged intervals of each group."""
     by = [by] if isinstance(by, str) else by
-    nxt = F.lead("start").over(W.partitionBy(*by).orderBy("start"))
-    return merge(df, by).select(*by, F.col("end").alias("start"), nxt.alias("end")).filter("start < end")
-
-
-def running_total(df: DataFrame, by: list[str], order: str, value: str, tile: int) -> DataFrame:
-    """df with total, the sum of value up to each row of its group: within tiles of the order first, so a long group is no hot spot."""
-    df = df.withColumn("__tile", F.floor(F.col(order) / tile))
-    tiles = df.groupBy(*by, "__tile").agg(F.sum(value).alias("__sum"))
-    before = tiles.withColumn("__before", F.sum("__sum").over(W.partitionBy(*by).orderBy("__tile").rowsBetween(W.unboundedPreceding, -1))).drop("__sum")
-    inner = F.sum(value).over(W.partitionBy(*by, "__tile").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
-    return df.withColumn("__inner", inner).join(before, [*by, "__tile"]).withColumn("total", F.col("__inner") + F.coalesce("__before", F.lit(0))).drop("__tile", "__inner", "__before")
+    following = across(merge(df, by, tile=tile), by, ["start"], {"__next": ("lead", F.col("start"))}, tile)
+    return following.select(*by, F.col("end").alias("start"), F.col("__next").alias("end")).filter("start < end")
 
 
-def depth(df: DataFrame, by: str | list[str], tile: int = 1 << 20, weight: Column | None = None) -> DataFrame:
+def depth(df: DataFrame, by: str | list[str], tile: int = TILE, weight: Column | None = None) -> DataFrame:
     """Run-length depth of coverage: (start, end, depth) where depth isn't zero; neighbouring runs differ."""
     by = [by] if isinstance(by, str) else by
     one = F.lit(1).cast("long") if weight is None else weight
     ends = F.explode(F.array(F.struct(F.col("start").alias("pos"), one.alias("d")), F.struct(F.col("end").alias("pos"), (-one).alias("d")))).alias("x")
     steps = df.filter("start < end").select(*by, ends).groupBy(*by, F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d")).filter("d <> 0")
-    runs = running_total(steps, by, "pos", "d", tile).withColumn("end", F.lead("pos").over(W.partitionBy(*by).orderBy("pos")))
+    runs = across(steps, by, ["pos"], {"total": ("sum", F.col("d")), "end": ("lead", F.col("pos"))}, tile)
     return runs.filter("total <> 0").select(*by, F.col("pos").alias("start"), "end", F.col("total").alias("depth"))
 
 
@@ -142,16 +136,14 @@ def coverage(windows: DataFrame, right: DataFrame, by: str | list[str], ids: lis
     return windows.join(sums, ids, "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
 
 
-def nearest(points: DataFrame, right: DataFrame, by: str | list[str]) -> DataFrame:
+def nearest(points: DataFrame, right: DataFrame, by: str | list[str], tile: int = TILE) -> DataFrame:
     """points with start_r, end_r and distance of the region that holds pos, else of the nearer one (a tie goes to the right); right is disjoint. Null where the group has none."""
     by = [by] if isinstance(by, str) else by
     extra = [c for c in points.columns if c not in [*by, "pos"]]
     region = F.struct("start_r", "end_r")
     a = points.select(*by, "pos", F.lit(1).alias("__kind"), F.lit(None).cast("struct<start_r:bigint,end_r:bigint>").alias("__region"), F.struct(*[F.col(c) for c in extra] or [F.lit(1).alias("_")]).alias("__row"))
     b = right.select(*by, F.col("start_r").alias("pos"), F.lit(0).alias("__kind"), region.cast("struct<start_r:bigint,end_r:bigint>").alias("__region"), F.lit(None).cast(a.schema["__row"].dataType).alias("__row"))
-    w = W.partitionBy(*by).orderBy("pos", "__kind")
-    both = a.unionByName(b)
-    both = both.withColumn("__l", F.last("__region", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.currentRow))).withColumn("__r", F.first("__region", ignorenulls=True).over(w.rowsBetween(1, W.unboundedFollowing)))
+    both = across(a.unionByName(b), by, ["pos", "__kind"], {"__l": ("last", F.col("__region")), "__r": ("next", F.col("__region"))}, tile)
     left_gap = F.greatest(F.col("pos") - F.col("__l.end_r"), F.lit(0))
     right_gap = F.col("__r.start_r") - F.col("pos")
     use_left = F.col("__l").isNotNull() & (F.col("__r").isNull() | (left_gap < right_gap))

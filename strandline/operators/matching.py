@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.aggregates import ratio
 from strandline.operators.intervals import overlap_join
+from strandline.operators.ordered import TILE, across
 
 
 def outer_merge(sides: dict[str, DataFrame], keys: list[str]) -> DataFrame:
@@ -22,16 +23,15 @@ def outer_merge(sides: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     return joined.withColumns({f"in_{name}": F.coalesce(f"in_{name}", F.lit(False)) for name in sides})
 
 
-def as_of(left: DataFrame, right: DataFrame, by: list[str], order: str, forward: bool = False, strict: bool = False) -> DataFrame:
-    """left with the columns of the last row of right at or before ``order`` (first at or after with ``forward``; never equal with ``strict``), null where there is none. Of right's ties the largest row counts."""
+def as_of(left: DataFrame, right: DataFrame, by: list[str], order: str, forward: bool = False, strict: bool = False, tile: int = TILE) -> DataFrame:
+    """left with the columns of the last row of right at or before ``order`` (first at or after with ``forward``; never equal with ``strict``), null where there is none. Of right's ties the largest row counts. ``tile`` is a span of the order, seconds for times."""
     values = [c for c in right.columns if c not in [*by, order]]
     extra = [c for c in left.columns if c not in [*by, order]]
     one = right.groupBy(*by, order).agg(F.max(F.struct(*values)).alias("__right"))
-    first = int(strict) if not forward else 1 - int(strict)
-    a = left.select(*by, order, F.lit(1 - first).alias("__kind"), F.struct(*[F.col(c) for c in extra] or [F.lit(1).alias("_")]).alias("__left"))
-    b = one.select(*by, order, F.lit(first).alias("__kind"), "__right")
-    w = W.partitionBy(*by).orderBy(F.desc(order) if forward else F.asc(order), F.desc("__kind") if forward else F.asc("__kind")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    both = a.unionByName(b, allowMissingColumns=True).withColumn("__pick", F.last("__right", ignorenulls=True).over(w))
+    right_first = forward == strict  # of equal orders
+    a = left.select(*by, order, F.lit(int(right_first)).alias("__kind"), F.struct(*[F.col(c) for c in extra] or [F.lit(1).alias("_")]).alias("__left"))
+    b = one.select(*by, order, F.lit(int(not right_first)).alias("__kind"), "__right")
+    both = across(a.unionByName(b, allowMissingColumns=True), by, [order, "__kind"], {"__pick": ("next" if forward else "last", F.col("__right"))}, tile)
     return both.filter(F.col("__left").isNotNull()).select(*by, order, *[F.col(f"__left.{c}") for c in extra], *[F.col(f"__pick.{c}").alias(c) for c in values])
 
 

@@ -8,22 +8,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from strandline.operators.ordered import TILE, across, numbered
 
-def _numbered(df: DataFrame, by: list[str], order: list, new: Column, name: str) -> DataFrame:
-    w = W.partitionBy(*by).orderBy(*order)
-    df = df.withColumn("__new", F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0))
-    return df.withColumn(name, F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("__new")
 
-
-def gap_sessions(df: DataFrame, by: list[str], pos: str, gap, name: str = "session", ties: list[str] | None = None) -> DataFrame:
+def gap_sessions(df: DataFrame, by: list[str], pos: str, gap, name: str = "session", ties: list[str] | None = None, tile: int = TILE) -> DataFrame:
     """df numbered by session: a new one begins where pos is more than ``gap`` after the row before."""
     order = [pos, *(ties or [])]
-    return _numbered(df, by, order, F.col(pos) - F.lag(pos).over(W.partitionBy(*by).orderBy(*order)) > gap, name)
+    own = across(df, by, order, {"__before": ("lag", F.col(pos))}, tile)
+    return numbered(own, by, order, F.col(pos) - F.col("__before") > gap, name, tile).drop("__before")
 
 
-def molecules(reads: DataFrame, by: list[str], pos: str, gap: int, quality: str, least: int) -> DataFrame:
+def molecules(reads: DataFrame, by: list[str], pos: str, gap: int, quality: str, least: int, tile: int = TILE) -> DataFrame:
     """One row for each gap session of reads from its first to its last read of quality ``least`` or more; sessions without such a read are no molecules. Columns: start, end, n."""
-    own = gap_sessions(reads, by, pos, gap)
+    own = gap_sessions(reads, by, pos, gap, tile=tile)
     w = W.partitionBy(*by, "session")
     good = F.when(F.col(quality) >= least, F.col(pos))
     own = own.withColumns({"__first": F.min(good).over(w), "__last": F.max(good).over(w)})
@@ -36,23 +33,23 @@ def estimated_length(observed: Column, n: Column) -> Column:
     return F.when(n > 1, observed * (n + 1) / (n - 1))
 
 
-def end_gap_fragments(df: DataFrame, by: list[str], window: int, compat: bool = False) -> DataFrame:
+def end_gap_fragments(df: DataFrame, by: list[str], window: int, compat: bool = False, tile: int = TILE) -> DataFrame:
     """Intervals joined while a start is at most ``window`` after the end so far: the furthest end, or with ``compat`` the last row's."""
-    w = W.partitionBy(*by).orderBy("start", "end")
-    reach = F.lag("end").over(w) if compat else F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    own = _numbered(df, by, ["start", "end"], F.col("start") > reach + window, "fragment")
+    order = ["start", "end"]
+    own = across(df, by, order, {"__reach": ("lag" if compat else "reach", F.col("end"))}, tile)
+    own = numbered(own, by, order, F.col("start") > F.col("__reach") + window, "fragment", tile)
     last = F.max_by("end", F.struct("start", "end")) if compat else F.max("end")
     return own.groupBy(*by, "fragment").agg(F.min("start").alias("start"), last.alias("end"), F.count("*").alias("n"))
 
 
-def clusters(df: DataFrame, by: list[str], window: int, most: int | None = None) -> DataFrame:
+def clusters(df: DataFrame, by: list[str], window: int, most: int | None = None, tile: int = TILE) -> DataFrame:
     """df (start, end, ...) with cluster: a new one where start is more than ``window`` after the furthest end so far, or, with ``most``, where the cluster would span more than that."""
-    w = W.partitionBy(*by).orderBy("start", "end")
     if most is None:
-        return _numbered(df, by, ["start", "end"], F.col("start") > F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)) + window, "cluster")
+        own = across(df, by, ["start", "end"], {"__reach": ("reach", F.col("end"))}, tile)
+        return numbered(own, by, ["start", "end"], F.col("start") > F.col("__reach") + window, "cluster", tile).drop("__reach")
     # the bound depends on where the cluster began: chains without it are cut apart first, so that groups stay short
     whole = W.partitionBy(*by, "__chain")
-    chained = clusters(df, by, window).withColumnRenamed("cluster", "__chain").withColumn("__long", F.max("end").over(whole) - F.min("start").over(whole) > most)
+    chained = clusters(df, by, window, tile=tile).withColumnRenamed("cluster", "__chain").withColumn("__long", F.max("end").over(whole) - F.min("start").over(whole) > most)
 
     def cut(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "end"], kind="stable")
@@ -70,26 +67,23 @@ def clusters(df: DataFrame, by: list[str], window: int, most: int | None = None)
     return parts.withColumn("cluster", rank.cast("long")).drop("__chain", "__part", "__long")
 
 
-def islands(df: DataFrame, by: list[str], pos: str) -> DataFrame:
+def islands(df: DataFrame, by: list[str], pos: str, tile: int = TILE) -> DataFrame:
     """Runs of consecutive whole positions: (start, end, n), end not included. Repeated positions count once."""
-    w = W.partitionBy(*by).orderBy(pos)
-    own = df.select(*by, pos).distinct().withColumn("__key", F.col(pos) - F.row_number().over(w))
+    own = across(df.select(*by, pos).distinct(), by, [pos], {"__row": ("sum", F.lit(1).cast("long"))}, tile).withColumn("__key", F.col(pos) - F.col("__row"))
     return own.groupBy(*by, "__key").agg(F.min(pos).alias("start"), (F.max(pos) + 1).alias("end"), F.count("*").alias("n")).drop("__key")
 
 
-def run_lengths(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+def run_lengths(df: DataFrame, by: list[str], order: list[str], value: str, tile: int = TILE) -> DataFrame:
     """Runs of equal values in order: (run, value, n, first, last) with the first order column's bounds. Nulls are a value."""
-    w = W.partitionBy(*by).orderBy(*order)
-    number = F.row_number().over(w)
-    own = df.withColumn("__row", number)
-    same = F.col(value).eqNullSafe(F.lag(value).over(w)) & (F.col("__row") > 1)
-    own = _numbered(own, by, order, ~same, "run")
+    own = across(df, by, order, {"__before": ("lag", F.struct(F.col(value).alias("v")))}, tile)
+    new = F.col("__before").isNull() | ~F.col(value).eqNullSafe(F.col("__before.v"))
+    own = numbered(own, by, order, new, "run", tile)
     return own.groupBy(*by, "run").agg(F.first(value).alias(value), F.count("*").alias("n"), F.min(order[0]).alias("first"), F.max(order[0]).alias("last"))
 
 
-def carried(value: str, by: list[str], order: list[str]) -> Column:
-    """The last value that isn't null, up to the row."""
-    return F.last(value, ignorenulls=True).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
+def carried(df: DataFrame, value: Column, by: list[str], order: list[str], name: str, tile: int = TILE) -> DataFrame:
+    """df with name, the last value that isn't null up to the row."""
+    return across(df, by, order, {name: ("last", value)}, tile)
 
 
 def best_of(df: DataFrame, by: list[str], order: list, n: int = 1) -> DataFrame:
@@ -122,7 +116,7 @@ def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: i
     return df.select(*by, "start", "end", "n").groupBy(*by).applyInPandas(join, schema)
 
 
-def apart(df: DataFrame, by: list[str]) -> DataFrame:
+def apart(df: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
     """Greedy from the left: intervals that start at or after the end of the last one taken."""
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -135,5 +129,5 @@ def apart(df: DataFrame, by: list[str]) -> DataFrame:
         return pdf[take]
 
     # intervals that touch nothing else are cut apart first, so that groups stay short
-    chained = clusters(df, by, -1)
+    chained = clusters(df, by, -1, tile=tile)
     return chained.groupBy(*by, "cluster").applyInPandas(pick, chained.schema).drop("cluster")

@@ -53,7 +53,7 @@ def interval_merge(spark, sf):
     return I.merge(_sides(spark, sf)[0], "contig", tile=512)
 
 
-@query(f'WITH {SIDES}, x AS (SELECT contig, start - 3 AS start, "end" + 3 AS "end" FROM a), {MERGED.format(n="x", s="start", e=chr(34) + "end" + chr(34))} SELECT contig, s AS start, e AS "end", n FROM x_m')
+@query(f'WITH {SIDES}, x AS (SELECT contig, greatest(start - 3, 0) AS start, "end" + 3 AS "end" FROM a), {MERGED.format(n="x", s="start", e=chr(34) + "end" + chr(34))} SELECT contig, s AS start, e AS "end", n FROM x_m')
 def interval_merge_extended(spark, sf):
     return I.merge(_sides(spark, sf)[0], "contig", extend=3, tile=512)
 
@@ -74,7 +74,7 @@ def interval_subtract(spark, sf):
 
 @query(f'WITH {SIDES}, {A} SELECT contig, e AS start, z AS "end" FROM (SELECT *, lead(s) OVER (PARTITION BY contig ORDER BY s) AS z FROM a_m) WHERE e < z')
 def interval_gaps(spark, sf):
-    return I.gaps(_sides(spark, sf)[0], "contig")
+    return I.gaps(_sides(spark, sf)[0], "contig", 512)
 
 
 DEPTH = f"""{ITEMS}, st AS (SELECT contig, pos, sum(d) AS d FROM (SELECT contig, start AS pos, 1 AS d FROM items WHERE start < "end" UNION ALL SELECT contig, "end", -1 FROM items WHERE start < "end") GROUP BY contig, pos HAVING sum(d) <> 0),
@@ -98,7 +98,7 @@ SELECT id, pos, s AS start_r, e AS end_r, d AS distance FROM c QUALIFY row_numbe
 def nearest_region(spark, sf):
     a, b = _sides(spark, sf)
     regions = I.merge(b.select("contig", F.col("start_r").alias("start"), F.col("end_r").alias("end")), "contig").select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
-    out = I.nearest(a.select("contig", F.col("start").alias("pos"), "id"), regions, "contig")
+    out = I.nearest(a.select("contig", F.col("start").alias("pos"), "id"), regions, "contig", 512)
     return out.filter("start_r is not null").select("id", "pos", "start_r", "end_r", "distance")
 
 

@@ -27,7 +27,7 @@ r AS (SELECT *, sum(CASE WHEN bin = pb + 1 AND v = pv THEN 0 ELSE 1 END) OVER (P
 SELECT contig, min(bin) * 5 AS start, (max(bin) + 1) * 5 AS "end", any_value(v)::BIGINT AS v FROM r GROUP BY contig, run""")
 def dense_profile(spark, sf):
     bins = L.dense(I.depth(items(spark, sf), "contig", tile=256), 5, "depth")
-    return L.bin_ranges(bins.groupBy("contig", "bin").agg(F.expr("max(depth) div 4").alias("v")), 5, "v")
+    return L.bin_ranges(bins.groupBy("contig", "bin").agg(F.expr("max(depth) div 4").alias("v")), 5, "v", 128)
 
 
 @query("SELECT p_partkey, 'part' || p_partkey AS sample, (p_size % 8)::INT AS lane, 'R' || (p_partkey % 2 + 1) AS read FROM part WHERE p_partkey % 3 > 0")

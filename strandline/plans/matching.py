@@ -11,19 +11,22 @@ from strandline.operators import variants as V
 from strandline.plans.base import ITEMS, code, code_sql, items, query, table
 
 
+MONTH = 30 * 86400
+
+
 @query("""WITH o AS (SELECT o_custkey AS k, o_orderdate::TIMESTAMP AS t, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL)
 SELECT e.event_id, coalesce(o.o_orderkey, -1) AS o_orderkey FROM (SELECT event_id, user_id AS k, ts AS t FROM events) e ASOF LEFT JOIN o ON e.k = o.k AND e.t >= o.t""")
 def last_order_before(spark, sf):
     left = table(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("ts").cast("timestamp").alias("t"), "event_id")
     right = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("t"), "o_orderkey")
-    return M.as_of(left, right, ["k"], "t").select("event_id", F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey"))
+    return M.as_of(left, right, ["k"], "t", tile=MONTH).select("event_id", F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey"))
 
 
 @query("""WITH o AS (SELECT o_custkey AS k, o_orderdate::TIMESTAMP AS t, max(o_orderkey) AS o_orderkey FROM orders GROUP BY ALL)
 SELECT a.o_orderkey, coalesce(b.o_orderkey, -1) AS next_order FROM (SELECT o_orderkey, o_custkey AS k, o_orderdate::TIMESTAMP AS t FROM orders) a ASOF LEFT JOIN o b ON a.k = b.k AND a.t < b.t""")
 def next_order_after(spark, sf):
     own = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("t"), "o_orderkey")
-    return M.as_of(own, own.withColumnRenamed("o_orderkey", "next_order"), ["k"], "t", forward=True, strict=True).select("o_orderkey", F.coalesce("next_order", F.lit(-1)).alias("next_order"))
+    return M.as_of(own, own.withColumnRenamed("o_orderkey", "next_order"), ["k"], "t", forward=True, strict=True, tile=MONTH).select("o_orderkey", F.coalesce("next_order", F.lit(-1)).alias("next_order"))
 
 
 @query("""WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1), b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), c AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1)

@@ -47,7 +47,7 @@ r AS (SELECT *, sum(CASE WHEN v IS NOT DISTINCT FROM p AND k > 1 THEN 0 ELSE 1 E
 SELECT contig, run::BIGINT AS run, any_value(v)::BIGINT AS v, count(*) AS n, min(start) AS first, max(start) AS last FROM r GROUP BY contig, run""")
 def zoomable_coverage(spark, sf):
     runs = I.depth(items(spark, sf), "contig", tile=256).select("contig", "start", O.discretised(F.col("depth"), 1000, 2.0).cast("long").alias("v"))
-    return S.run_lengths(runs, ["contig"], ["start"], "v")
+    return S.run_lengths(runs, ["contig"], ["start"], "v", 256)
 
 
 @query(f"""WITH {ITEMS}, b AS (SELECT contig, start // 30 AS bin, count(*) AS n, avg(id % 97) AS score FROM items GROUP BY ALL), m AS (SELECT contig, start // 30 // 4 AS bin, count(DISTINCT id % 1000) AS molecules FROM items GROUP BY ALL)

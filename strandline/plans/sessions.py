@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.operators import sessions as S
+from strandline.operators.ordered import across
 from strandline.plans.base import ITEMS, items, query, table
 
-GAP = 6 * 3600
+GAP, WEEK, YEAR = 6 * 3600, 7 * 86400, 366
 
 
 def _events(spark, sf):
@@ -21,14 +21,14 @@ NUMBERED = f"{EVENTS}, s AS (SELECT *, sum(CASE WHEN pos - prev <= {GAP} THEN 0
 
 @query(f"WITH {NUMBERED} SELECT user_id, session::BIGINT AS session, min(pos) AS start, max(pos) AS \"end\", count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, session")
 def session_molecules(spark, sf):
-    own = S.gap_sessions(_events(spark, sf), ["user_id"], "pos", GAP, ties=["event_id"])
+    own = S.gap_sessions(_events(spark, sf), ["user_id"], "pos", GAP, ties=["event_id"], tile=WEEK)
     return own.groupBy("user_id", "session").agg(F.min("pos").alias("start"), F.max("pos").alias("end"), F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 @query(f"""WITH {NUMBERED}, g AS (SELECT *, min(CASE WHEN value >= 60 THEN pos END) OVER w AS a, max(CASE WHEN value >= 60 THEN pos END) OVER w AS z FROM s WINDOW w AS (PARTITION BY user_id, session))
 SELECT user_id, min(pos) AS start, max(pos) AS "end", count(*) AS n, CASE WHEN count(*) > 1 THEN round((max(pos) - min(pos)) * (count(*) + 1) / (count(*) - 1), 4) END AS length FROM g WHERE pos BETWEEN a AND z GROUP BY user_id, session""")
 def trimmed_molecules(spark, sf):
-    own = S.molecules(_events(spark, sf), ["user_id"], "pos", GAP, "value", 60)
+    own = S.molecules(_events(spark, sf), ["user_id"], "pos", GAP, "value", 60, WEEK)
     return own.withColumn("length", F.round(S.estimated_length(F.col("end") - F.col("start"), F.col("n")), 4))
 
 
@@ -42,38 +42,38 @@ FURTHEST = 'max("end") OVER (PARTITION BY contig ORDER BY start, "end" ROWS BETW
 
 @query(_chains(FURTHEST, 2) + ' SELECT contig, k::BIGINT AS fragment, min(start) AS start, max("end") AS "end", count(*) AS n FROM c GROUP BY contig, k')
 def end_gap_fragments(spark, sf):
-    return S.end_gap_fragments(items(spark, sf), ["contig"], 2)
+    return S.end_gap_fragments(items(spark, sf), ["contig"], 2, tile=YEAR)
 
 
 @query(_chains('lag("end") OVER (PARTITION BY contig ORDER BY start, "end")', 2) + ' SELECT contig, k::BIGINT AS fragment, min(start) AS start, max("end") FILTER (start = s AND "end" = z) AS "end", count(*) AS n FROM (SELECT *, max(start) OVER (PARTITION BY contig, k) AS s, last_value("end") OVER (PARTITION BY contig, k ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS z FROM c) GROUP BY contig, k')
 def end_gap_fragments_last(spark, sf):
-    return S.end_gap_fragments(items(spark, sf), ["contig"], 2, compat=True)
+    return S.end_gap_fragments(items(spark, sf), ["contig"], 2, compat=True, tile=YEAR)
 
 
 @query(_chains(FURTHEST, 5) + " SELECT contig, k::BIGINT AS cluster, count(*) AS n, min(id) AS first_id FROM c GROUP BY contig, k")
 def gap_clusters(spark, sf):
-    return S.clusters(items(spark, sf), ["contig"], 5).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    return S.clusters(items(spark, sf), ["contig"], 5, tile=YEAR).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
 @query()
 def bounded_clusters(spark, sf):
-    return S.clusters(items(spark, sf), ["contig"], 5, most=120).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
+    return S.clusters(items(spark, sf), ["contig"], 5, most=120, tile=YEAR).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
 
 
 @query(f"WITH {ITEMS}, d AS (SELECT contig, start, start - row_number() OVER (PARTITION BY contig ORDER BY start) AS k FROM (SELECT DISTINCT contig, start FROM items)) SELECT contig, min(start) AS start, max(start) + 1 AS \"end\", count(*) AS n FROM d GROUP BY contig, k")
 def day_islands(spark, sf):
-    return S.islands(items(spark, sf), ["contig"], "start")
+    return S.islands(items(spark, sf), ["contig"], "start", YEAR)
 
 
 @query(f"WITH {EVENTS}, r AS (SELECT *, sum(CASE WHEN event_type IS NOT DISTINCT FROM p AND k > 1 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY pos, event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS k FROM e WINDOW w AS (PARTITION BY user_id ORDER BY pos, event_id))) SELECT user_id, run::BIGINT AS run, any_value(event_type) AS event_type, count(*) AS n, min(pos) AS first, max(pos) AS last FROM r GROUP BY user_id, run")
 def event_runs(spark, sf):
-    return S.run_lengths(_events(spark, sf), ["user_id"], ["pos", "event_id"], "event_type")
+    return S.run_lengths(_events(spark, sf), ["user_id"], ["pos", "event_id"], "event_type", WEEK)
 
 
 @query(f"WITH {EVENTS} SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY pos, event_id ROWS UNBOUNDED PRECEDING) AS bought FROM e")
 def carried_values(spark, sf):
-    own = _events(spark, sf).withColumn("__v", F.when(F.col("event_type") == "purchase", F.col("value")))
-    return own.select("event_id", S.carried("__v", ["user_id"], ["pos", "event_id"]).alias("bought"))
+    bought = F.when(F.col("event_type") == "purchase", F.col("value"))
+    return S.carried(_events(spark, sf), bought, ["user_id"], ["pos", "event_id"], "bought", WEEK).select("event_id", "bought")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) <= 2")
@@ -102,10 +102,10 @@ def coalesced_windows(spark, sf):
 
 @query()
 def windows_apart(spark, sf):
-    return S.apart(items(spark, sf).select("contig", "start", "end").distinct(), ["contig"])
+    return S.apart(items(spark, sf).select("contig", "start", "end").distinct(), ["contig"], YEAR)
 
 
 @query(f"WITH {EVENTS} SELECT event_id, coalesce(pos - lag(pos) OVER w, 0) AS step, coalesce(event_type = lag(event_type) OVER w, false) AS same FROM e WINDOW w AS (PARTITION BY user_id ORDER BY pos, event_id)")
 def row_differences(spark, sf):
-    w = W.partitionBy("user_id").orderBy("pos", "event_id")
-    return _events(spark, sf).select("event_id", F.coalesce(F.col("pos") - F.lag("pos").over(w), F.lit(0)).alias("step"), F.coalesce(F.col("event_type") == F.lag("event_type").over(w), F.lit(False)).alias("same"))
+    own = across(_events(spark, sf), ["user_id"], ["pos", "event_id"], {"p": ("lag", F.col("pos")), "t": ("lag", F.col("event_type"))}, WEEK)
+    return own.select("event_id", F.coalesce(F.col("pos") - F.col("p"), F.lit(0)).alias("step"), F.coalesce(F.col("event_type") == F.col("t"), F.lit(False)).alias("same"))

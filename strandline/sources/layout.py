@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.operators.intervals import overlap_join
+from strandline.operators.ordered import TILE, across, numbered
 
 
 def fastq_name(path: Column) -> Column:
@@ -48,11 +49,11 @@ def dense(df: DataFrame, size: int, value: str) -> DataFrame:
     return df.filter("start < end").select("contig", bins.alias("bin"), value)
 
 
-def bin_ranges(df: DataFrame, size: int, value: str) -> DataFrame:
+def bin_ranges(df: DataFrame, size: int, value: str, tile: int = TILE) -> DataFrame:
     """The reverse: runs of neighbouring bins of equal value as ranges."""
-    w = W.partitionBy("contig").orderBy("bin")
-    new = (F.col("bin") != F.lag("bin").over(w) + 1) | ~F.col(value).eqNullSafe(F.lag(value).over(w))
-    own = df.withColumn("__run", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    own = across(df, ["contig"], ["bin"], {"__before": ("lag", F.struct(F.col("bin").alias("bin"), F.col(value).alias("v")))}, tile)
+    new = (F.col("bin") != F.col("__before.bin") + 1) | ~F.col(value).eqNullSafe(F.col("__before.v"))
+    own = numbered(own, ["contig"], ["bin"], new, "__run", tile)
     return own.groupBy("contig", "__run").agg((F.min("bin") * size).alias("start"), ((F.max("bin") + 1) * size).alias("end"), F.first(value).alias(value)).drop("__run")
 
 
