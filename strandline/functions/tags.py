@@ -8,12 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with value worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parsed(info: Column) -> Column:
     """Map of a text of pairs; keys without a value map to an empty text. Of repeated keys the last counts."""
     pairs = F.filter(F.split(F.coalesce(info, F.lit("")), ";"), lambda x: (x != "") & (x != "."))
     entries = F.transform(pairs, lambda x: F.struct(F.substring_index(x, "=", 1).alias("k"), F.when(F.contains(x, F.lit("=")), F.substring(x, F.instr(x, "=") + 1, F.length(x))).otherwise("").alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda o: o["k"] == e["k"]))
-    return F.map_from_entries(last)
+
+    def last(own: Column) -> Column:
+        keys = F.transform(own, lambda e: e["k"])
+        # where keys repeat: the place of a key from the end says whether it is the last one
+        kept = F.filter(own, lambda e, i: F.size(own) - F.array_position(F.reverse(F.transform(own, lambda o: o["k"])), e["k"]).cast("int") == i)
+        return F.when(F.size(F.array_distinct(keys)) == F.size(keys), own).otherwise(kept)
+
+    return F.map_from_entries(_once(entries, last))
 
 
 def text_of(entries: Column) -> Column:
@@ -24,15 +35,15 @@ def text_of(entries: Column) -> Column:
 
 
 def updated(info: Column, changes: dict[str, Column]) -> Column:
-    """The text with keys set; a null value removes its key."""
-    own = F.map_filter(parsed(info), lambda k, v: ~k.isin(*changes)) if changes else parsed(info)
+    """The text of a map, as ``parsed`` gives it, with keys set; a null value removes its key."""
+    own = F.map_filter(info, lambda k, v: ~k.isin(*changes)) if changes else info
     new = F.map_filter(F.create_map(*[x for k, v in changes.items() for x in (F.lit(k), v.cast("string"))]), lambda k, v: v.isNotNull())
     return text_of(F.map_concat(own, new))
 
 
 def value(info: Column, key: str, kind: str = "string", default=None) -> Column:
-    """A key's value; the word None counts as none."""
-    found = F.try_element_at(parsed(info), F.lit(key))
+    """A key's value in a map, as ``parsed`` gives it; the word None counts as none."""
+    found = F.try_element_at(info, F.lit(key))
     typed = F.when(found != "None", found).try_cast(kind)
     return typed if default is None else F.coalesce(typed, F.lit(default).cast(kind))
 

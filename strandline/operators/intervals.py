@@ -2,8 +2,9 @@
 
 Joins deal intervals out to cells of several sizes. An interval's level is the smallest whose cells are
 at least as long as the interval, so it touches two cells of its level at most; it is also lifted to the
-higher levels, where it meets longer intervals. A pair meets at the higher of the two levels only, and is
-kept in the cell of its later start only, so no pair is found twice and no interval, however
+higher levels, where it meets longer intervals. There are as many levels as the longest interval of the two
+sides needs, which callers may name and is looked up otherwise. A pair meets at the higher of the two
+levels only, and is kept in the cell of its later start only, so no pair is found twice and no interval, however
 long, floods the join. Null or empty groups and bounds never overlap anything.
 """
 
@@ -17,37 +18,54 @@ from pyspark.sql import functions as F
 
 from strandline.operators.ordered import TILE, across
 
-FACTOR, LEVELS = 8, 5
+FACTOR = 8
 
 
 def _size(base: int, level: int) -> int:
     return base * FACTOR**level
 
 
-def _cells(df: DataFrame, start: Column, end: Column, base: int, lifted_role: int) -> DataFrame:
+def _levels(longest: int, base: int) -> int:
+    """As many levels as an interval of this length needs."""
+    n = 1
+    while _size(base, n - 1) < longest:
+        n += 1
+    return n
+
+
+def _cells(df: DataFrame, start: Column, end: Column, base: int, levels: int, lifted_role: int) -> DataFrame:
     """df once for each cell: __role 1 pairs the left side's own level with all of the right side's, 2 the reverse (higher levels only)."""
     last = F.greatest(end - 1, start)
-    level = reduce(lambda e, k: F.when(last - start + 1 <= _size(base, k), F.lit(k)).otherwise(e), range(LEVELS - 1, -1, -1), F.lit(LEVELS - 1))
+    level = reduce(lambda e, k: F.when(last - start + 1 <= _size(base, k), F.lit(k)).otherwise(e), range(levels - 1, -1, -1), F.lit(levels - 1))
     df = df.withColumn("__level", level)
     at = lambda k: F.transform(F.sequence(F.floor(start / _size(base, k)).cast("long"), F.floor(last / _size(base, k)).cast("long")), lambda c: F.struct(F.lit(k).alias("k"), c.alias("c")))
     none = F.array().cast("array<struct<k:int,c:bigint>>")
-    own = F.flatten(F.array(*[F.when(F.col("__level") == k, at(k)).otherwise(none) for k in range(LEVELS)]))
-    up = F.flatten(F.array(*[F.when(F.col("__level") < k, at(k)).otherwise(none) for k in range(LEVELS)]))
+    own = F.flatten(F.array(*[F.when(F.col("__level") == k, at(k)).otherwise(none) for k in range(levels)]))
+    up = F.flatten(F.array(*[F.when(F.col("__level") < k, at(k)).otherwise(none) for k in range(levels)]))
     role = lambda cells, n: F.transform(cells, lambda x: F.struct(F.lit(n).alias("role"), x["k"].alias("k"), x["c"].alias("c")))
-    both = F.concat(role(own, 3 - lifted_role), role(up, lifted_role)) if lifted_role == 2 else F.concat(role(own, 1), role(own, 2), role(up, 1))
+    if levels == 1:
+        both = role(at(0), 1)
+    else:
+        both = F.concat(role(own, 3 - lifted_role), role(up, lifted_role)) if lifted_role == 2 else F.concat(role(own, 1), F.when(F.col("__level") > 0, role(own, 2)).otherwise(role(none, 2)), role(up, 1))
     return df.withColumn("__cell", F.explode(both)).select("*", "__cell.role", "__cell.k", "__cell.c").drop("__cell", "__level")
 
 
-def overlap_join(left: DataFrame, right: DataFrame, by: str | list[str], base: int = 16384, slack: int = 0) -> DataFrame:
+def overlap_join(left: DataFrame, right: DataFrame, by: str | list[str], base: int = 16384, slack: int = 0, longest: int | None = None) -> DataFrame:
     """Pairs of intervals of the same group that overlap by a position, or come within ``slack`` of it.
 
-    left has start and end, right start_r and end_r; other columns must differ, but for the group's.
+    left has start and end, right start_r and end_r; other columns must differ, but for the group's. ``longest``
+    names a length that few intervals exceed, which saves looking for the longest.
     """
     by = [by] if isinstance(by, str) else by
     s, e = F.col("start") - slack, F.col("end") + slack
-    a = _cells(left.filter((F.col("start") <= F.col("end"))), s, e, base, 2)
-    b = _cells(right.filter((F.col("start_r") <= F.col("end_r"))), F.col("start_r"), F.col("end_r"), base, 1)
-    sizes = F.element_at(F.array(*[F.lit(_size(base, k)).cast("long") for k in range(LEVELS)]), F.col("k") + 1)
+    left, right = left.filter(F.col("start") <= F.col("end")), right.filter(F.col("start_r") <= F.col("end_r"))
+    if longest is None:
+        found = [x.agg(F.max(size)).first()[0] for x, size in ((left, e - s), (right, F.col("end_r") - F.col("start_r")))]
+        longest = max((x for x in found if x is not None), default=1)
+    levels = _levels(longest, base)
+    a = _cells(left, s, e, base, levels, 2)
+    b = _cells(right, F.col("start_r"), F.col("end_r"), base, levels, 1)
+    sizes = F.element_at(F.array(*[F.lit(_size(base, k)).cast("long") for k in range(levels)]), F.col("k") + 1)
     pairs = a.join(b, [*by, "role", "k", "c"])
     later = F.floor(F.greatest(s, F.col("start_r")) / sizes).cast("long")
     return pairs.filter((s < F.col("end_r")) & (F.col("start_r") < e) & (later == F.col("c"))).drop("role", "k", "c")

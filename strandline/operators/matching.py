@@ -45,17 +45,26 @@ def pair_counts(df: DataFrame, group: str, item: str, least: int = 1, most_items
 
 
 def breakpoint_matches(calls: DataFrame, truth: DataFrame, slack: int, base: int = 1 << 14) -> DataFrame:
-    """(name, truth): calls and truths of which both breakpoints come within ``slack``; ends are ordered by contig and start first. Both sides: name, chrom1, start1, stop1, chrom2, start2, stop2."""
+    """(name, truth): calls and truths of which both breakpoints come within ``slack``; ends are ordered by contig and start first. Both sides: name, chrom1, start1, stop1, chrom2, start2, stop2.
+
+    Rows are dealt by the cells of both breakpoints, so that a pile of calls at one place meets only those that also end near each other.
+    """
 
     def ordered(df: DataFrame, widen: int) -> DataFrame:
         side = lambda k: F.struct(F.col(f"chrom{k}").alias("c"), F.greatest(F.col(f"start{k}") - widen, F.lit(0)).alias("s"), (F.col(f"stop{k}") + widen).alias("e"))
         return df.select("name", F.least(side(1), side(2)).alias("x"), F.greatest(side(1), side(2)).alias("y"))
 
-    a, b = ordered(calls, slack), ordered(truth, 0)
-    left = a.select("name", F.col("x.c").alias("contig"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), "y")
-    right = b.select(F.col("name").alias("truth"), F.col("x.c").alias("contig"), F.col("x.s").alias("start_r"), F.col("x.e").alias("end_r"), F.col("y").alias("z"))
-    near = overlap_join(left, right, "contig", base)
-    return near.filter("y.c = z.c and y.s < z.e and z.s < y.e").select("name", "truth").distinct()
+    def dealt(df: DataFrame, size: int) -> DataFrame:
+        cells = F.sequence(F.floor(F.col("y.s") / size).cast("long"), F.floor(F.greatest(F.col("y.e") - 1, F.col("y.s")) / size).cast("long"))
+        return df.withColumn("__end", F.explode(cells)).withColumn("__other", F.col("y.c"))
+
+    size, place = base * 8, ["contig", "__other", "__end"]
+    a, b = dealt(ordered(calls, slack), size), dealt(ordered(truth, 0), size)
+    left = a.select("name", F.col("x.c").alias("contig"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), "y", "__other", "__end")
+    right = b.select(F.col("name").alias("truth"), F.col("x.c").alias("contig"), F.col("x.s").alias("start_r"), F.col("x.e").alias("end_r"), F.col("y").alias("z"), "__other", "__end")
+    near = overlap_join(left, right, place, base)
+    met = F.floor(F.greatest("y.s", "z.s") / size) == F.col("__end")  # once for each pair
+    return near.filter(F.expr("y.s < z.e and z.s < y.e") & met).select("name", "truth").distinct()
 
 
 def reciprocal_matches(calls: DataFrame, truth: DataFrame, share: float, base: int = 1 << 14) -> DataFrame:

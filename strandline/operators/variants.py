@@ -77,8 +77,10 @@ def attached(reads: DataFrame, fragments: DataFrame, confidence: float = 0.995)
 def molecule_counts(fragments: DataFrame, bins: DataFrame, base: int = 1 << 14) -> DataFrame:
     """(contig, start, end, n, n1, n2): distinct molecules that touch each bin, of all and of each haplotype."""
     right = fragments.select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"), "molecule", "hp")
-    hits = overlap_join(bins.select("contig", "start", "end"), right, "contig", base).select("contig", "start", "end", "molecule", "hp").distinct()
-    counts = hits.groupBy("contig", "start", "end").agg(F.count_distinct("molecule").alias("n"), *[F.count_distinct(F.when(F.col("hp") == h, F.col("molecule"))).alias(f"n{h}") for h in (1, 2)])
+    bin_ = ["contig", "start", "end"]
+    hits = overlap_join(bins.select(*bin_), right, "contig", base).select(*bin_, "molecule", "hp").repartition(*bin_)  # one shuffle for both counts
+    each = hits.groupBy(*bin_, "molecule").agg(*[F.max((F.col("hp") == h).cast("long")).alias(f"__h{h}") for h in (1, 2)])
+    counts = each.groupBy(*bin_).agg(F.count("*").alias("n"), *[F.sum(f"__h{h}").alias(f"n{h}") for h in (1, 2)])
     return bins.join(counts, ["contig", "start", "end"], "left").fillna(0, ["n", "n1", "n2"])
 
 

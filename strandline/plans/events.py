@@ -25,23 +25,23 @@ def haplotype_parity(spark, sf):
     return bins.select("contig", "bin", F.round(E.parity(F.col("r"), F.col("a")) + 1e-9, 6).alias("p"))
 
 
-EV = f'{ITEMS}, c AS (SELECT * FROM items WHERE flag = \'R\' AND id % 9 = 0), t AS (SELECT * FROM items WHERE flag = \'A\' AND id % 7 = 0)'
+EV = f'{ITEMS}, c AS (SELECT * FROM items WHERE flag = \'R\'), t AS (SELECT * FROM items WHERE flag = \'A\')'
 
 
 @query(f"""WITH {EV}, s AS (SELECT (SELECT count(*) FROM c) AS nc, (SELECT count(*) FROM t) AS nt, (SELECT count(*) FROM c WHERE EXISTS (SELECT 1 FROM t WHERE t.contig = c.contig AND t.start < c."end" AND c.start < t."end")) AS tp, (SELECT count(*) FROM t WHERE NOT EXISTS (SELECT 1 FROM c WHERE t.contig = c.contig AND t.start < c."end" AND c.start < t."end")) AS fn)
 SELECT tp, nc - tp AS fp, fn, round((nt - fn) / nt, 8) AS sensitivity, round(tp / nc, 8) AS ppv FROM s""")
 def event_truth(spark, sf):
     own = items(spark, sf)
-    out = E.truth_status(own.filter("flag = 'R' and id % 9 = 0"), own.filter("flag = 'A' and id % 7 = 0"), ["id"], 8)
+    out = E.truth_status(own.filter("flag = 'R'"), own.filter("flag = 'A'"), ["id"], 8)
     return out.withColumns({c: F.round(c, 8) for c in ("sensitivity", "ppv")})
 
 
 @query(f"""WITH {EV} SELECT id, array_to_string(list_filter([CASE WHEN price < 20000 THEN 'CHEAP' END, CASE WHEN "end" - start > 40 THEN 'LONG' END, CASE WHEN EXISTS (SELECT 1 FROM t WHERE t.contig = c.contig AND t.start < c."end" AND c.start < t."end") THEN 'BLACK' END], lambda x: x IS NOT NULL), ';') AS filters FROM c""")
 def event_filters(spark, sf):
     own = items(spark, sf)
-    track = own.filter("flag = 'A' and id % 7 = 0").select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
+    track = own.filter("flag = 'A'").select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
     rules = {"CHEAP": F.col("price") < 20000, "LONG": F.col("end") - F.col("start") > 40}
-    return E.passing(own.filter("flag = 'R' and id % 9 = 0"), rules, {"BLACK": track}, ["id"], 8).select("id", F.array_join("filters", ";").alias("filters"))
+    return E.passing(own.filter("flag = 'R'"), rules, {"BLACK": track}, ["id"], 8).select("id", F.array_join("filters", ";").alias("filters"))
 
 
 MATCH = "(SELECT DISTINCT y.name AS truth FROM {c} x JOIN {t} y ON x.c1 = y.c1 AND x.c2 = y.c2 AND x.s1 < y.e1 AND y.s1 < x.e1 AND x.s2 < y.e2 AND y.s2 < x.e2)"
@@ -55,8 +55,8 @@ def compared_samples(spark, sf):
 @query(f"WITH {EV} SELECT c.id, sum(least(c.\"end\", t.\"end\") - greatest(c.start, t.start))::BIGINT AS shared FROM c JOIN t ON t.contig = c.contig AND t.start < c.\"end\" AND c.start < t.\"end\" GROUP BY c.id")
 def shared_bases(spark, sf):
     own = items(spark, sf)
-    right = own.filter("flag = 'A' and id % 7 = 0").select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
-    return E.shared_bases(own.filter("flag = 'R' and id % 9 = 0"), right, "contig", ["id"], 8)
+    right = own.filter("flag = 'A'").select("contig", F.col("start").alias("start_r"), F.col("end").alias("end_r"))
+    return E.shared_bases(own.filter("flag = 'R'"), right, "contig", ["id"], 8)
 
 
 @query()

@@ -27,12 +27,12 @@ def interval_overlaps(spark, sf):
     return I.overlap_join(a, b, "contig", 8).select("id", "id_r", (F.least("end", "end_r") - F.greatest("start", "start_r")).alias("overlap"))
 
 
-@query("""WITH o AS (SELECT o_custkey AS c, o_orderkey AS id, date_diff('day', DATE '1992-01-01', o_orderdate::DATE)::BIGINT AS pos FROM orders), r AS (
-SELECT c, min(pos) AS s, max(pos) AS e FROM o WHERE id % 3 = 0 GROUP BY c) SELECT o.id, r.s AS start_r, r.e AS end_r FROM o JOIN r ON o.c = r.c AND pos >= s AND pos < e""")
+@query("""WITH o AS (SELECT o_custkey AS c, o_orderkey AS id, date_diff('day', DATE '1992-01-01', o_orderdate::DATE)::BIGINT AS pos, o_orderstatus AS st FROM orders), r AS (
+SELECT c, min(pos) AS s, max(pos) AS e FROM o WHERE st = 'F' GROUP BY c) SELECT o.id, r.s AS start_r, r.e AS end_r FROM o JOIN r ON o.c = r.c AND pos >= s AND pos < e""")
 def points_in_spans(spark, sf):
     day = F.datediff(F.col("o_orderdate"), F.lit("1992-01-01")).cast("long")
-    own = table(spark, sf, "orders").select(F.col("o_custkey").alias("contig"), F.col("o_orderkey").alias("id"), day.alias("pos"))
-    spans = own.filter("id % 3 = 0").groupBy("contig").agg(F.min("pos").alias("start_r"), F.max("pos").alias("end_r"))
+    own = table(spark, sf, "orders").select(F.col("o_custkey").alias("contig"), F.col("o_orderkey").alias("id"), day.alias("pos"), "o_orderstatus")
+    spans = own.filter("o_orderstatus = 'F'").groupBy("contig").agg(F.min("pos").alias("start_r"), F.max("pos").alias("end_r"))
     return I.point_join(own, spans, "contig", 256).select("id", "start_r", "end_r")
 
 

@@ -8,6 +8,7 @@ from strandline.operators import fuzzy as Z
 from strandline.operators import graph as G
 from strandline.operators import matching as M
 from strandline.operators import variants as V
+from strandline.operators.ordered import across
 from strandline.plans.base import ITEMS, code, code_sql, items, query, table
 
 
@@ -146,22 +147,20 @@ def minhash_pairs(spark, sf):
     return Z.minhash_candidates(sets, "o_custkey", "items", 24, 3).withColumn("estimate", F.round("estimate", 6))
 
 
-@query("""WITH s AS (SELECT l_orderkey AS k, list_distinct(list(l_suppkey)) AS v FROM lineitem GROUP BY 1), p AS (SELECT k, v, lead(v) OVER (ORDER BY k) AS w FROM s WHERE k % 5 = 0)
+@query("""WITH s AS (SELECT l_orderkey AS k, list_distinct(list(l_suppkey)) AS v FROM lineitem GROUP BY 1), p AS (SELECT k, v, lead(v) OVER (ORDER BY k) AS w FROM s)
 SELECT k, round(len(list_intersect(v, w)) / len(list_distinct(list_concat(v, w))), 8) AS similarity FROM p WHERE w IS NOT NULL""")
 def set_similarity(spark, sf):
-    from pyspark.sql import Window as W
-
-    own = table(spark, sf, "lineitem").filter("l_orderkey % 5 = 0").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_set("l_suppkey").alias("v"))
-    ranges = own.withColumn("w", F.lead("v").over(W.orderBy("k")))
-    return ranges.filter("w is not null").select("k", F.round(Z.jaccard(F.col("v"), F.col("w")), 8).alias("similarity"))
+    own = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_set("l_suppkey").alias("v"))
+    pairs = across(own, [], ["k"], {"w": ("lead", F.col("v"))}, 1 << 16)
+    return pairs.filter("w is not null").select("k", F.round(Z.jaccard(F.col("v"), F.col("w")), 8).alias("similarity"))
 
 
-EDGES = "e AS (SELECT DISTINCT least(o_custkey, s) AS a, greatest(o_custkey, s) AS b FROM (SELECT o_custkey, (o_custkey * 7 + 13) % 1500 AS s FROM orders WHERE o_orderkey % 9 = 0) WHERE o_custkey <> s)"
+EDGES = "e AS (SELECT DISTINCT least(o_custkey, s) AS a, greatest(o_custkey, s) AS b FROM (SELECT o_custkey, (o_custkey * 7 + 13) % 1500 AS s FROM orders) WHERE o_custkey <> s)"
 
 
 @query(f"WITH RECURSIVE {EDGES}, u AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e), r AS (SELECT x AS node, x AS root FROM u UNION SELECT u.y, r.root FROM r JOIN u ON r.node = u.x) SELECT node, min(root) AS root FROM r GROUP BY node")
 def linked_customers(spark, sf):
-    own = table(spark, sf, "orders").filter("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("a"), ((F.col("o_custkey") * 7 + 13) % 1500).alias("b"))
+    own = table(spark, sf, "orders").select(F.col("o_custkey").alias("a"), ((F.col("o_custkey") * 7 + 13) % 1500).alias("b"))
     return G.components(own)
 
 

@@ -35,7 +35,7 @@ PE = "pe AS (SELECT ['DEL', 'INV', 'DUP', 'DISTAL'][l_linenumber % 4 + 1] AS kin
 
 @query(f"WITH {PE} SELECT name, chrom1, s1 AS start1, s2 AS start2, kind, qual::INT AS pairs, false AS has_haps, CASE WHEN qual < 20 THEN 'LOWQ' ELSE '.' END AS filters, CASE WHEN kind = 'DISTAL' THEN -1 ELSE s2 - s1 - 10 END AS distance, 'NPAIRS=' || qual::INT || ';QUAL=' || qual::INT || ';TYPE=' || kind || ';ZS=HET' AS info FROM pe")
 def bedpe_scan(spark, sf):
-    own = R.bedpe(_bedpe(spark, sf))
+    own = R.bedpe(_bedpe(spark, sf)).withColumn("info", T.parsed(F.col("info")))
     info = F.col("info")
     return own.select(
         "name", "chrom1", "start1", "start2", T.value(info, "TYPE").alias("kind"), T.value(info, "NPAIRS", "int").alias("pairs"), T.value(info, "HAPS").isNotNull().alias("has_haps"), T.with_filter(F.col("filters"), "LOWQ", F.col("qual"), 20).alias("filters"),

@@ -56,7 +56,8 @@ def bedpe_lines(df: DataFrame) -> DataFrame:
 
 def bedpe_to_vcf(df: DataFrame) -> DataFrame:
     """Variant rows (contig, pos from 1, id, alt, info): one symbolic record for DEL, INV and DUP on one contig, else two breakends that name each other."""
-    kind = F.coalesce(tags.value(F.col("info"), "TYPE"), F.lit("UNK"))
+    df = df.withColumn("__type", F.coalesce(tags.value(tags.parsed(F.col("info")), "TYPE"), F.lit("UNK")))
+    kind = F.col("__type")
     symbolic = kind.isin("DEL", "INV", "DUP") & (F.col("chrom1") == F.col("chrom2"))
     one = F.struct(F.col("chrom1").alias("contig"), (F.col("start1") + 1).alias("pos"), F.col("name").alias("id"), F.concat(F.lit("<"), kind, F.lit(">")).alias("alt"), F.concat(F.lit("END="), (F.col("stop2")).cast("string"), F.lit(";SVTYPE="), kind).alias("info"))
 
@@ -73,9 +74,9 @@ def bedpe_to_vcf(df: DataFrame) -> DataFrame:
 def vcf(df: DataFrame) -> DataFrame:
     """(contig, pos from 0, id, ref, alts, qual, filters, info, format, sample): info and sample as maps of text."""
     own = _fields(df)
-    keys, values = F.split(_at(8), ":"), F.split(_at(9), ":")
-    entries = F.arrays_zip(F.slice(keys, F.lit(1), F.least(F.size(keys), F.size(values))).alias("k"), F.slice(values, F.lit(1), F.least(F.size(keys), F.size(values))).alias("v"))
-    sample = F.when(_at(8).isNotNull() & _at(9).isNotNull(), F.map_from_entries(F.transform(entries, lambda e: F.struct(e["k"], e["v"]))))
+    own = own.withColumns({"__k": F.split(_at(8), ":"), "__v": F.split(_at(9), ":")})
+    n = F.least(F.size("__k"), F.size("__v"))
+    sample = F.when(F.col("__k").isNotNull() & F.col("__v").isNotNull(), F.map_from_arrays(F.slice("__k", F.lit(1), n), F.slice("__v", F.lit(1), n)))
     return own.select(
         _at(0).alias("contig"), (_at(1, "long") - 1).alias("pos"), F.nullif(_at(2), F.lit(".")).alias("id"), _at(3).alias("ref"), F.filter(F.split(_at(4), ","), lambda a: a != ".").alias("alts"),
         _at(5, "double").alias("qual"), tags.filters(_at(6)).alias("filters"), tags.parsed(_at(7)).alias("info"), sample.alias("sample"),
@@ -84,12 +85,12 @@ def vcf(df: DataFrame) -> DataFrame:
 
 def genotype(variants: DataFrame) -> DataFrame:
     """variants with gt (allele numbers), phased, ps, het and passes."""
-    text = F.try_element_at("sample", F.lit("GT"))
-    gt = F.transform(F.split(text, r"[/|]"), lambda x: x.try_cast("int"))
-    return variants.withColumns({
-        "gt": gt, "phased": F.coalesce(F.contains(text, F.lit("|")), F.lit(False)), "ps": F.try_element_at("sample", F.lit("PS")).try_cast("long"),
-        "het": F.coalesce((F.size(gt) == 2) & (F.get(gt, 0) != F.get(gt, 1)), F.lit(False)), "passes": (F.size("filters") == 0) | F.array_contains("filters", "PASS"),
-    })
+    own = variants.withColumns({"__text": F.try_element_at("sample", F.lit("GT")), "ps": F.try_element_at("sample", F.lit("PS")).try_cast("long")})
+    own = own.withColumn("gt", F.transform(F.split("__text", r"[/|]"), lambda x: x.try_cast("int")))
+    return own.withColumns({
+        "phased": F.coalesce(F.contains(F.col("__text"), F.lit("|")), F.lit(False)),
+        "het": F.coalesce((F.size("gt") == 2) & (F.get("gt", 0) != F.get("gt", 1)), F.lit(False)), "passes": (F.size("filters") == 0) | F.array_contains("filters", "PASS"),
+    }).drop("__text")
 
 
 def good_alleles(variants: DataFrame) -> Column:

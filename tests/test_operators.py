@@ -173,7 +173,7 @@ def test_tags_and_scalars(spark):
     one = lambda e: spark.range(1).select(e.alias("x")).first().x
     info = F.lit("B=2;A=1;C;B=3")
     assert one(tags.parsed(info)) == {"A": "1", "B": "3", "C": ""} and one(tags.parsed(F.lit("."))) == {} == one(tags.parsed(F.lit(None).cast("string")))
-    assert one(tags.updated(info, {"A": F.lit(None), "D": F.lit(7)})) == "B=3;C=.;D=7" and one(tags.updated(F.lit("A=1"), {"A": F.lit(None)})) == "."
+    assert one(tags.updated(tags.parsed(info), {"A": F.lit(None), "D": F.lit(7)})) == "B=3;C=.;D=7" and one(tags.updated(tags.parsed(F.lit("A=1")), {"A": F.lit(None)})) == "."
     assert one(tags.with_filter(F.lit("Z;A"), "M", F.lit(5.0), 10)) == "A;M;Z" and one(tags.with_filter(F.lit("M"), "M", F.lit(50.0), 10)) == "."
     assert one(sequence.locus(F.lit("chr1:5-9")))[:] == ("chr1", 5, 9) and one(sequence.locus(F.lit("None"))) is None
     assert one(sequence.mask(F.lit("ACGTAC"), 1, 3)) == "NCGNNN" and one(sequence.trim_length(F.lit("III#II"), 20, 3)) == 3
