@@ -138,3 +138,73 @@ def transition(ref: Column, alt: Column) -> Column:
 def shuffled_share(key: Column, seed: int, modulus: int = 1 << 20) -> Column:
     """A number in [0, 1) that depends on the key alone: filters by it keep or drop all rows of a key together."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(modulus)) / modulus
+
+
+#: Letters that stand for several bases. Fixed values.
+DEGENERATE = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
+
+
+def site_sequences(site: str) -> list[str]:
+    """All plain sequences that a site with degenerate letters stands for, on both strands."""
+    out = [""]
+    for letter in site:
+        out = [s + b for s in out for b in DEGENERATE.get(letter, letter)]
+    other = str.maketrans("ACGT", "TGCA")
+    return sorted({*out, *[s.translate(other)[::-1] for s in out]})
+
+
+def site_positions(seq: Column, site: str) -> Column:
+    """Array of the positions from 0 at which the site begins, on either strand."""
+    k = len(site)
+    return F.filter(F.sequence(F.lit(0), F.greatest(F.length(seq) - k, F.lit(0))), lambda i: F.substring(seq, i + 1, F.lit(k)).isin(*site_sequences(site)))
+
+
+def reference_offsets(ops: Column) -> Column:
+    """For each base of a read its offset on the reference from the alignment's start; null for inserted and soft-clipped bases. Skipped stretches count as deletions, hard clips as nothing."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+    def step(state, op):
+        n, aligned = op["length"], op["op"].isin("M", "=", "X")
+        bases = F.when(aligned, F.transform(F.sequence(F.lit(1), n), lambda k: state["at"] + k - 1)).when(op["op"].isin("I", "S"), F.transform(F.sequence(F.lit(1), n), lambda k: F.lit(None).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.struct((state["at"] + F.when(aligned | op["op"].isin("D", "N"), n).otherwise(0)).alias("at"), F.concat(state["out"], bases).alias("out"))
+
+    return F.aggregate(ops, start, step, lambda s: s["out"])
+
+
+def trimmed(seq: Column, qual: Column, key: int, spacer: int) -> Column:
+    """Struct key, key_qual, seq, qual of a read that begins with a key and a spacer."""
+    rest = lambda c: F.substring(c, F.lit(key + spacer + 1), F.greatest(F.length(c), F.lit(1)))
+    return F.struct(F.substring(seq, 1, key).alias("key"), F.substring(qual, 1, key).alias("key_qual"), rest(seq).alias("seq"), rest(qual).alias("qual"))
+
+
+def primitive(ref: Column, alt: Column) -> Column:
+    """One of the alleles is a single base."""
+    return (F.length(ref) == 1) | (F.length(alt) == 1)
+
+
+def allele_length(ref: Column, alt: Column) -> Column:
+    return F.length(alt) - F.length(ref)
+
+
+def allele_keys(text: Column) -> Column:
+    """Array for each allele (separated by commas) of the keys that hold it (separated by semicolons)."""
+    return F.transform(F.split(text, ","), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, ";")))
+
+
+#: Two bits for each base. Fixed values.
+BITS = "AGCT"
+
+
+def packed_key(seq: Column) -> Column:
+    """A whole number from a sequence of up to 31 bases, two bits each, the first base lowest; null where there is another letter."""
+    value = F.aggregate(F.split(F.reverse(seq), ""), F.lit(0).cast("long"), lambda t, c: t * 4 + F.instr(F.lit(BITS), c) - 1)
+    return F.when(seq.rlike(f"^[{BITS}]{{1,31}}$"), value)
+
+
+def unpacked_key(value: Column, length: int) -> Column:
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.substring(F.lit(BITS), (F.shiftrightunsigned(value, 0) / F.pow(F.lit(4.0), k)).cast("long").bitwiseAND(3).cast("int") + 1, F.lit(1))), "")
+
+
+def group_of(key: Column) -> Column:
+    """Struct seq and group of a key ``SEQ-7``; group 1 where there is none."""
+    return F.struct(F.substring_index(key, "-", 1).alias("seq"), F.coalesce(F.nullif(F.regexp_extract(key, r"-(\d+)$", 1), F.lit("")).cast("int"), F.lit(1)).alias("group"))

@@ -126,3 +126,9 @@ def pair_rate(groups: list[Column]) -> Column:
     two = lambda x: x * (x - 1) / 2
     total = sum(groups[1:], groups[0])
     return ratio(sum((two(g) for g in groups[1:]), two(groups[0])), two(total))
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], accuracy: int = 10_000) -> DataFrame:
+    """(by, q, value) from mergeable sketches of bounded size, off by a rank share of 1 / accuracy at most."""
+    found = df.groupBy(*by).agg(F.percentile_approx(value, shares, accuracy).alias("__v"))
+    return found.select(*by, F.explode(F.arrays_zip(F.array(*map(F.lit, shares)).alias("q"), F.col("__v").alias("value"))).alias("x")).select(*by, "x.q", "x.value")

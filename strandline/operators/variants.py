@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strandline.operators.aggregates import pair_rate, ratio
 from strandline.operators.graph import components
 from strandline.operators.intervals import overlap_join, point_join
+from strandline.operators.ordered import TILE
 from strandline.operators.sessions import best_of, clusters
 
 
@@ -106,3 +107,70 @@ def near_duplicates(reads: DataFrame, key: list[str], place: str, distance: floa
 
 def truth_types(ref: Column, obs: Column) -> Column:
     return F.when(ref & obs, "TP").when(obs, "FP").when(ref, "FN")
+
+
+def compared_sets(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """(key, side) of two sets of rows: ``both``, ``left`` or ``right``. Filters on side give the intersection and the differences, a count by side their sizes."""
+    one = lambda df, name: df.select(*key).distinct().withColumn(name, F.lit(True))
+    both = one(left, "__l").join(one(right, "__r"), key, "full_outer")
+    return both.select(*key, F.when(F.col("__l") & F.col("__r"), "both").when(F.col("__l"), "left").otherwise("right").alias("side"))
+
+
+def in_lockstep(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """The join of two sides that must have the same keys; the job fails at a key that one of them lacks."""
+    joined = left.withColumn("__l", F.lit(True)).join(right.withColumn("__r", F.lit(True)), key, "full_outer")
+    out_of_step = F.raise_error(F.concat(F.lit("out of step at "), F.concat_ws(":", *[F.col(k).cast("string") for k in key]))).cast("boolean")
+    return joined.filter(F.when(F.col("__l") & F.col("__r"), F.lit(True)).otherwise(out_of_step)).drop("__l", "__r")
+
+
+def annotated(variants: DataFrame, names: DataFrame, key: tuple[str, ...] = ("contig", "pos", "ref", "alt")) -> DataFrame:
+    """variants with the smallest name that a table of known variants (key, name) has for them, null for none."""
+    return variants.join(names.groupBy(*key).agg(F.min("name").alias("name")), list(key), "left")
+
+
+def _keep_best(pdf, share: float):
+    """Calls in order of start: one that overlaps the last kept by ``share`` of both joins it, and the better one is kept."""
+    import pandas as pd
+
+    pdf = pdf.sort_values(["start", "end", "name", "qual"], kind="stable")
+    rows, start, stop, best = [], None, None, None
+    for r in pdf.itertuples(index=False):
+        if best is not None:
+            shared = min(stop, r.end) - r.start
+            if min(shared / (stop - start), shared / (r.end - r.start)) >= share:
+                rows[-1][1].add(r.kind)
+                if r.qual > best.qual:
+                    best, stop = r, r.end
+                    rows[-1][0] = r
+                continue
+        best, start, stop = r, r.start, r.end
+        rows.append([r, {r.kind}])
+    return pd.DataFrame([(r.name, r.contig, r.start, r.end, r.qual, r.kind if len(kinds) == 1 else "UNK") for r, kinds in rows], columns=["name", "contig", "start", "end", "qual", "kind"])
+
+
+def kept_best(calls: DataFrame, share: float, tile: int = TILE) -> DataFrame:
+    """calls (name, contig, start, end, qual, kind) swept from the left, those that overlap the last group's span by ``share`` of both lengths joined to it and its best kept; a group of several kinds gets the kind UNK. Chains that don't touch are cut apart first, so that a task holds one chain."""
+    chained = clusters(calls.select("name", "contig", "start", "end", "qual", "kind"), ["contig"], 0, tile=tile)
+    schema = chained.drop("cluster").schema
+    return chained.groupBy("contig", "cluster").applyInPandas(lambda pdf: _keep_best(pdf, share), schema)
+
+
+def key_clusters(calls: DataFrame, by: list[str], share: float) -> DataFrame:
+    """calls (name, qual, keys: array) of each group in order of name: one whose keys resemble a cluster's (by Jaccard share, or by a count of 1 and more) joins the first such cluster and replaces it if it is better; what the clusters hold at the end."""
+    names = [f.name for f in calls.schema.fields]
+
+    def pick(pdf):
+        held = []
+        for r in pdf.sort_values("name", kind="stable").itertuples(index=False):
+            keys = frozenset(r.keys)
+            for c in held:
+                both = len(c[0] & keys)
+                if (both if share >= 1 else both / max(len(c[0] | keys), 1)) >= share:
+                    if r.qual > c[1].qual:
+                        c[0], c[1] = keys, r
+                    break
+            else:
+                held.append([keys, r])
+        return type(pdf)([tuple(c[1]) for c in held], columns=names)
+
+    return calls.groupBy(*by).applyInPandas(pick, calls.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import base, events, intervals, layout, matching, models, overlap, phasing, reads, records, sessions, statistics, targets  # noqa: F401  each registers its queries
+from strandline.plans import base, events, intervals, layout, matching, models, overlap, phasing, reads, records, scalars, sessions, statistics, targets  # noqa: F401  each registers its queries
 
 
 def queries() -> dict:

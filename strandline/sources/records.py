@@ -179,3 +179,47 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str]) -> None:
 def write_indexed(df: DataFrame, path: str, contig: str = "contig", start: str = "start") -> None:
     """Sorted by range, so that a reader's filters on contig and start prune row groups."""
     df.repartitionByRange(contig, start).sortWithinPartitions(contig, start).write.mode("overwrite").parquet(path)
+
+
+def bed_problems(df: DataFrame, contigs: DataFrame) -> DataFrame:
+    """(value, problem) of the lines of an interval file that can't be used: too few fields, bounds that aren't numbers or out of order, a contig that isn't one of ``contigs`` (contig)."""
+    known = contigs.select(F.col("contig").alias("__contig")).distinct()
+    own = _fields(df).join(known, F.get("f", 0) == F.col("__contig"), "left")
+    start, end = _at(1, "long"), _at(2, "long")
+    problem = F.when(F.size("f") < 3, "fields").when(start.isNull() | end.isNull(), "numbers").when((start < 0) | (end < start), "order").when(F.col("__contig").isNull(), "contig")
+    return own.select("value", problem.alias("problem")).filter("problem is not null")
+
+
+def contigs(df: DataFrame, sex: tuple[str, ...] = ("chrX", "chrY")) -> DataFrame:
+    """(contig, length, primary, sex, autosome) of the lines of a sequence index. Primary contigs are named by a number or are sex contigs."""
+    own = _fields(df).select(_at(0).alias("contig"), _at(1, "long").alias("length"))
+    autosome, is_sex = F.col("contig").rlike(r"^chr\d+$"), F.col("contig").isin(*sex)
+    return own.select("contig", "length", (autosome | is_sex).alias("primary"), is_sex.alias("sex"), autosome.alias("autosome"))
+
+
+def run_info(df: DataFrame) -> DataFrame:
+    """(flow_cell, lanes, reads) of run descriptions in XML, one document a row in value; reads is an array of (number, cycles, index)."""
+    many = lambda what: F.xpath("value", F.lit(f"//Read/@{what}"))
+    reads = F.transform(F.arrays_zip(many("Number").alias("n"), many("NumCycles").alias("c"), many("IsIndexedRead").alias("i")), lambda r: F.struct(r["n"].cast("int").alias("number"), r["c"].cast("int").alias("cycles"), (r["i"] == "Y").alias("index")))
+    return df.select(F.xpath_string("value", F.lit("//Flowcell")).alias("flow_cell"), F.xpath_int("value", F.lit("//FlowcellLayout/@LaneCount")).alias("lanes"), reads.alias("reads"))
+
+
+def break_details(df: DataFrame) -> DataFrame:
+    """(name, side, hp, ps, n) of comma-separated details: a name, then for each side its phase set and the counts of both haplotypes."""
+    own = _fields(df, ",").select(_at(0).alias("name"), F.array(*[F.struct(F.lit(k + 1).alias("side"), F.get("f", 1 + 3 * k).try_cast("long").alias("ps"), F.array(F.get("f", 2 + 3 * k).try_cast("long"), F.get("f", 3 + 3 * k).try_cast("long")).alias("n")) for k in (0, 1)]).alias("s"))
+    sides = own.select("name", F.explode("s").alias("s")).select("name", "s.*")
+    return sides.select("name", "side", "ps", F.posexplode("n").alias("hp", "n")).withColumn("hp", F.col("hp") + 1)
+
+
+def graph_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Lines of a graph exchange file from nodes (node, seq) and edges (a, b): segments, then links of forward strands."""
+    segments = nodes.select(F.concat_ws("\t", F.lit("S"), F.col("node").cast("string"), "seq").alias("value"))
+    links = edges.select(F.concat_ws("\t", F.lit("L"), F.col("a").cast("string"), F.lit("+"), F.col("b").cast("string"), F.lit("+"), F.lit("0M")).alias("value"))
+    return segments.unionAll(links)
+
+
+def index_summary(counts: DataFrame, known: DataFrame, key: str = "key") -> DataFrame:
+    """(key, n, valid, share) of index counts (key, n): whether the index is a known one, and its share of all."""
+    total = counts.agg(F.sum("n").alias("__all"))
+    own = counts.join(known.select(key, F.lit(True).alias("valid")).distinct(), key, "left").join(F.broadcast(total))  # one row
+    return own.select(key, "n", F.coalesce("valid", F.lit(False)).alias("valid"), (F.col("n") / F.col("__all")).alias("share"))
