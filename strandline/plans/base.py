@@ -49,3 +49,14 @@ def code(number, n: int = 8, salt: str = ""):
 
 def code_sql(number: str, n: int = 8, salt: str = "") -> str:
     return f"translate(substr(md5('{salt}' || ({number})::VARCHAR), 1, {n}), '{HEX}', '{ACGT}')"
+
+
+def greedy_sql(name: str, rows: str, joins: str, carry: str, first: str) -> str:
+    """Recursive tables ``{name}_o`` (rows numbered by k within contig in order of s, e) and ``{name}``: one row for each of them with g, the number of its group. ``rows`` gives contig, s, e and what else is used; ``first`` are the columns of the state at the first row of a group, ``carry`` at a row that joins; ``joins`` says when, with r for the state and o for the row."""
+    state = [x.split(" AS ")[1] for x in first.split(", ")]
+    carried = dict(zip(state, [x.strip() for x in carry.split(" ; ")], strict=True))
+    begin = {x.split(" AS ")[1]: x.split(" AS ")[0] for x in first.split(", ")}
+    step = ", ".join(f"CASE WHEN {joins} THEN {carried[c]} ELSE {begin[c]} END AS {c}" for c in state)
+    return f"""{name}_o AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY s, e) AS k FROM ({rows})), {name} AS (
+  SELECT o.contig, o.k, 1 AS g, {first} FROM {name}_o o WHERE k = 1 UNION ALL
+  SELECT o.contig, o.k, CASE WHEN {joins} THEN r.g ELSE r.g + 1 END AS g, {step} FROM {name} r JOIN {name}_o o ON o.contig = r.contig AND o.k = r.k + 1)"""

@@ -59,6 +59,9 @@ def shared_bases(spark, sf):
     return E.shared_bases(own.filter("flag = 'R'"), right, "contig", ["id"], 8)
 
 
-@query()
+@query(f"""WITH {ITEMS}, {_svs_sql('calls', 'R')}, t AS (SELECT name, chrom1 AS contig, start1 AS s, stop1 AS e FROM calls UNION ALL SELECT name, chrom2, start2, stop2 FROM calls), d AS (SELECT DISTINCT contig, s, e FROM t),
+g AS (SELECT *, sum(CASE WHEN s > reach + 1 OR reach IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY contig ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, max(e) OVER (PARTITION BY contig ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM d)),
+m AS (SELECT DISTINCT name, contig, k FROM t JOIN g USING (contig, s, e)), z AS (SELECT contig, k, count(*) AS n FROM m GROUP BY ALL), s AS (SELECT name, sum(n - 1)::BIGINT AS nmates FROM m JOIN z USING (contig, k) GROUP BY name)
+SELECT calls.name, nmates FROM calls JOIN s USING (name)""")
 def breakpoint_mates(spark, sf):
     return E.mates(_svs(spark, sf, "R"), 1).select("name", "nmates")

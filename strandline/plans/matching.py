@@ -10,6 +10,7 @@ from strandline.operators import matching as M
 from strandline.operators import variants as V
 from strandline.operators.ordered import across
 from strandline.plans.base import ITEMS, code, code_sql, items, query, table
+from strandline.plans.sessions import bounded_sql
 
 
 MONTH = 30 * 86400
@@ -172,13 +173,22 @@ def event_paths(spark, sf):
     return G.compressed_paths(own.filter("b is not null"))
 
 
-@query()
+def _ends_sql(k: int) -> str:
+    return bounded_sql(f"c{k}", f"SELECT DISTINCT chrom{k} AS contig, start{k} AS s, stop{k} AS e FROM calls", 1, 40)
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, calls AS (SELECT *, 'R' AS source FROM ({_svs_sql("x", "R")[6:-1]}) UNION ALL SELECT *, 'A' FROM ({_svs_sql("x", "A")[6:-1]})), {_ends_sql(1)}, {_ends_sql(2)},
+g AS (SELECT calls.*, x.g AS g1, y.g AS g2 FROM calls JOIN c1_o p ON p.contig = chrom1 AND p.s = start1 AND p.e = stop1 JOIN c1 x ON x.contig = p.contig AND x.k = p.k JOIN c2_o q ON q.contig = chrom2 AND q.s = start2 AND q.e = stop2 JOIN c2 y ON y.contig = q.contig AND y.k = q.k)
+SELECT * EXCLUDE (source, g1, g2), count(*) OVER w AS n, CASE WHEN count(*) FILTER (source = 'A') OVER w > 0 AND count(*) FILTER (source = 'R') OVER w > 0 THEN 'A,R' ELSE source END AS sources FROM g WINDOW w AS (PARTITION BY chrom1, g1, chrom2, g2) QUALIFY row_number() OVER (PARTITION BY chrom1, g1, chrom2, g2 ORDER BY qual DESC, start1, start2, name) = 1""")
 def best_of_break_clusters(spark, sf):
     calls = _svs(spark, sf, "R").unionByName(_svs(spark, sf, "A"))
     return V.best_calls(calls, 1, 40).withColumn("sources", F.array_join("sources", ","))
 
 
-@query()
+@query(f"""WITH RECURSIVE {ITEMS}, c AS (SELECT id AS name, contig, start, "end" AS e, price AS qual FROM items WHERE flag = 'N'), l AS (SELECT DISTINCT a.name AS a, b.name AS b FROM c a JOIN c b ON a.contig = b.contig AND a.start < b.e AND b.start < a.e AND a.name < b.name
+WHERE least(a.e, b.e) - greatest(a.start, b.start) > 0.8 * (a.e - a.start) AND least(a.e, b.e) - greatest(a.start, b.start) > 0.8 * (b.e - b.start)), u AS (SELECT a AS x, b AS y FROM l UNION SELECT b, a FROM l), r AS (SELECT x AS node, x AS root FROM u UNION SELECT u.y, least(r.root, u.y) FROM r JOIN u ON r.node = u.x),
+g AS (SELECT c.*, coalesce(t.root, c.name) AS root FROM c LEFT JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) t ON t.node = c.name)
+SELECT root, name, contig, start, e AS "end", qual FROM g QUALIFY row_number() OVER (PARTITION BY root ORDER BY -qual, start, name) = 1""")
 def overlap_groups(spark, sf):
     calls = items(spark, sf).filter("flag = 'N'").select(F.col("id").alias("name"), "contig", "start", "end", F.col("price").alias("qual"))
     return V.selected(V.overlap_groups(calls, 0.8, 8), "quality")

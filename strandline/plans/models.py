@@ -104,7 +104,8 @@ def stream_daily_counts(spark, sf):
     return S.collected(own, f"{at}/rows", f"{at}/state").select("event_type", F.unix_seconds("start").alias("start"), "n")
 
 
-@query()
+@query("""WITH s AS (SELECT user_id, ts, sum(CASE WHEN ts - p <= INTERVAL 6 HOUR THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events))
+SELECT user_id, epoch(date_trunc('second', min(ts)))::BIGINT AS start, epoch(date_trunc('second', max(ts)))::BIGINT AS last, count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
 def stream_sessions(spark, sf):
     at = _place(spark, "sessions")
     own = S.sessions(_stream(spark, sf, EVERY), "ts", ["user_id"], "6 hours")
@@ -118,7 +119,16 @@ def stream_distinct(spark, sf):
     return S.collected(own, f"{at}/rows", f"{at}/state").groupBy("event_type").agg(F.count("*").alias("users"))
 
 
-@query()
+@query("SELECT a.event_id AS seen, b.event_id AS bought FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 12 HOUR WHERE a.event_type = 'view' AND b.event_type = 'purchase'")
+def stream_pairs(spark, sf):
+    """Two streams read side by side, rows of one key paired as they come."""
+    at = _place(spark, "pairs")
+    side = lambda kind, name, time: _stream(spark, sf, EVERY).filter(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(name), F.col("ts").alias(time))
+    own = S.paired(side("view", "seen", "seen_at"), side("purchase", "bought", "bought_at"), ["user_id"], "seen_at", "bought_at", "12 hours")
+    return S.collected(own.select("seen", "bought"), f"{at}/rows", f"{at}/state")
+
+
+@query("SELECT user_id, event_id AS place, false AS late FROM events")
 def stream_ordered_flush(spark, sf):
     at = _place(spark, "flush")
     own = S.flushed(_stream(spark, sf).select("ts", "user_id", F.col("event_id").alias("place")), "ts", "user_id", "place", 300, 3000)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import fuzzy as Z
 from strandline.operators import phasing as P
-from strandline.plans.base import code, items, query, table
+from strandline.plans.base import code, code_sql, items, query, table
 from strandline.plans.matching import READS, _reads
 
 
@@ -33,7 +33,10 @@ def stitched_chunks(spark, sf):
     return P.stitched(one.unionAll(two), ["k"], "chunk", "variant", "hap")
 
 
-@query()
+RUN = "list_max(list_filter(range(1, length(after) // {k} + 1), lambda m: substr(after, 1, {k} * m) = repeat(substr(after, 1, {k}), m)))::INT * {k}"
+
+
+@query(f"SELECT p_partkey, after, {RUN.format(k=1)} AS mono, {RUN.format(k=2)} AS di, {RUN.format(k=3)} AS tri FROM (SELECT p_partkey, repeat({code_sql('p_partkey', 1)}, (p_size % 5)::INT) || {code_sql('p_partkey', 12)} AS after FROM part)")
 def repeat_annotation(spark, sf):
     own = table(spark, sf, "part").select("p_partkey", F.concat(F.repeat(code(F.col("p_partkey"), 1), (F.col("p_size") % 5).cast("int")), code(F.col("p_partkey"), 12)).alias("after"))
     return own.select("p_partkey", "after", P.repeat_runs(F.col("after")).alias("r")).select("p_partkey", "after", F.get("r", 0).alias("mono"), F.get("r", 1).alias("di"), F.get("r", 2).alias("tri"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import sessions as S
 from strandline.operators.ordered import across
-from strandline.plans.base import ITEMS, items, query, table
+from strandline.plans.base import ITEMS, greedy_sql, items, query, table
 
 GAP, WEEK, YEAR = 6 * 3600, 7 * 86400, 366
 
@@ -55,7 +55,14 @@ def gap_clusters(spark, sf):
     return S.clusters(items(spark, sf), ["contig"], 5, tile=YEAR).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
 
 
-@query()
+BOUNDED = dict(joins="o.s - r.reach <= {w} AND greatest(o.e, r.reach) - r.a <= {most}", carry="r.a ; greatest(o.e, r.reach)", first="o.s AS a, o.e AS reach")
+
+
+def bounded_sql(name: str, rows: str, window: int, most: int) -> str:
+    return greedy_sql(name, rows, BOUNDED["joins"].format(w=window, most=most), BOUNDED["carry"], BOUNDED["first"])
+
+
+@query(f'WITH RECURSIVE {ITEMS}, {bounded_sql("c", "SELECT contig, start AS s, \"end\" AS e FROM items", 5, 120)} SELECT contig, g::BIGINT AS cluster, count(*) AS n, min(s) AS start, max(e) AS "end" FROM c JOIN c_o USING (contig, k) GROUP BY contig, g')
 def bounded_clusters(spark, sf):
     return S.clusters(items(spark, sf), ["contig"], 5, most=120, tile=YEAR).groupBy("contig", "cluster").agg(F.count("*").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
 
@@ -94,13 +101,16 @@ def tumbling_bins(spark, sf):
     return items(spark, sf).groupBy("contig", bin_).agg(F.count("*").alias("n"), F.count_distinct("flag").alias("flags"))
 
 
-@query()
+WEEKS = 'SELECT contig, start // 7 * 7 AS s, start // 7 * 7 + 7 AS e, count(*) AS n FROM items GROUP BY ALL'
+
+
+@query(f'WITH RECURSIVE {ITEMS}, {greedy_sql("c", WEEKS, "r.sum <= 20 AND o.e - r.a <= 180", "r.a ; r.sum + o.n", "o.s AS a, o.n AS sum")} SELECT contig, min(s) AS start, max(e) AS "end", sum(n)::BIGINT AS n FROM c JOIN c_o USING (contig, k) GROUP BY contig, g')
 def coalesced_windows(spark, sf):
     weeks = items(spark, sf).groupBy("contig", (F.floor(F.col("start") / 7) * 7).alias("start")).agg(F.count("*").alias("n"))
     return S.coalesced_windows(weeks.withColumn("end", F.col("start") + 7), ["contig"], 20, 180)
 
 
-@query()
+@query(f'WITH RECURSIVE {ITEMS}, {greedy_sql("c", "SELECT DISTINCT contig, start AS s, " + chr(34) + "end" + chr(34) + " AS e FROM items", "o.s < r.reach", "r.reach", "o.e AS reach")} SELECT contig, arg_min(s, k) AS start, arg_min(e, k) AS "end" FROM c JOIN c_o USING (contig, k) GROUP BY contig, g')
 def windows_apart(spark, sf):
     return S.apart(items(spark, sf).select("contig", "start", "end").distinct(), ["contig"], YEAR)
 

@@ -36,6 +36,17 @@ def distinct(df: DataFrame, time: str, keys: list[str], late: str = "1 hour") ->
     return df.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
+def paired(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, within: str, late: str = "1 hour") -> DataFrame:
+    """Pairs of rows of two streams with equal keys, the right one at the left one's time or up to ``within`` later; state older than that and the watermarks is dropped."""
+    a, b = left.withWatermark(left_time, late), right.withWatermark(right_time, late)
+    for k in keys:
+        b = b.withColumnRenamed(k, f"__{k}")
+    near = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
+    for k in keys:
+        near = near & (F.col(k) == F.col(f"__{k}"))
+    return a.join(b, near).drop(*[f"__{k}" for k in keys])
+
+
 def flushed(df: DataFrame, time: str, key: str, value: str, hold: int, most: int) -> DataFrame:
     """Rows of each key in the order of their value, held back until the value has moved on by more than ``hold`` or more than ``most`` rows wait; what is left comes out when the watermark passes. The position-ordered buffer of a sorted pass."""
     schema = f"{key} long, {value} long, late boolean"
