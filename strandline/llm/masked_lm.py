@@ -33,9 +33,9 @@ from strandline.lineage import cut_lineage
 from strandline.llm.common import table
 from strandline.llm.substring_dedup import word_symbols
 
-CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
+CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 64, 64, 2, 24, 32
 BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
-OWN = 768
+OWN = 3840
 SHARE, LEAST, FEW = 21, 14, 8  # words of a trainer in both rounds, as powers of two; up to so many trainers do with the lesser number
 SHARED, FINE = BUCKETS - OWN, 1 << 30
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}

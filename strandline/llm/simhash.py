@@ -13,6 +13,15 @@ single segment of all 64 bits instead, with balls of radius two on either side,
 fingerprints differ in at most four bits. Members of a point are linked to its smallest one. A point lies in at
 most 2,081 balls, so no group grows with the data and no link is lost.
 
+``one_of_each_group`` is the same method for a similarity: texts whose sets of five-word shingles resemble each
+other by ``SIMILARITY`` or more. Four bits of 64 are far less than such texts differ by, so its fingerprints have
+``WIDE`` bits, of which so many differ at most as two sets of that Jaccard similarity are expected to (``most_bits``); the
+table holds the Hamming balls of radius one of all their segments, so that pairs within two bits in any of them meet.
+Segments have 24 bits, and four more each time the table would hold more than one fingerprint a slot by chance; at 24 bits
+less than one pair in a thousand of similarity 0.8 shares no slot, at 32 about one in ten, of 0.9 next to none. Equal sets
+are one fingerprint. At a slot every member meets the smallest one and the ``BESIDE`` before it (all pairs of a small
+slot), so no group emits all its pairs; a pair has hundreds of slots to meet at, and links join through others.
+
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
 """
@@ -29,7 +38,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.lineage import cut_lineage
-from strandline.llm.common import NO_ID, order_id, table
+from strandline.llm.common import NO_ID, mix, order_id, random_table, table
+from strandline.llm.substring_dedup import rolling, word_symbols
 from strandline.llm.windows import text_mark
 from strandline.operators.graph import components
 
@@ -37,6 +47,8 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 #: First bit, bits, and the radius of the balls in the table and of those looked up.
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
+SHINGLE, SIMILARITY, WIDE, BESIDE = 5, 0.8, 512, 3
+_REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -119,9 +131,84 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return own.select(F.when(F.col("oid") != NO_ID, F.col("oid")).alias("doc_id"), "oid", "mark", "fp", "component")
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of docs with the smallest id of their group; of repeated rows one."""
-    best = near_duplicates(docs).groupBy("component").agg(F.min(F.struct("oid", "mark")).alias("best")).select(F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark"))
+def shingles(text: str | None, words: int = SHINGLE) -> np.ndarray:
+    """The distinct hashes of a text's word shingles; of fewer words the whole sequence is one."""
+    own = word_symbols((text or "").encode().lower().decode())
+    return np.unique(rolling(own, _REMIX[0, 0], min(words, len(own)))[0]) if len(own) else own
+
+
+def scattered(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values whose bits are as good as independent, which the sums over shingles need."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(own: np.ndarray) -> np.ndarray:
+    """A bit for each of WIDE hash bits that over half of the shingles have; as longs."""
+    total = np.zeros(WIDE, np.int64)
+    for k in range(0, len(own), _PART >> 3):
+        hashes = scattered(own[k : k + (_PART >> 3), None] + _REMIX[1])
+        total += np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8), bitorder="little").reshape(-1, WIDE).sum(axis=0, dtype=np.uint32)
+    return np.packbits(2 * total > len(own), bitorder="little").view("<i8")
+
+
+def most_bits(similarity: float = SIMILARITY) -> int:
+    """The bits in which fingerprints of sets of this Jaccard similarity differ on average, two sets of equal size being arccos(2s / (1 + s)) apart, and one standard deviation, so that most pairs at the limit are linked."""
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return round(WIDE * p + (WIDE * p * (1 - p)) ** 0.5)
+
+
+def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """Rows (oid, mark, s, t, f) of all rows of docs: s and t name the shingle set, f is its fingerprint."""
+
+    def each(batches):
+        for b in batches:
+            sets = [shingles(x.as_py(), words) for x in b.column("text")]
+            names = [pa.array(np.array([mix(x * r + np.uint64(1)).sum(dtype=np.uint64) for x in sets], dtype=np.uint64).view(np.int64)) for r in _REMIX[:, 1]]
+            yield pa.RecordBatch.from_arrays([b.column("oid"), b.column("mark"), *names, pa.array([wide_fingerprint(x) for x in sets], pa.list_(pa.int64()))], ["oid", "mark", "s", "t", "f"])
+
+    rows = docs.select(order_id().alias("oid"), text_mark(F.col("text")).alias("mark"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>")
+
+
+def segment_bits(n: int) -> int:
+    """The bits of a segment for so many fingerprints."""
+    return next((size for size in (24, 28, 32, 36, 40) if n * (size + 1) <= 1 << size), 44)
+
+
+def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None) -> DataFrame:
+    """Edges (a, b) between nodes (node, f) whose fingerprints differ in at most ``most`` bits."""
+    size = size or segment_bits(nodes.count())
+    masks = F.lit([0, *[1 << i for i in range(size)]]).cast("array<bigint>")
+
+    def ball(k: int):
+        at, shift = divmod(k * size, 64)
+        own = F.shiftrightunsigned(F.get("f", at), shift)
+        if shift + size > 64:
+            own = own.bitwiseOR(F.shiftleft(F.get("f", at + 1), 64 - shift))
+        own = own.bitwiseAND(F.lit((1 << size) - 1).cast("long"))
+        return F.transform(masks, lambda m: F.shiftleft(F.lit(k).cast("long"), 48).bitwiseOR(own.bitwiseXOR(m)))
+
+    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(WIDE // size)]))).alias("slot"))
+    slots = keys.groupBy("slot").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
+    shared = keys.join(slots, "slot").withColumn("part", F.pmod(F.xxhash64("node"), F.floor(F.col("n") / hot) + 1))  # a crowd is dealt out
+    line = W.partitionBy("slot", "part").orderBy("node")
+    others = F.array("first", *[F.lag("node", k).over(line) for k in range(1, BESIDE + 1)])
+    pairs = shared.repartition("slot", "part").withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
+    apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= most).select("a", "b")
+
+
+def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of docs with the smallest id of their group of similar texts; of repeated rows one."""
+    prints = cut_lineage(wide_prints(docs, words))
+    sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"))
+    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f"))
+    roots = components(similar(nodes.select("node", "f"), most_bits(similarity)))
+    grouped_ = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best"))
+    best = grouped_.select(F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark"))
     own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
     return own.join(best, ["__oid", "__mark"], "left_semi").dropDuplicates(["__oid", "__mark"]).select(*docs.columns)
 

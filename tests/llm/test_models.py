@@ -106,13 +106,13 @@ def test_vocabulary_grows_and_tells_rare_words_from_frequent(spark):
     for k in range(400):
         top.setdefault(int(masked_lm.word_symbols(f"r{k}")[0] >> np.uint64(54)), []).append(f"r{k}")
     often, rare, unseen = max(top.values(), key=len)[:3]  # alike in the hash
-    filler = [f"f{k}" for k in range(masked_lm.OWN if hasattr(masked_lm, "OWN") else 768)]
+    filler = [f"f{k}" for k in range(masked_lm.OWN)]
     rows = [(i, " ".join(filler)) for i in range(60)] + [(100 + i, f"f1 {often} f2") for i in range(50)] + [(200, f"f1 {rare} f2"), (200, f"f1 {rare} f2")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     model = masked_lm.train(df)
     tests = spark.createDataFrame([(i, f"f1 {w} f2") for i, w in enumerate((often, rare, unseen))], "doc_id long, text string")
     got = {x.doc_id: x.log_probability for x in masked_lm.scores(tests, model, ["doc_id"]).collect()}
     assert abs(got[0] - got[1] - np.log(51 / 3)) < 1e-3 and abs(got[1] - got[2] - np.log(3)) < 1e-3
-    assert sorted(r.n for r in model.counts.collect()) == [2, 50] + [60] * 766 + [112] * 2
+    assert sorted(r.n for r in model.counts.collect()) == [2, 50] + [60] * (masked_lm.OWN - 2) + [112] * 2
     assert len({int(x) for x in masked_lm.entries(np.concatenate([masked_lm.symbols(w) for w in filler]), model.frequent)}) == len(filler)
     assert np.isclose(np.exp(model.norms).sum(), masked_lm.SHARED + 52 + 2)

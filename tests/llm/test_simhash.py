@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from strandline.llm import simhash
 from strandline.operators.graph import components
 
@@ -84,3 +86,59 @@ def test_one_of_each_group_and_edge_rows(spark):
     kept = simhash.one_of_each_group(spark.createDataFrame(rows, schema)).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(2, text, "b"), (None, "alone here", "d"), (9, None, None)], key=str)
     assert simhash.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
+def jaccard(a, b, words=5):
+    sets = [{tuple(x[i : i + words]) for i in range(max(1, len(x) - words + 1))} for x in (a.lower().split(), b.lower().split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_groups_of_similar_texts(spark):
+    """Groups by five-word shingles: pairs of 0.86 or more fall into one group, and no text of a group is far from all others."""
+    r = random.Random(12)
+    vocab = ["w%d" % i for i in range(3000)]
+    rows = []
+    for g in range(40):
+        base = r.choices(vocab, k=r.choice([60, 150, 400, 900]))
+        for c in range(1 if g % 4 == 0 else r.choice([2, 3, 30])):
+            copy = list(base)
+            for _ in range(r.randint(0, max(1, len(copy) // 70)) if c else 0):
+                copy[r.randrange(len(copy))] = "edit%d" % r.randrange(9999)
+            rows.append((len(rows), " ".join(copy)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {x.doc_id for x in simhash.one_of_each_group(df).collect()}
+    text = dict(rows)
+    near = {(a, b): jaccard(text[a], text[b]) for a in text for b in text if a < b and set(text[a].split()[:3]) & set(text[b].split()[:3])}
+    high = [p for p, j in near.items() if j >= 0.86]
+    assert len(high) > 500
+    # of such a pair at most one stays, the smallest of its group; a text that goes has another that resembles it
+    assert not [p for p in high if p[0] in kept and p[1] in kept]
+    for i in set(text) - kept:
+        assert max(j for p, j in near.items() if i in p) >= 0.7
+    assert {i for i in text if not any(i in p for p, j in near.items() if j > 0.5)} <= kept
+
+
+def test_deeper_segments_find_the_same_links(spark):
+    r = np.random.default_rng(5)
+    base = r.integers(-(1 << 62), 1 << 62, (40, 8))
+    flips = lambda n: np.bitwise_xor.reduce([np.where(np.arange(8) == r.integers(8), np.int64(1) << np.int64(r.integers(63)), 0) for _ in range(n)])
+    f = np.concatenate([base, [b ^ flips(20) for b in base]])
+    nodes = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(f)], "node long, f array<long>")
+    want = {(i, i + 40) for i in range(40)}
+    for size in (24, 28, 32, 44):
+        assert {(x.a, x.b) for x in simhash.similar(nodes, 40, size=size).collect()} == want
+    assert simhash.segment_bits(1000) == 24 and simhash.segment_bits(10**8) == 32 and simhash.segment_bits(10**12) == 44
+
+
+def test_wide_distance_follows_similarity():
+    r = random.Random(4)
+    own = [f"w{i}" for i in range(2000)]
+    apart = []
+    for _ in range(20):
+        other = list(own)
+        for k in range(0, 2000, 45):
+            other[k] = f"x{r.random()}"
+        a, b = (simhash.wide_fingerprint(simhash.shingles(" ".join(x))) for x in (own, other))
+        apart.append(int(np.bitwise_count((a ^ b).view(np.uint64)).sum()))
+        assert abs(jaccard(" ".join(own), " ".join(other)) - 0.8) < 0.02
+    assert abs(np.mean(apart) - simhash.WIDE * np.arccos(1.6 / 1.8) / np.pi) < 8 and np.mean(np.array(apart) <= simhash.most_bits()) > 0.6
