@@ -111,14 +111,17 @@ def outliers(df: DataFrame, value: str, times: float, quantile: float) -> DataFr
     return df.join(F.broadcast(limits)).filter(F.col(value) > F.greatest(F.col("__m") * times, F.col("__q"))).drop("__m", "__q")  # limits: one row
 
 
-def index_quantile(values: Column, q: float) -> Column:
-    """The value at the whole place q * n of the sorted array."""
-    n = F.size(values)
-    return F.when(n > 0, F.element_at(F.array_sort(values), F.least(F.floor(q * n).cast("int") + 1, n)))
+def index_quantiles(df: DataFrame, value: str, shares: dict[str, float], by: list[str] = ()) -> DataFrame:
+    """(by, a column for each share): the value at the whole place share * n of the sorted values of a group, by way of their histogram."""
+    w = W.partitionBy(*by)
+    counts = histogram(df.filter(F.col(value).isNotNull()), value, by).withColumns({"__up_to": F.sum("n").over(w.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)), "__all": F.sum("n").over(w)})
+    place = lambda q: F.least(F.floor(q * F.col("__all")), F.col("__all") - 1)
+    return counts.groupBy(*by).agg(*[F.min(F.when(F.col("__up_to") > place(q), F.col(value))).alias(name) for name, q in shares.items()])
 
 
-def generalised_iqr(values: Column, left: float = 0.25, right: float = 0.25) -> Column:
-    return index_quantile(values, 1 - right) - index_quantile(values, left)
+def generalised_iqr(df: DataFrame, value: str, by: list[str] = (), left: float = 0.25, right: float = 0.25) -> DataFrame:
+    """(by, iqr): the distance between the values at 1 - right and left of the sorted values."""
+    return index_quantiles(df, value, {"__high": 1 - right, "__low": left}, by).select(*by, (F.col("__high") - F.col("__low")).alias("iqr"))
 
 
 def pair_rate(groups: list[Column]) -> Column:

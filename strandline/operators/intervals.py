@@ -47,7 +47,7 @@ def _cells(df: DataFrame, start: Column, end: Column, base: int, levels: int, li
         both = role(at(0), 1)
     else:
         both = F.concat(role(own, 3 - lifted_role), role(up, lifted_role)) if lifted_role == 2 else F.concat(role(own, 1), F.when(F.col("__level") > 0, role(own, 2)).otherwise(role(none, 2)), role(up, 1))
-    return df.withColumn("__cell", F.explode(both)).select("*", "__cell.role", "__cell.k", "__cell.c").drop("__cell", "__level")
+    return df.withColumn("__cell", F.explode(both)).select("*", F.col("__cell.role").alias("__role"), F.col("__cell.k").alias("__k"), F.col("__cell.c").alias("__c")).drop("__cell", "__level")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, by: str | list[str], base: int = 16384, slack: int = 0, longest: int | None = None) -> DataFrame:
@@ -65,10 +65,10 @@ def overlap_join(left: DataFrame, right: DataFrame, by: str | list[str], base: i
     levels = _levels(longest, base)
     a = _cells(left, s, e, base, levels, 2)
     b = _cells(right, F.col("start_r"), F.col("end_r"), base, levels, 1)
-    sizes = F.element_at(F.array(*[F.lit(_size(base, k)).cast("long") for k in range(levels)]), F.col("k") + 1)
-    pairs = a.join(b, [*by, "role", "k", "c"])
+    sizes = F.element_at(F.array(*[F.lit(_size(base, k)).cast("long") for k in range(levels)]), F.col("__k") + 1)
+    pairs = a.join(b, [*by, "__role", "__k", "__c"])
     later = F.floor(F.greatest(s, F.col("start_r")) / sizes).cast("long")
-    return pairs.filter((s < F.col("end_r")) & (F.col("start_r") < e) & (later == F.col("c"))).drop("role", "k", "c")
+    return pairs.filter((s < F.col("end_r")) & (F.col("start_r") < e) & (later == F.col("__c"))).drop("__role", "__k", "__c")
 
 
 def point_join(points: DataFrame, right: DataFrame, by: str | list[str], base: int = 16384) -> DataFrame:

@@ -98,8 +98,11 @@ def sliding(pos: Column, window: int, step: int, first: int = 0) -> Column:
     return F.when(high >= F.greatest(low, F.lit(0)), F.transform(F.sequence(F.greatest(low, F.lit(0)), high), lambda k: k * step + first)).otherwise(F.array().cast("array<bigint>"))
 
 
-def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: int) -> DataFrame:
-    """Greedy from the left: windows (start, end, n) join the one before until its n exceeds ``least`` or it would span more than ``most_distance``. Each group is one pass in order, of one row a window."""
+def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: int, tile: int = TILE) -> DataFrame:
+    """Greedy from the left: windows (start, end, n) join the one before until its n exceeds ``least`` or it would span more than ``most_distance``.
+
+    A window that ends more than ``most_distance`` after the start of the one before it begins anew whatever came before: groups are cut there, and each part is one pass in order, of one row a window.
+    """
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("start", kind="stable")
@@ -113,7 +116,9 @@ def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: i
         return pd.DataFrame([[*keys, *x] for x in out], columns=[*by, "start", "end", "n"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema) + ", start long, end long, n long"
-    return df.select(*by, "start", "end", "n").groupBy(*by).applyInPandas(join, schema)
+    own = across(df.select(*by, "start", "end", "n"), by, ["start"], {"__before": ("lag", F.col("start"))}, tile)
+    parts = numbered(own, by, ["start"], F.col("end") - F.col("__before") > most_distance, "__part", tile).drop("__before")
+    return parts.groupBy(*by, "__part").applyInPandas(join, schema)
 
 
 def apart(df: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:

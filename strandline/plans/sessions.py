@@ -107,7 +107,7 @@ WEEKS = 'SELECT contig, start // 7 * 7 AS s, start // 7 * 7 + 7 AS e, count(*) A
 @query(f'WITH RECURSIVE {ITEMS}, {greedy_sql("c", WEEKS, "r.sum <= 20 AND o.e - r.a <= 180", "r.a ; r.sum + o.n", "o.s AS a, o.n AS sum")} SELECT contig, min(s) AS start, max(e) AS "end", sum(n)::BIGINT AS n FROM c JOIN c_o USING (contig, k) GROUP BY contig, g')
 def coalesced_windows(spark, sf):
     weeks = items(spark, sf).groupBy("contig", (F.floor(F.col("start") / 7) * 7).alias("start")).agg(F.count("*").alias("n"))
-    return S.coalesced_windows(weeks.withColumn("end", F.col("start") + 7), ["contig"], 20, 180)
+    return S.coalesced_windows(weeks.withColumn("end", F.col("start") + 7), ["contig"], 20, 180, YEAR)
 
 
 @query(f'WITH RECURSIVE {ITEMS}, {greedy_sql("c", "SELECT DISTINCT contig, start AS s, " + chr(34) + "end" + chr(34) + " AS e FROM items", "o.s < r.reach", "r.reach", "o.e AS reach")} SELECT contig, arg_min(s, k) AS start, arg_min(e, k) AS "end" FROM c JOIN c_o USING (contig, k) GROUP BY contig, g')

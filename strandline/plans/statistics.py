@@ -106,7 +106,7 @@ def outlier_parts(spark, sf):
 
 @query("SELECT l_suppkey, list_extract(v, least(floor(0.75 * n)::BIGINT + 1, n)) - list_extract(v, least(floor(0.25 * n)::BIGINT + 1, n)) AS iqr FROM (SELECT l_suppkey, list_sort(list(l_quantity)) AS v, count(*) AS n FROM lineitem GROUP BY 1)")
 def generalised_iqr(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(A.generalised_iqr(F.collect_list("l_quantity")).alias("iqr"))
+    return A.generalised_iqr(table(spark, sf, "lineitem"), "l_quantity", ["l_suppkey"])
 
 
 @query("WITH k AS (SELECT o_custkey, count(*) FILTER (o_orderstatus = 'O') AS a, count(*) FILTER (o_orderstatus <> 'O') AS b FROM orders GROUP BY 1) SELECT o_custkey, round((a * (a - 1) / 2 + b * (b - 1) / 2) / ((a + b) * (a + b - 1) / 2), 8) AS rate FROM k WHERE a + b > 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -63,3 +63,9 @@ def vcf_lines(df: DataFrame, sample: str = "sample") -> DataFrame:
     head = df.sparkSession.createDataFrame([(0, "##fileformat=VCFv4.2"), (1, "\t".join(columns))], "k int, value string")
     body = df.select(F.lit(2).alias("k"), "contig", "pos", F.concat_ws("\t", "contig", F.col("pos").cast("string"), "id", F.lit("N"), "alt", F.coalesce(F.col("qual").cast("string"), F.lit(".")), F.when(F.col("filters").isin("", "."), "PASS").otherwise(F.col("filters")), "info").alias("value"))
     return head.unionByName(body, allowMissingColumns=True).orderBy("k", "contig", "pos", "value").select("value")
+
+
+def fastq_files(spark: SparkSession, folder: str, reads: tuple[str, ...] = ("R1", "R2")) -> DataFrame:
+    """(path, sample, lane, read, group) of the read files under a folder, by their names; the contents aren't read."""
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.fastq*").load(folder).select("path")
+    return paths.select("path", fastq_name(F.col("path")).alias("n")).filter(F.col("n.read").isin(*reads)).select("path", "n.*")
