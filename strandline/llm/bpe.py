@@ -13,6 +13,7 @@ vocabulary's path is a parameter; every worker opens it by that path. Other colu
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 
@@ -40,6 +41,15 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 _OTHER = re.compile("[^\x00-\u04ff]")
 
 
+def check_kind(file: dict) -> None:
+    """Fails for vocabularies that ``PATTERN`` doesn't split as their own file says, or whose ids aren't the order of their merges."""
+    split, model = file.get("pre_tokenizer") or {}, file["model"]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    joined = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model.get("merges", [])]
+    if not plain or file.get("normalizer") or model.get("ignore_merges") or any(a >= b for a, b in zip(joined, joined[1:], strict=False)):
+        raise ValueError("not a byte-level vocabulary of the kind that this operator encodes")
+
+
 class Codec:
     def __init__(self, path: str):
         import tiktoken
@@ -48,6 +58,7 @@ class Codec:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
+        check_kind(json.loads(self.model.to_str()))
         chars, special = byte_of_char(), {t.content for t in self.model.get_added_tokens_decoder().values()}
         self.bytes_of = [b""] * self.model.get_vocab_size()
         for token, i in self.model.get_vocab().items():

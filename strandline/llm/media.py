@@ -25,8 +25,8 @@ def features(rgb: np.ndarray) -> str:
     return f"{rgb.shape[0]}x{rgb.shape[1]}:" + ",".join(map(str, total.tolist())) + f":{zlib.crc32(rgb.tobytes()):08x}"
 
 
-def media(docs: DataFrame, keys: list[str], tensors: bool = True) -> DataFrame:
-    """Rows (*keys, n_bytes, media, payload, height, width, rgb, feature) of all rows of docs. media is the stream, payload what is read back from it, rgb the tensor as bytes (row, column, channel), left null without ``tensors``."""
+def media(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (*keys, n_bytes, media, payload, height, width, rgb, feature) of all rows of docs. media is the stream, payload what is read back from it, rgb the full-resolution tensor as bytes (row, column, channel)."""
     rows = docs.select(*keys, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
@@ -35,7 +35,7 @@ def media(docs: DataFrame, keys: list[str], tensors: bool = True) -> DataFrame:
         stream = jpeg.write(data + bytes(-len(data) % jpeg.UNIT if data else jpeg.UNIT))
         frame = jpeg.read(stream)
         rgb = frame.pixels()
-        return len(data), stream, jpeg.payload(frame), frame.height, frame.width, rgb.tobytes() if tensors else None, features(rgb)
+        return len(data), stream, jpeg.payload(frame), frame.height, frame.width, rgb.tobytes(), features(rgb)
 
     def each(batches):
         for whole in batches:
@@ -50,9 +50,10 @@ def media(docs: DataFrame, keys: list[str], tensors: bool = True) -> DataFrame:
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = media(table(spark, sf_dir, "documents"), ["doc_id"], tensors=False)
+    out = media(table(spark, sf_dir, "documents"), ["doc_id"])
     tail = F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32")
     return out.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), tail,
         F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+        "height", "width", F.octet_length("rgb").cast("long").alias("rgb_bytes"),
     )

@@ -14,6 +14,7 @@ Null texts are empty. Repeated rows get the same result each. Other columns are
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 from typing import NamedTuple
@@ -31,6 +32,15 @@ CHUNK, OVERLAP, LIMIT, HELD, TOGETHER = 1 << 16, 256, 2048, 300_000, 2000
 SPACE = frozenset(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
+def check_kind(file: dict) -> None:
+    """Fails for vocabularies whose pieces aren't what a pattern matches, with what stands between left out: only there a space parts tokens for sure."""
+    split = file.get("pre_tokenizer") or {}
+    parts = split.get("pretokenizers", [split])
+    pattern = parts[0].get("pattern", {}).get("Regex", "") if parts else ""
+    if parts[0].get("type") != "Split" or parts[0].get("behavior") != "Removed" or not parts[0].get("invert") or re.search(pattern.replace("\\p{L}", "a-z").replace("\\p{N}", "0-9"), " "):
+        raise ValueError("not a vocabulary of the kind that this operator counts")
+
+
 class Counter:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,6 +48,7 @@ class Counter:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
+        check_kind(json.loads(self.model.to_str()))
         special = {t.content: i for i, t in self.model.get_added_tokens_decoder().items()}
         self.special = re.compile("|".join(map(re.escape, sorted(special)))) if special else None
         self.between, self.mark = max(special.items(), key=lambda x: x[1]) if special else (None, None)

@@ -87,3 +87,11 @@ def test_joins_in_one_long_run(direct):
     text = "".join(random.Random(3).choices("abcdefgh", k=30_000))
     own = bpe.codec(BYTE)
     assert np.array_equal(own.unsplit(text, 1000), direct(BYTE, text))
+
+
+def test_vocabularies_of_another_kind_are_refused():
+    bpe.codec(BYTE), token_counts.counter(WORD)
+    with pytest.raises(ValueError):
+        bpe.Codec(WORD)
+    with pytest.raises(ValueError):
+        token_counts.Counter(BYTE)
