@@ -16,11 +16,13 @@ most 2,081 balls, so no group grows with the data and no link is lost.
 ``one_of_each_group`` is the same method for a similarity: texts whose sets of five-word shingles resemble each
 other by ``SIMILARITY`` or more. Four bits of 64 are far less than such texts differ by, so its fingerprints have
 ``WIDE`` bits, of which so many differ at most as two sets of that Jaccard similarity are expected to (``most_bits``); the
-table holds the Hamming balls of radius one of all their segments, so that pairs within two bits in any of them meet.
-Segments have 24 bits, and four more each time the table would hold more than one fingerprint a slot by chance; at 24 bits
-less than one pair in a thousand of similarity 0.8 shares no slot, at 32 about one in ten, of 0.9 next to none. Equal sets
-are one fingerprint. At a slot every member meets the smallest one and the ``BESIDE`` before it (all pairs of a small
-slot), so no group emits all its pairs; a pair has hundreds of slots to meet at, and links join through others.
+table holds, of up to ``INDEXED`` segments, the value and all values with one more bit set: half of the Hamming ball of
+radius one. Such halves meet for values that are equal, differ in one bit, or differ in two bits of which either side has
+one. Segments have 24 bits, and four more each time the table would hold more than one fingerprint a slot by chance. At 24
+bits about 3 in 100 pairs of similarity 0.8 share no slot, and next to none of 0.9; at 32 bits 28 and 1 in 100; texts
+with more relatives have more ways to be linked. Equal sets are one fingerprint. At a slot every member meets the smallest
+one and the ``BESIDE`` before it (all pairs of a small slot), so no group emits all its pairs; a pair of close texts has
+many slots to meet at, and links join through others.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -47,7 +49,7 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 #: First bit, bits, and the radius of the balls in the table and of those looked up.
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
-SHINGLE, SIMILARITY, WIDE, BESIDE = 5, 0.8, 512, 3
+SHINGLE, SIMILARITY, WIDE, INDEXED, BESIDE = 5, 0.8, 512, 16, 3
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 
 
@@ -188,14 +190,16 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None
         if shift + size > 64:
             own = own.bitwiseOR(F.shiftleft(F.get("f", at + 1), 64 - shift))
         own = own.bitwiseAND(F.lit((1 << size) - 1).cast("long"))
-        return F.transform(masks, lambda m: F.shiftleft(F.lit(k).cast("long"), 48).bitwiseOR(own.bitwiseXOR(m)))
+        slot = F.shiftleft(F.lit(k).cast("long"), 48)
+        return F.transform(F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: slot.bitwiseOR(own).bitwiseOR(m))
 
-    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(WIDE // size)]))).alias("slot"))
-    slots = keys.groupBy("slot").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
-    shared = keys.join(slots, "slot").withColumn("part", F.pmod(F.xxhash64("node"), F.floor(F.col("n") / hot) + 1))  # a crowd is dealt out
+    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(min(INDEXED, WIDE // size))]))).alias("slot"))
+    whole = W.partitionBy("slot").orderBy("node").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    shared = keys.withColumns({"n": F.count("*").over(whole), "first": F.first("node").over(whole)}).filter("n > 1")
+    shared = shared.withColumn("part", F.pmod(F.xxhash64("node"), F.floor(F.col("n") / hot) + 1))  # neighbours differ from slot to slot
     line = W.partitionBy("slot", "part").orderBy("node")
     others = F.array("first", *[F.lag("node", k).over(line) for k in range(1, BESIDE + 1)])
-    pairs = shared.repartition("slot", "part").withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
+    pairs = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= most).select("a", "b")
