@@ -43,8 +43,9 @@ def compressed_paths(edges: DataFrame) -> DataFrame:
     single_in = edges.groupBy("b").agg(F.count("*").alias("n")).filter("n = 1").select("b")
     links = cut_lineage(single_out.join(single_in, "b", "left_semi").select("a", "b"))
     # cut each unbranched cycle before its smallest node
-    whole = components(links).join(links.select(F.col("b").alias("node")), "node", "left_semi")
-    sizes = components(links).groupBy("root").agg(F.count("*").alias("n"))
+    found = cut_lineage(components(links))
+    whole = found.join(links.select(F.col("b").alias("node")), "node", "left_semi")
+    sizes = found.groupBy("root").agg(F.count("*").alias("n"))
     cycles = whole.groupBy("root").agg(F.count("*").alias("heads")).join(sizes, "root").filter("heads = n").select("root")
     back = cut_lineage(links.join(cycles.withColumnRenamed("root", "b"), "b", "left_anti").select(F.col("b").alias("node"), F.col("a").alias("up")))
     at = cut_lineage(nodes.join(back, "node", "left").select("node", F.coalesce("up", "node").alias("head"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("place")))
