@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from strandline.lineage import cut_lineage
+
 
 def viterbi(emission: np.ndarray, transition: np.ndarray, prior: np.ndarray, first: bool = True) -> np.ndarray:
     """The best path of log scores; of equal ones the smaller state. ``first=False`` leaves the first row's emission out."""
@@ -182,11 +184,14 @@ def best_allele(reads: DataFrame, ids: list[str], seq: str, alleles: str) -> Dat
 
 
 def expectation(df: DataFrame, by: list[str], a: str, b: str, rounds: int = 5, tolerance: float = 1e-4) -> DataFrame:
-    """(by, share): the share of rows that come from the first of two sources, from each row's log-probabilities under both. Every round is one aggregate; groups that have settled stay put."""
-    share = df.select(*by).distinct().withColumn("share", F.lit(0.5))
+    """(by, share, settled): the share of rows that come from the first of two sources, from each row's log-probabilities under both, and whether it moved by ``tolerance`` at most in the last round. Every round is one aggregate; groups that have settled stay put, and the rounds end when all have."""
+    df = cut_lineage(df.select(*by, a, b))
+    share = df.select(*by).distinct().withColumns({"share": F.lit(0.5), "settled": F.lit(False)})
     for _ in range(rounds):
         p = F.lit(1.0) / (1 + F.exp(F.col(b) - F.col(a)) * (1 - F.col("share")) / F.col("share"))
         new = df.join(share, by).groupBy(*by).agg(F.avg(p).alias("__new"), F.first("share").alias("__old"))
         moved = F.abs(F.col("__new") - F.col("__old")) > tolerance
-        share = new.select(*by, F.when(moved, F.least(F.greatest("__new", F.lit(1e-9)), F.lit(1 - 1e-9))).otherwise(F.col("__old")).alias("share"))
+        share = cut_lineage(new.select(*by, F.when(moved, F.least(F.greatest("__new", F.lit(1e-9)), F.lit(1 - 1e-9))).otherwise(F.col("__old")).alias("share"), (~moved).alias("settled")))
+        if share.filter("not settled").isEmpty():
+            break
     return share

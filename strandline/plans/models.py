@@ -54,7 +54,14 @@ def haplotype_support(spark, sf):
     return own.select("l_partkey", F.round(M.support_score(F.col("h00"), F.col("h11"), F.col("h01"), F.col("h10")), 6).alias("score"))
 
 
-@query()
+def _rounds(n: int) -> str:
+    """Tables s0 .. sn of shares, round by round."""
+    one = "avg(1 / (1 + exp(least(b - a, 700)) * (1 - share) / share))"
+    step = "s{k} AS (SELECT g, CASE WHEN abs(new - share) > 1e-4 THEN least(greatest(new, 1e-9), 1 - 1e-9) ELSE share END AS share, abs(new - share) <= 1e-4 AS settled FROM (SELECT r.g, {one} AS new, any_value(share) AS share FROM r JOIN s{p} USING (g) GROUP BY r.g))"
+    return ", ".join(step.format(k=k, p=k - 1, one=one.replace("share", "s%d.share" % (k - 1))) for k in range(1, n + 1)).replace("any_value(share)", "any_value(share)")
+
+
+@query(f"WITH r AS (SELECT l_suppkey AS g, -pow((x - 900) / 200, 2) / 2 AS a, -pow((x - 1500) / 200, 2) / 2 AS b FROM (SELECT l_suppkey, l_extendedprice / l_quantity AS x FROM lineitem)), s0 AS (SELECT DISTINCT g, 0.5::DOUBLE AS share FROM r), {_rounds(5)} SELECT g AS l_suppkey, round(share, 6) AS share, settled FROM s5")
 def mixture_shares(spark, sf):
     x = F.col("l_extendedprice") / F.col("l_quantity")
     own = table(spark, sf, "lineitem").select("l_suppkey", (-F.pow((x - 900) / 200, 2) / 2).alias("a"), (-F.pow((x - 1500) / 200, 2) / 2).alias("b"))
