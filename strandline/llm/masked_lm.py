@@ -33,11 +33,11 @@ from strandline.lineage import cut_lineage
 from strandline.llm.common import table
 from strandline.llm.substring_dedup import word_symbols
 
-CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 64, 64, 2, 24, 32
+CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 48, 48, 2, 24, 32
 BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
-OWN = 3840
+OWN = 2048
 SHARE, LEAST, FEW = 21, 14, 8  # words of a trainer in both rounds, as powers of two; up to so many trainers do with the lesser number
-SHARED, FINE = BUCKETS - OWN, 1 << 30
+SHARED, FINE, TABLE = BUCKETS - OWN, 1 << 30, 20
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
 
 
@@ -66,15 +66,31 @@ def symbols(text: str | None) -> np.ndarray:
     return word_symbols((text or "").encode().lower().decode("utf-8", "replace"))
 
 
-def entries(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The entry of each symbol."""
-    out = (OWN + (own >> np.uint64(54)) % np.uint64(SHARED)).astype(np.int32)
-    if len(frequent):
-        order = np.argsort(frequent)
-        at = order[np.minimum(np.searchsorted(frequent, own, sorter=order), len(frequent) - 1)]
-        known = frequent[at] == own
-        out[known] = at[known]
-    return out
+class Entries:
+    """The entry of each symbol. Frequent symbols stand in a table by their first bits; the few that share a slot are looked for in order."""
+
+    def __init__(self, frequent: np.ndarray):
+        self.order = np.argsort(frequent)
+        self.frequent = frequent
+        slots = (frequent >> np.uint64(64 - TABLE)).astype(np.int64)
+        self.table = np.full(1 << TABLE, -1, np.int16)
+        self.table[slots] = np.arange(len(frequent), dtype=np.int16)
+        slot, n = np.unique(slots, return_counts=True)
+        self.table[slot[n > 1]] = -2
+
+    def __call__(self, own: np.ndarray) -> np.ndarray:
+        out = (OWN + (own >> np.uint64(54)) % np.uint64(SHARED)).astype(np.int32)
+        if len(self.frequent):
+            at = self.table[own >> np.uint64(64 - TABLE)]
+            met = np.flatnonzero(at >= 0)
+            met = met[self.frequent[at[met]] == own[met]]
+            out[met] = at[met]
+            several = np.flatnonzero(at == -2)
+            if len(several):
+                near = self.order[np.minimum(np.searchsorted(self.frequent, own[several], sorter=self.order), len(self.frequent) - 1)]
+                known = self.frequent[near] == own[several]
+                out[several[known]] = near[known]
+        return out
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -125,10 +141,30 @@ def forward(p: dict[str, np.ndarray], words: np.ndarray, around: np.ndarray):
     return x, h, kind, _softmax(h @ p["c"] + p["cb"]), _softmax(h @ p["m"] + p["mb"][kind])
 
 
+class Scorer:
+    """Log-probabilities under fixed weights: the first layer is worked out once for every entry at every place."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.p = p
+        self.places = [p["e"] @ p["w"][k * EMBED : (k + 1) * EMBED] for k in range(2 * SIDE)]
+
+    def __call__(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
+        p, rows, kind = self.p, np.arange(len(words)), words // MEMBERS
+        h = self.places[0][around[:, 0]] + p["b"]
+        for k in range(1, 2 * SIDE):
+            h += self.places[k][around[:, k]]
+        np.tanh(h, out=h)
+        out = np.zeros(len(words), h.dtype)
+        for x, at in ((h @ p["c"] + p["cb"], kind), (h @ p["m"] + p["mb"][kind], words % MEMBERS)):
+            own = x[rows, at]
+            top = x.max(axis=1)
+            x -= top[:, None]
+            out += own - top - np.log(np.exp(x, out=x).sum(axis=1))
+        return out
+
+
 def log_probability(p: dict[str, np.ndarray], words: np.ndarray, around: np.ndarray) -> np.ndarray:
-    _, _, kind, pc, pm = forward(p, words, around)
-    rows = np.arange(len(words))
-    return np.log(pc[rows, kind]) + np.log(pm[rows, words % MEMBERS])
+    return Scorer(p)(words, around)
 
 
 def _by_row(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -188,8 +224,9 @@ def train(docs: DataFrame) -> Model:
     trainers = max(n >> SHARE, min(FEW, n >> LEAST), 1)
 
     def tokenised(batches):
+        at = Entries(frequent)
         for b in batches:
-            ids = [entries(symbols(x.as_py()), frequent).astype(np.int16).tobytes() for x in b.column("text")]
+            ids = [at(symbols(x.as_py())).astype(np.int16).tobytes() for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("trainer"), b.column("deal"), pa.array(ids, pa.binary())], ["trainer", "deal", "ids"])
 
     for turn in range(ROUNDS):
@@ -224,10 +261,10 @@ def scores(docs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     flat, frequent, norms, counts = model
 
     def each(batches):
-        p = unpack(flat)
+        score, at = Scorer(unpack(flat)), Entries(frequent)
         for b in batches:
             own = [symbols(x.as_py()) for x in b.column("text")]
-            ids = [entries(x, frequent) for x in own]
+            ids = [at(x) for x in own]
             split = [np.unique(x[k >= OWN], return_counts=True) for x, k in zip(own, ids, strict=True)]
             sums, a = [], 0
             while a < len(ids):
@@ -236,7 +273,7 @@ def scores(docs: DataFrame, model: Model, keys: list[str]) -> DataFrame:
                     n += len(ids[z])
                     z += 1
                 words, around = contexts(ids[a:z])
-                logs = np.concatenate([log_probability(p, words[k : k + (1 << 13)], around[k : k + (1 << 13)]) for k in range(0, len(words), 1 << 13)] or [np.zeros(0)])
+                logs = np.concatenate([score(words[k : k + (1 << 13)], around[k : k + (1 << 13)]) for k in range(0, len(words), 1 << 13)] or [np.zeros(0)])
                 logs = logs - np.where(words >= OWN, norms[np.maximum(words - OWN, 0)], 0.0)
                 ends = np.cumsum([len(x) for x in ids[a:z]])
                 total = np.concatenate(([0.0], np.cumsum(logs, dtype=np.float64)))

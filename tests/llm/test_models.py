@@ -114,5 +114,5 @@ def test_vocabulary_grows_and_tells_rare_words_from_frequent(spark):
     got = {x.doc_id: x.log_probability for x in masked_lm.scores(tests, model, ["doc_id"]).collect()}
     assert abs(got[0] - got[1] - np.log(51 / 3)) < 1e-3 and abs(got[1] - got[2] - np.log(3)) < 1e-3
     assert sorted(r.n for r in model.counts.collect()) == [2, 50] + [60] * (masked_lm.OWN - 2) + [112] * 2
-    assert len({int(x) for x in masked_lm.entries(np.concatenate([masked_lm.symbols(w) for w in filler]), model.frequent)}) == len(filler)
+    assert len({int(x) for x in masked_lm.Entries(model.frequent)(np.concatenate([masked_lm.symbols(w) for w in filler]))}) == len(filler)
     assert np.isclose(np.exp(model.norms).sum(), masked_lm.SHARED + 52 + 2)
