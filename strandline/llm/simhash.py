@@ -15,8 +15,9 @@ most 2,081 balls, so no group grows with the data and no link is lost.
 
 ``one_of_each_group`` is the same method for a similarity: texts whose sets of five-word shingles resemble each
 other by ``SIMILARITY`` or more. Four bits of 64 are far less than such texts differ by, so its fingerprints have
-``WIDE`` bits, of which so many differ at most as two sets of that Jaccard similarity are expected to (``most_bits``); the
-table holds, of up to ``INDEXED`` segments, the value and all values with one more bit set: half of the Hamming ball of
+``WIDE`` bits. Matches that differ in far fewer bits than two sets of that Jaccard similarity are expected to
+(``bits_apart``; 2.5 standard deviations) are taken, those in far more are not, and those between are checked by their
+shingle sets. The table holds, of up to ``INDEXED`` segments, the value and all values with one more bit set: half of the Hamming ball of
 radius one. Such halves meet for values that are equal, differ in one bit, or differ in two bits of which either side has
 one. Segments have 24 bits, and four more each time the table would hold more than one fingerprint a slot by chance. At 24
 bits about 3 in 100 pairs of similarity 0.8 share no slot, and next to none of 0.9; at 32 bits 28 and 1 in 100; texts
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from strandline.lineage import cut_lineage
 from strandline.llm.common import NO_ID, mix, order_id, random_table, table
 from strandline.llm.substring_dedup import rolling, word_symbols
-from strandline.llm.windows import text_mark
+from strandline.llm.windows import BROADCAST_ROWS, text_mark
 from strandline.operators.graph import components
 
 WORDS, BITS, SEED, HOT = 4, 4, 42, 64
@@ -155,10 +156,10 @@ def wide_fingerprint(own: np.ndarray) -> np.ndarray:
     return np.packbits(2 * total > len(own), bitorder="little").view("<i8")
 
 
-def most_bits(similarity: float = SIMILARITY) -> int:
-    """The bits in which fingerprints of sets of this Jaccard similarity differ on average, two sets of equal size being arccos(2s / (1 + s)) apart, and one standard deviation, so that most pairs at the limit are linked."""
+def bits_apart(similarity: float, deviations: float = 0.0) -> int:
+    """The bits in which fingerprints of sets of this Jaccard similarity differ on average, two sets of equal size being arccos(2s / (1 + s)) apart, and so many standard deviations more."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return round(WIDE * p + (WIDE * p * (1 - p)) ** 0.5)
+    return round(WIDE * p + deviations * (WIDE * p * (1 - p)) ** 0.5)
 
 
 def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -180,7 +181,7 @@ def segment_bits(n: int) -> int:
 
 
 def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None) -> DataFrame:
-    """Edges (a, b) between nodes (node, f) whose fingerprints differ in at most ``most`` bits."""
+    """Edges (a, b, bits) between nodes (node, f) whose fingerprints differ in at most ``most`` bits."""
     size = size or segment_bits(nodes.count())
     masks = F.lit([0, *[1 << i for i in range(size)]]).cast("array<bigint>")
 
@@ -202,7 +203,22 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None
     pairs = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(apart <= most).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("bits")).filter(F.col("bits") <= most)
+
+
+def checked(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of which the shingle sets of the texts (node, text) are similar: counted over the sets themselves, by 32 bits of each shingle's hash."""
+
+    def each(batches):
+        for b in batches:
+            sets = [np.unique(shingles(x.as_py(), words).astype(np.uint32)).view(np.int32) for x in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "own"])
+
+    sets = texts.select("node", F.col("text").cast("string").alias("text")).mapInArrow(each, "node long, own array<int>")
+    side = lambda name: sets.select(F.col("node").alias(name), F.col("own").alias(f"own_{name}"))
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("own_a", "own_b"))
+    return both.filter(shared >= similarity * (F.size("own_a") + F.size("own_b") - shared)).select("a", "b")
 
 
 def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -210,10 +226,16 @@ def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float =
     prints = cut_lineage(wide_prints(docs, words))
     sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"))
     nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f"))
-    roots = components(similar(nodes.select("node", "f"), most_bits(similarity)))
+    own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
+    found = cut_lineage(similar(nodes.select("node", "f"), bits_apart(similarity, 2.5)))
+    unsure = found.filter(F.col("bits") > bits_apart(similarity, -2.5))
+    asked = cut_lineage(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark")))
+    few = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+    texts = own.select("__oid", "__mark", "text").join(few, ["__oid", "__mark"]).dropDuplicates(["node"])
+    sure = found.filter(F.col("bits") <= bits_apart(similarity, -2.5)).select("a", "b")
+    roots = components(sure.unionAll(checked(unsure, texts, words, similarity)))
     grouped_ = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best"))
     best = grouped_.select(F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark"))
-    own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
     return own.join(best, ["__oid", "__mark"], "left_semi").dropDuplicates(["__oid", "__mark"]).select(*docs.columns)
 
 
