@@ -108,7 +108,7 @@ def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: i
         pdf = pdf.sort_values("start", kind="stable")
         out: list[list] = []
         for s, e, n in zip(pdf["start"], pdf["end"], pdf["n"], strict=True):
-            if out and out[-1][2] <= least and e - out[-1][0] <= most_distance:
+            if out and out[-1][2] <= least and e - out[-1][0] <= most_distance:  # never across parts
                 out[-1][1], out[-1][2] = e, out[-1][2] + n
             else:
                 out.append([s, e, n])
@@ -118,7 +118,8 @@ def coalesced_windows(df: DataFrame, by: list[str], least: int, most_distance: i
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema) + ", start long, end long, n long"
     own = across(df.select(*by, "start", "end", "n"), by, ["start"], {"__before": ("lag", F.col("start"))}, tile)
     parts = numbered(own, by, ["start"], F.col("end") - F.col("__before") > most_distance, "__part", tile).drop("__before")
-    return parts.groupBy(*by, "__part").applyInPandas(join, schema)
+    # parts don't join, so one pass takes several of them
+    return parts.groupBy(*by, F.floor(F.col("__part") / 256)).applyInPandas(lambda pdf: join(pdf.drop(columns="__part")), schema)
 
 
 def apart(df: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
@@ -135,4 +136,4 @@ def apart(df: DataFrame, by: list[str], tile: int = TILE) -> DataFrame:
 
     # intervals that touch nothing else are cut apart first, so that groups stay short
     chained = clusters(df, by, -1, tile=tile)
-    return chained.groupBy(*by, "cluster").applyInPandas(pick, chained.schema).drop("cluster")
+    return chained.groupBy(*by, F.floor(F.col("cluster") / 256)).applyInPandas(pick, chained.schema).drop("cluster")

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.functions.numeric import log10_binomial_tail
+from strandline.lineage import cut_lineage
 from strandline.operators.aggregates import ratio
 from strandline.operators.intervals import depth, merge, overlap_join, point_join
 from strandline.operators.matching import as_of
@@ -104,6 +105,7 @@ def excluded(runs: DataFrame, by: list[str], most: int, tile: int = TILE) -> Dat
 
 def pileups(calls: DataFrame, runs: DataFrame, by: str, ids: list[str], ext: int, bin_: int, times: float, low: float, high: float, base: int = 1 << 14) -> DataFrame:
     """calls (start, end) with pileup: whether one of the first or last two bins of depth around a call stands over ``times`` the median bin, unless the median depth of the call is below ``low`` or above ``high`` times that of the stretches beside it, half as long as the call."""
+    runs = cut_lineage(runs)  # read five times
     begin, stop, half = F.greatest(F.col("start") - ext, F.lit(0)), F.col("end") + ext, F.floor((F.col("end") - F.col("start")) / 2)
     own = calls.select(*ids, by, begin.alias("a"), stop.alias("z"), half.alias("h"))
     right = runs.select(by, F.col("start").alias("start_r"), F.col("end").alias("end_r"), "depth")

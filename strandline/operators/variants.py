@@ -149,19 +149,24 @@ def _keep_best(pdf, share: float):
 
 
 def kept_best(calls: DataFrame, share: float, tile: int = TILE) -> DataFrame:
-    """calls (name, contig, start, end, qual, kind) swept from the left, those that overlap the last group's span by ``share`` of both lengths joined to it and its best kept; a group of several kinds gets the kind UNK. Chains that don't touch are cut apart first, so that a task holds one chain."""
+    """calls (name, contig, start, end, qual, kind) swept from the left, those that overlap the last group's span by ``share`` of both lengths joined to it and its best kept; a group of several kinds gets the kind UNK. Chains that don't touch are cut apart first, so that a task holds a few chains."""
     chained = clusters(calls.select("name", "contig", "start", "end", "qual", "kind"), ["contig"], 0, tile=tile)
     schema = chained.drop("cluster").schema
-    return chained.groupBy("contig", "cluster").applyInPandas(lambda pdf: _keep_best(pdf, share), schema)
+    # chains don't touch, so one sweep takes several of them
+    return chained.groupBy("contig", F.floor(F.col("cluster") / 256)).applyInPandas(lambda pdf: _keep_best(pdf.drop(columns="cluster"), share), schema)
 
 
 def key_clusters(calls: DataFrame, by: list[str], share: float) -> DataFrame:
     """calls (name, qual, keys: array) of each group in order of name: one whose keys resemble a cluster's (by Jaccard share, or by a count of 1 and more) joins the first such cluster and replaces it if it is better; what the clusters hold at the end."""
     names = [f.name for f in calls.schema.fields]
 
-    def pick(pdf):
+    def every(pdf):
+        rows = [r for _, own in pdf.sort_values("name", kind="stable").groupby(by, sort=False, dropna=False) for r in pick(own)]
+        return type(pdf)(rows, columns=names)
+
+    def pick(own):
         held = []
-        for r in pdf.sort_values("name", kind="stable").itertuples(index=False):
+        for r in own.itertuples(index=False):
             keys = frozenset(r.keys)
             for c in held:
                 both = len(c[0] & keys)
@@ -171,6 +176,7 @@ def key_clusters(calls: DataFrame, by: list[str], share: float) -> DataFrame:
                     break
             else:
                 held.append([keys, r])
-        return type(pdf)([tuple(c[1]) for c in held], columns=names)
+        return [tuple(c[1]) for c in held]
 
-    return calls.groupBy(*by).applyInPandas(pick, calls.schema)
+    # many small groups share a call
+    return calls.groupBy(F.pmod(F.xxhash64(*by), F.lit(4096))).applyInPandas(every, calls.schema)
