@@ -19,11 +19,11 @@ other by ``SIMILARITY`` or more. Four bits of 64 are far less than such texts di
 (``bits_apart``; 2.5 standard deviations) are taken, those in far more are not, and those between are checked by their
 shingle sets. The table holds, of up to ``INDEXED`` segments, the value and all values with one more bit set: half of the Hamming ball of
 radius one. Such halves meet for values that are equal, differ in one bit, or differ in two bits of which either side has
-one. Segments have 24 bits, and four more each time the table would hold more than one fingerprint a slot by chance. At 24
-bits about 3 in 100 pairs of similarity 0.8 share no slot, and next to none of 0.9; at 32 bits 28 and 1 in 100; texts
-with more relatives have more ways to be linked. Equal sets are one fingerprint. At a slot every member meets the smallest
-one and the ``BESIDE`` before it (all pairs of a small slot), so no group emits all its pairs; a pair of close texts has
-many slots to meet at, and links join through others.
+one. Segments have 24 bits, and four more as often as a fingerprint would meet more than eight others by chance. At 24 bits
+about 2 in 100 pairs of similarity 0.8 share no slot, and next to none of 0.9; at 28 bits 10 and none, at 32 bits 28 and 1
+in 100; texts with more relatives have more ways to be linked. Equal sets are one fingerprint. At a slot every member meets
+the smallest one and the ``BESIDE`` before it (all pairs of a small slot), in a crowd the smallest and the one before, so no
+group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -50,7 +50,7 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 #: First bit, bits, and the radius of the balls in the table and of those looked up.
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
-SHINGLE, SIMILARITY, WIDE, INDEXED, BESIDE = 5, 0.8, 512, 16, 3
+SHINGLE, SIMILARITY, WIDE, INDEXED, BESIDE = 5, 0.8, 512, 18, 3
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 
 
@@ -177,7 +177,7 @@ def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
 def segment_bits(n: int) -> int:
     """The bits of a segment for so many fingerprints."""
-    return next((size for size in (24, 28, 32, 36, 40) if n * (size + 1) <= 1 << size), 44)
+    return next((size for size in (24, 28, 32, 36, 40) if min(INDEXED, WIDE // size) * (size // 2 + 1) ** 2 * n <= 8 << size), 44)
 
 
 def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None) -> DataFrame:
@@ -197,9 +197,9 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None
     keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(min(INDEXED, WIDE // size))]))).alias("slot"))
     whole = W.partitionBy("slot").orderBy("node").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     shared = keys.withColumns({"n": F.count("*").over(whole), "first": F.first("node").over(whole)}).filter("n > 1")
-    shared = shared.withColumn("part", F.pmod(F.xxhash64("node"), F.floor(F.col("n") / hot) + 1))  # neighbours differ from slot to slot
-    line = W.partitionBy("slot", "part").orderBy("node")
-    others = F.array("first", *[F.lag("node", k).over(line) for k in range(1, BESIDE + 1)])
+    line = W.partitionBy("slot").orderBy("node")
+    small = F.col("n") <= hot
+    others = F.array("first", *[F.lag("node", k).over(line) if k == 1 else F.when(small, F.lag("node", k).over(line)) for k in range(1, BESIDE + 1)])
     pairs = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)

@@ -128,7 +128,7 @@ def test_deeper_segments_find_the_same_links(spark):
     want = {(i, i + 40) for i in range(40)}
     for size in (24, 28, 32, 44):
         assert {(x.a, x.b) for x in simhash.similar(nodes, 40, size=size).collect()} == want
-    assert simhash.segment_bits(1000) == 24 and simhash.segment_bits(10**8) == 32 and simhash.segment_bits(10**12) == 44
+    assert simhash.segment_bits(1000) == 24 and simhash.segment_bits(10**6) == 32 and simhash.segment_bits(10**12) == 44
 
 
 def test_wide_distance_follows_similarity():
