@@ -33,9 +33,9 @@ from strandline.lineage import cut_lineage
 from strandline.llm.common import table
 from strandline.llm.substring_dedup import word_symbols
 
-CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 48, 48, 2, 24, 32
+CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
 BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
-OWN = 2048
+OWN = 768
 SHARE, LEAST, FEW = 21, 14, 8  # words of a trainer in both rounds, as powers of two; up to so many trainers do with the lesser number
 SHARED, FINE, TABLE = BUCKETS - OWN, 1 << 30, 20
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
@@ -98,8 +98,8 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def each(batches):
         for b in batches:
-            own, n = np.unique(np.concatenate([symbols(x.as_py()) for x in b.column("text")] or [np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n.astype(np.int64))], ["symbol", "n"])
+            own = pa.array(np.concatenate([symbols(x.as_py()) for x in b.column("text")] or [np.empty(0, np.uint64)]).view(np.int64)).value_counts()
+            yield pa.RecordBatch.from_arrays([own.field("values"), own.field("counts")], ["symbol", "n"])
 
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(each, "symbol long, n long")
     return cut_lineage(rows.groupBy("symbol").agg(F.sum("n").alias("n")))
