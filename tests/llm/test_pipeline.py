@@ -46,3 +46,9 @@ def test_whole_run(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert out and all(r.n_tokens == len(r.ids) for r in out)
     assert corpus_pipeline.ORACLE_SQL is None and [k for k, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "repeated_strings", "source_mix", "bpe"]
+
+
+def test_empty_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "decoded"] and out.count() == 0
