@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """df written to the shared folder, so that a lost executor costs one stage. Spark removes the files with the last use of df if spark.cleaner.referenceTracking.cleanCheckpoints is on."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared folder; one that isn't there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
