@@ -32,6 +32,8 @@ def folder(spark, tmp_path_factory):
     top = str(tmp_path_factory.mktemp("llm"))
     spark.createDataFrame(ROWS, "doc_id long, text string, source string").write.parquet(f"{top}/documents.parquet")
     spark.createDataFrame([(k, u, "<p>") for k, u in enumerate(URLS)], "page_id long, url string, html string").write.parquet(f"{top}/pages.parquet")
+    spark.createDataFrame([(1, ROWS[3][1]), (2, None), (3, "nothing-of-this")], "item_id long, text string").write.parquet(f"{top}/benchmark.parquet")
+    spark.createDataFrame([(k // 5, k % 5, "user" if k % 2 else "assistant", ROWS[k][1]) for k in range(60)], "conv_id long, turn long, role string, text string").write.parquet(f"{top}/conversations.parquet")
     return top
 
 
@@ -44,8 +46,8 @@ def rows_of(spark, folder, name):
 
 
 def test_all_are_here():
-    assert sorted(Q, key=lambda k: int(k[2:].split("_")[0])) == [k for k in Q] and [k.split("_")[0] for k in Q] == [f"op{n}" for n in range(1, 11)]
-    assert set(queries.oracle_sql()) == {"op1_source_mix", "op8_quality_rules"}
+    assert sorted(Q, key=lambda k: int(k[2:].split("_")[0])) == [k for k in Q] and [k.split("_")[0] for k in Q] == [f"op{n}" for n in range(1, 14)]
+    assert set(queries.oracle_sql()) == {"op1_source_mix", "op8_quality_rules", "op12_lexical_search", "op13_conversation_repair"}
 
 
 def test_op1(spark, folder):
@@ -105,5 +107,7 @@ def test_op9(spark, folder):
 def test_queries_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     for name, query in Q.items():
         assert query(spark, str(tmp_path)).count() == 0, name
