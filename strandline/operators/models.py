@@ -1,13 +1,10 @@
 """Models over ordered rows of a group: hidden Markov decoding and smoothing, phase switches, trios, haplotypes, alignment.
 
-Each group is one sequence, read in order by one numpy pass; groups are contigs, phase sets or loci cut by
-the caller (``islands`` and ``clusters`` cut at places where the chain can't matter), so that they stay bounded.
+Chains are decoded in tiles of their order (``chains``), so a group of any length is many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from strandline.lineage import cut_lineage
+from strandline.operators.chains import decoded
+from strandline.operators.ordered import across
 
 
 def viterbi(emission: np.ndarray, transition: np.ndarray, prior: np.ndarray, first: bool = True) -> np.ndarray:
@@ -55,85 +54,104 @@ def switching(k: int, change: float) -> np.ndarray:
     return out
 
 
-def per_group(df: DataFrame, by: list[str], order: list[str], new: str, f: Callable[[pd.DataFrame], dict[str, np.ndarray]]) -> DataFrame:
-    """df with the columns that f computes from each group in order; ``new`` names their types."""
+#: Rows that a tile holds where rows stand one apart.
+TILE = 1 << 12
 
-    def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        return pdf.assign(**f(pdf))
 
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
-    return df.groupBy(*by).applyInPandas(each, f"{schema}, {new}")
+def copy_scores(counts: np.ndarray, per_copy: float, states: int, alpha: float) -> np.ndarray:
+    """Log-likelihoods of counts under negative binomials whose means are multiples of ``per_copy`` and whose variances are ``alpha`` times as large."""
+    from strandline.functions.numeric import _lgamma
 
+    x, mean = counts.astype(float), np.maximum(np.arange(states), 0.05) * per_copy
+    size = mean / (alpha - 1)
+    return _lgamma(x[:, None] + size) - _lgamma(size)[None, :] - _lgamma(x + 1)[:, None] - size * np.log(alpha) + x[:, None] * np.log((alpha - 1) / alpha)
 
-def copy_numbers(df: DataFrame, by: list[str], order: list[str], count: str, per_copy: float, states: int = 6, change: float = 1e-3, alpha: float = 1.1, bad: str | None = None) -> DataFrame:
-    """df with state and confidence: counts of bins under negative binomials whose means are multiples of ``per_copy`` and whose variances are ``alpha`` times as large. Bins marked ``bad`` say nothing."""
-    from strandline.functions.numeric import _lgamma
 
-    def decode(pdf):
-        x = pdf[count].to_numpy(float)
-        mean = np.maximum(np.arange(states) * per_copy, 0.05 * per_copy)
-        size = mean / (alpha - 1)
-        e = _lgamma(x[:, None] + size) - _lgamma(size)[None, :] - _lgamma(x + 1)[:, None] - size * np.log(alpha) + x[:, None] * np.log((alpha - 1) / alpha)
+def copy_numbers(df: DataFrame, by: list[str], order: list[str], count: str, per_copy: float, states: int = 6, change: float = 1e-3, alpha: float = 1.1, bad: str | None = None, tile: int = TILE) -> DataFrame:
+    """df with state and confidence: the copy numbers that explain the counts of bins best, and the posterior probability of each. Bins marked ``bad`` say nothing."""
+
+    def score(pdf):
+        e = copy_scores(pdf[count].to_numpy(), per_copy, states, alpha)
         if bad is not None:
             e[pdf[bad].to_numpy(bool)] = 0
-        t, prior = switching(states, change), np.full(states, -np.log(states))
-        path = viterbi(e, t, prior)
-        return {"state": path.astype(np.int32), "confidence": smoothed(e, t, prior)[np.arange(len(x)), path]}
+        return e, switching(states, change)
+
+    out = decoded(df, by, order, tile, states, score, np.full(states, -np.log(states)), smooth=True)
+    return out.select(*df.columns, "state", F.get("posterior", F.col("state")).alias("confidence"))
+
 
-    return per_group(df, by, order, "state int, confidence double", decode)
+def copy_numbers_as_read(df: DataFrame, by: list[str], order: list[str], value: str, good: str | None = None, ploidy: float = 2.0, states: int = 6, change: float = 1e-3, alpha: float = 1.1, least: float = 1e-300, rounds: int = 10, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """(rows, fit): df with state, from fractional values of bins (``support.bin_shares``), and one row (ploidy, per_copy, rounds, settled).
 
+    A copy's expected value is the mean over good bins divided by the ploidy, which is estimated anew from the decoded copy numbers of good bins
+    below the highest state until it moves by less than 1e-6. Values are rounded, halves up; every state can begin; scores are at least the logarithm of ``least``.
+    """
+    df = cut_lineage(df)
+    fine = F.lit(True) if good is None else F.col(good)
+    sums = df.agg(F.sum(F.when(fine, F.col(value))).alias("v"), F.count(F.when(fine, 1)).alias("n")).first()
+    moves = np.full((states, states), np.log(change))
+    np.fill_diagonal(moves, np.log1p(-(states - 1) * change))
+    settled, done, out, per_copy = False, 0, None, 0.0
+    while done < rounds and not settled:
+        done, per_copy = done + 1, (sums.v or 0.0) / max(sums.n, 1) / max(ploidy, 1e-9)
 
-def deletions(df: DataFrame, by: list[str], order: list[str], one: str, other: str, change: float = 1e-2, het: float = 0.9, normal: float = 0.65) -> DataFrame:
+        def score(pdf, per_copy=per_copy):
+            counts = np.floor(pdf[value].to_numpy(float) + 0.5)
+            return np.maximum(copy_scores(counts, max(per_copy, 1e-9), states, alpha), np.log(least)), moves
+
+        out = cut_lineage(decoded(df, by, order, tile, states, score, np.zeros(states)).drop("before"))
+        new = out.filter(fine & (F.col("state") < states - 1)).agg(F.avg("state")).first()[0]
+        settled = new is None or abs(new - ploidy) < 1e-6
+        ploidy = ploidy if new is None else new
+    fit = df.sparkSession.createDataFrame([(float(ploidy), float(per_copy), done, bool(settled))], "ploidy double, per_copy double, rounds int, settled boolean")
+    return out, fit
+
+
+def deletions(df: DataFrame, by: list[str], order: list[str], one: str, other: str, change: float = 1e-2, het: float = 0.9, normal: float = 0.65, tile: int = TILE) -> DataFrame:
     """df with deleted: whether the depth of one haplotype against the other tells of a deletion: two states, binomial."""
 
-    def decode(pdf):
+    def score(pdf):
         low, high = np.minimum(pdf[one], pdf[other]).to_numpy(float), np.maximum(pdf[one], pdf[other]).to_numpy(float)
-        e = np.stack([high * np.log(p) + low * np.log1p(-p) for p in (normal, het)], axis=1)
-        return {"deleted": viterbi(e, switching(2, change), np.log([0.5, 0.5])) == 1}
+        return np.stack([high * np.log(p) + low * np.log1p(-p) for p in (normal, het)], axis=1), switching(2, change)
 
-    return per_group(df, by, order, "deleted boolean", decode)
+    out = decoded(df, by, order, tile, 2, score, np.log([0.5, 0.5]))
+    return out.select(*df.columns, (F.col("state") == 1).alias("deleted"))
 
 
-def phase_switches(df: DataFrame, by: list[str], order: list[str], parity: str, long_cost: float = 5.0) -> DataFrame:
+def phase_switches(df: DataFrame, by: list[str], order: list[str], parity: str, long_cost: float = 5.0, tile: int = TILE) -> DataFrame:
     """df with short_switch (the row is off its stretch) and long_switch (the stretch changes): the cheapest account of the parities."""
 
-    def decode(pdf):
+    def score(pdf):
         p = pdf[parity].to_numpy(int)
-        e = np.where(p[:, None] == np.arange(2)[None, :], 0.0, -1.0)
-        path = viterbi(e, np.where(np.eye(2, dtype=bool), 0.0, -long_cost), np.zeros(2))
-        return {"short_switch": p != path, "long_switch": np.concatenate(([False], path[1:] != path[:-1]))}
+        return np.where(p[:, None] == np.arange(2)[None, :], 0.0, -1.0), np.where(np.eye(2, dtype=bool), 0.0, -long_cost)
 
-    return per_group(df, by, order, "short_switch boolean, long_switch boolean", decode)
+    out = decoded(df, by, order, tile, 2, score, np.zeros(2))
+    return out.select(*df.columns, (F.col(parity) != F.col("state")).alias("short_switch"), F.coalesce(F.col("state") != F.col("before"), F.lit(False)).alias("long_switch"))
 
 
-def trio_states(df: DataFrame, by: list[str], order: list[str], switch: float = 25.0) -> DataFrame:
-    """df with state 0..7 (bits: haplotype from parent 1, from parent 2, child's phasing) and violation. Columns p1, p2, ch: two alleles each, and p1_set, p2_set, ch_set: phase sets, null where unphased. A mismatch costs 1; a switch costs ``switch`` within a phase set, nothing beyond."""
+#: The eight states of a trio: haplotype from parent 1, from parent 2, the child's phasing.
+TRIO = np.array([[s >> 2 & 1, s >> 1 & 1, s & 1] for s in range(8)])
+
 
-    def decode(pdf):
-        n, k = len(pdf), 8
-        bits = np.array([[s >> 2 & 1, s >> 1 & 1, s & 1] for s in range(k)])
-        a = [np.stack(pdf[c].map(lambda x: np.asarray(x, dtype=object)).to_list()) for c in ("p1", "p2", "ch")]
-        e = np.zeros((n, k))
-        for s in range(k):
-            e[:, s] -= a[0][:, bits[s, 0]] != a[2][:, bits[s, 2]]
-            e[:, s] -= a[1][:, bits[s, 1]] != a[2][:, 1 - bits[s, 2]]
-        sets = [pdf[c].to_numpy() for c in ("p1_set", "p2_set", "ch_set")]
-        score, back = e[0].copy(), np.zeros((n, k), np.int64)
-        for i in range(1, n):
-            same = np.array([float(x[i] == x[i - 1]) if pd.notna(x[i]) and pd.notna(x[i - 1]) else 0.0 for x in sets])
-            ways = score[:, None] - switch * (np.abs(bits[:, None, :] - bits[None, :, :]) * same).sum(axis=2)
-            back[i] = ways.argmax(axis=0)
-            score = ways[back[i], np.arange(k)] + e[i]
-        path = np.empty(n, np.int64)
-        path[-1] = score.argmax()
-        for i in range(n - 1, 0, -1):
-            path[i - 1] = back[i, path[i]]
-        return {"state": path.astype(np.int32)}
+def trio_states(df: DataFrame, by: list[str], order: list[str], switch: float = 25.0, tile: int = TILE) -> DataFrame:
+    """df with state 0..7 (bits: haplotype from parent 1, from parent 2, child's phasing) and violation. Columns p1, p2, ch: two alleles each, and p1_set, p2_set, ch_set: phase sets, null where unphased. A mismatch costs 1; a switch costs ``switch`` within a phase set, nothing beyond."""
+    sets = ("p1_set", "p2_set", "ch_set")
+    seen = across(df, by, order, {f"__was_{x}": ("lag", F.col(x)) for x in sets}, tile)
+    same = seen.withColumn("__same", F.array(*[F.coalesce(F.col(x) == F.col(f"__was_{x}"), F.lit(False)).cast("double") for x in sets])).drop(*[f"__was_{x}" for x in sets])
+    # alleles by number, so that numpy compares them
+    alleles = F.concat("p1", "p2", "ch")
+    same = same.withColumn("__alleles", F.transform(alleles, lambda x: F.array_position(alleles, x)))
+
+    def score(pdf):
+        a = np.stack(pdf["__alleles"].to_list()).reshape(-1, 3, 2) if len(pdf) else np.empty((0, 3, 2))
+        e = -(a[:, 0, :][:, TRIO[:, 0]] != a[:, 2, :][:, TRIO[:, 2]]).astype(float) - (a[:, 1, :][:, TRIO[:, 1]] != a[:, 2, :][:, 1 - TRIO[:, 2]])
+        far = np.abs(TRIO[:, None, :] - TRIO[None, :, :])
+        return e, -switch * (far[None] * np.stack(pdf["__same"].to_list())[:, None, None, :]).sum(axis=3)
 
     one, two = F.array_intersect("p1", "ch"), F.array_intersect("p2", "ch")
     both = (F.size(F.array_intersect(one, two)) == 1) & (F.array_sort(F.array_distinct(one)) == F.array_sort(F.array_distinct(two))) & (F.size(F.array_distinct("ch")) == 2)
-    return per_group(df, by, order, "state int", decode).withColumn("violation", (F.size(one) == 0) | (F.size(two) == 0) | both)
+    out = decoded(same, by, order, tile, 8, score, np.zeros(8)).select(*df.columns, "state")
+    return out.withColumn("violation", (F.size(one) == 0) | (F.size(two) == 0) | both)
 
 
 def haplotype_posterior(calls: DataFrame, by: list[str], mixed_prior: float = 0.01) -> DataFrame:

@@ -5,36 +5,78 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandline.operators import models as M
+from strandline.operators import support as U
 from strandline.operators import variants as V
-from strandline.plans.base import ITEMS, code, items, query, table
+from strandline.plans.base import ITEMS, chain_sql, code, code_sql, counts_sql, items, query, table
 from strandline.streaming import windows as S
 
 
-@query()
+BINS = f"WITH RECURSIVE {ITEMS}, bins AS (SELECT contig, start // 30 AS bin, count(*) AS n FROM items GROUP BY ALL)"
+STAY = "CASE WHEN a = b THEN ln(1 - {stay}) ELSE ln({change}) END"
+
+
+@query(f"""{BINS}, {chain_sql("SELECT contig AS g, bin AS s, n AS c, " + counts_sql("n", "3.5", 6, 1.1) + " AS e FROM bins", 6, "[-ln(6), -ln(6), -ln(6), -ln(6), -ln(6), -ln(6)]", STAY.format(stay="0.001", change="0.001 / 5"), True)}
+SELECT o.g AS contig, o.s AS bin, o.c AS n, p.state, round(q.p[p.state + 1], 6) AS confidence FROM c_o o JOIN c_p p USING (g, k) JOIN c_q q USING (g, k)""")
 def copy_number_states(spark, sf):
     bins = items(spark, sf).groupBy("contig", F.floor(F.col("start") / 30).alias("bin")).agg(F.count("*").alias("n"))
-    return M.copy_numbers(bins, ["contig"], ["bin"], "n", 3.5).withColumn("confidence", F.round("confidence", 6))
+    return M.copy_numbers(bins, ["contig"], ["bin"], "n", 3.5, tile=32).withColumn("confidence", F.round("confidence", 6))
 
 
-@query()
+AS_READ = 3
+
+
+def _as_read_sql() -> str:
+    """AS_READ rounds of decoding, each with the ploidy of the one before."""
+    out, ploidy = [], "2.0"
+    for k in range(1, AS_READ + 1):
+        per_copy = f"((SELECT sum(v) / count(*) FROM shares) / {ploidy})"
+        chain = chain_sql(f"SELECT contig AS g, bin AS s, v AS c, list_transform({counts_sql('floor(v + 0.5)', f'm{k}.m', 6, 1.1)}, lambda x: greatest(x, ln(1e-300))) AS e FROM shares, m{k}", 6, "[0, 0, 0, 0, 0, 0]", STAY.format(stay="5 * 0.001", change="0.001"))
+        out += [f"m{k} AS MATERIALIZED (SELECT {per_copy} AS m)", chain.replace("c_", f"c{k}_"), f"f{k} AS MATERIALIZED (SELECT avg(state) AS p FROM c{k}_p WHERE state < 5)"]
+        ploidy = f"(SELECT p FROM f{k})"
+    return ", ".join(out)
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, shares AS MATERIALIZED (SELECT contig, b AS bin, sum(price / 10000 * (least("end", (b + 1) * 30) - greatest(start, b * 30)) / ("end" - start)) AS v FROM (SELECT *, unnest(range(start // 30, ("end" - 1) // 30 + 1)) AS b FROM items WHERE start < "end") GROUP BY ALL), {_as_read_sql()}
+SELECT o.g AS contig, o.s AS bin, p.state, round(f{AS_READ}.p, 6) AS ploidy FROM c{AS_READ}_o o JOIN c{AS_READ}_p p USING (g, k), f{AS_READ}""")
+def fractional_copy_numbers(spark, sf):
+    """Copy numbers from the shares of intervals that fall into bins, with the ploidy estimated anew each round."""
+    own = items(spark, sf).withColumn("v", F.col("price") / 10000)
+    out, fit = M.copy_numbers_as_read(U.bin_shares(own, ["contig"], 30, "v"), ["contig"], ["bin"], "v", rounds=AS_READ, tile=32)
+    return out.select("contig", "bin", "state").crossJoin(fit.select(F.round("ploidy", 6).alias("ploidy")))  # one row
+
+
+@query(f"""WITH RECURSIVE {ITEMS}, bins AS (SELECT contig, start // 60 AS bin, count(*) FILTER (flag = 'R') AS r, count(*) FILTER (flag = 'A') AS a FROM items GROUP BY ALL),
+{chain_sql("SELECT contig AS g, bin AS s, r, a AS o, [greatest(r, a) * ln(0.65) + least(r, a) * ln(1 - 0.65), greatest(r, a) * ln(0.9) + least(r, a) * ln(1 - 0.9)] AS e FROM bins", 2, "[ln(0.5), ln(0.5)]", STAY.format(stay="0.01", change="0.01"))}
+SELECT o.g AS contig, o.s AS bin, o.r, o.o AS a, p.state = 1 AS deleted FROM c_o o JOIN c_p p USING (g, k)""")
 def haplotype_deletions(spark, sf):
     n = lambda f: F.count(F.when(F.col("flag") == f, 1)).alias(f.lower())
     bins = items(spark, sf).groupBy("contig", F.floor(F.col("start") / 60).alias("bin")).agg(n("R"), n("A"))
-    return M.deletions(bins, ["contig"], ["bin"], "r", "a")
+    return M.deletions(bins, ["contig"], ["bin"], "r", "a", tile=32)
 
 
-@query()
+@query(f"""WITH RECURSIVE {chain_sql("SELECT user_id AS g, event_id AS s, CASE WHEN value > 50 THEN 1 ELSE 0 END AS parity, CASE WHEN value > 50 THEN [-1.0::DOUBLE, 0] ELSE [0.0::DOUBLE, -1] END AS e FROM events", 2, "[0, 0]", "CASE WHEN a = b THEN 0 ELSE -5 END")}
+SELECT o.g AS user_id, o.s AS event_id, o.parity, o.parity <> p.state AS short_switch, coalesce(p.state <> lag(p.state) OVER (PARTITION BY o.g ORDER BY o.k), false) AS long_switch FROM c_o o JOIN c_p p USING (g, k)""")
 def phase_switches(spark, sf):
     own = table(spark, sf, "events").select("user_id", "event_id", (F.col("value") > 50).cast("int").alias("parity"))
-    return M.phase_switches(own, ["user_id"], ["event_id"], "parity")
+    return M.phase_switches(own, ["user_id"], ["event_id"], "parity", tile=1 << 16)
 
 
-@query()
+_BIT = lambda x, k: f"((({x} - 1) >> {k}) & 1)"
+_TRIO_E = f"list_transform(range(1, 9), lambda b: -(p1[{_BIT('b', 2)} + 1] <> ch[{_BIT('b', 0)} + 1])::INT::DOUBLE - (p2[{_BIT('b', 1)} + 1] <> ch[2 - {_BIT('b', 0)}])::INT)"
+_TRIO_T = "-25 * (" + " + ".join(f"({_BIT('a', k)} <> {_BIT('b', k)})::INT * o.same{k}" for k in range(3)) + ")"
+_LETTERS = lambda a, b: f"[{code_sql('l_partkey', 1, a)}, {code_sql('l_partkey', 1, b)}]"
+_SETS = ", ".join(f"CASE WHEN l_linenumber % {m} <> 0 THEN l_orderkey // 500 END AS set{k}" for k, m in ((2, 3), (1, 4), (0, 5)))
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT l_suppkey, (l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber AS id, {_LETTERS("a", "b")} AS p1, {_LETTERS("c", "d")} AS p2, {_LETTERS("a", "c")} AS ch, {_SETS} FROM lineitem),
+{chain_sql("SELECT l_suppkey AS g, id AS s, p1, p2, ch, " + ", ".join(f"coalesce(set{k} = lag(set{k}) OVER (PARTITION BY l_suppkey ORDER BY id), false)::INT AS same{k}" for k in range(3)) + f", {_TRIO_E} AS e FROM t", 8, "[0, 0, 0, 0, 0, 0, 0, 0]", _TRIO_T)},
+v AS (SELECT *, list_distinct(list_intersect(p1, ch)) AS one, list_distinct(list_intersect(p2, ch)) AS two FROM c_o)
+SELECT o.g AS l_suppkey, o.s AS id, p.state, len(one) = 0 OR len(two) = 0 OR (len(list_intersect(one, two)) = 1 AND list_sort(one) = list_sort(two) AND len(list_distinct(ch)) = 2) AS violation FROM v o JOIN c_p p USING (g, k)""")
 def trio_states(spark, sf):
     pick = lambda a, b: F.array(code(F.col("l_partkey"), 1, a), code(F.col("l_partkey"), 1, b))
     phase = lambda m: F.when(F.col("l_linenumber") % m != 0, F.floor(F.col("l_orderkey") / 500))
     own = table(spark, sf, "lineitem").select("l_suppkey", ((F.col("l_orderkey") * 1000000 + F.col("l_partkey")) * 10 + F.col("l_linenumber")).alias("id"), pick("a", "b").alias("p1"), pick("c", "d").alias("p2"), pick("a", "c").alias("ch"), phase(3).alias("p1_set"), phase(4).alias("p2_set"), phase(5).alias("ch_set"))
-    return M.trio_states(own, ["l_suppkey"], ["id"]).select("l_suppkey", "id", "state", "violation")
+    return M.trio_states(own, ["l_suppkey"], ["id"], tile=1 << 36).select("l_suppkey", "id", "state", "violation")
 
 
 @query("""WITH c AS (SELECT l_orderkey, ln(CASE WHEN l_suppkey % 3 = 0 THEN 0.05 ELSE 0.95 END) AS a, ln(CASE WHEN l_suppkey % 3 = 0 THEN 0.95 ELSE 0.05 END) AS b, ln(0.5) AS m FROM lineitem), s AS (SELECT l_orderkey, sum(a) + ln(0.99 / 2) AS a, sum(b) + ln(0.99 / 2) AS b, sum(m) + ln(0.01) AS m FROM c GROUP BY 1)
