@@ -17,12 +17,13 @@ most 2,081 balls, so no group grows with the data and no link is lost.
 other by ``SIMILARITY`` or more. Four bits of 64 are far less than such texts differ by, so its fingerprints have
 ``WIDE`` bits. Matches that differ in far fewer bits than two sets of that Jaccard similarity are expected to
 (``bits_apart``; 2.5 standard deviations) are taken, those in far more are not, and those between are checked by their
-shingle sets. The table holds, of up to ``INDEXED`` segments, the value and all values with one more bit set: half of the Hamming ball of
+shingle sets. The table holds, of ``INDEXED`` segments of ``SEGMENT`` bits, the value and all values with one more bit set: half of the Hamming ball of
 radius one. Such halves meet for values that are equal, differ in one bit, or differ in two bits of which either side has
-one. Segments have 24 bits, and four more as often as a fingerprint would meet more than eight others by chance. At 24 bits
-about 2 in 100 pairs of similarity 0.8 share no slot, and next to none of 0.9; at 28 bits 10 and none, at 32 bits 28 and 1
-in 100; texts with more relatives have more ways to be linked. Equal sets are one fingerprint. At a slot every member meets
-the smallest one and the ``BESIDE`` before it (all pairs of a small slot), in a crowd the smallest and the one before, so no
+one. A slot is such a value together with one of ``MINIMA`` smallest shingle hashes of the text (segment k takes the k-th, around), so texts
+that share no shingle never meet, however many there are, and segments needn't deepen with the corpus: what share of similar pairs meet is the same at
+every size (at similarity 0.8 about 98 in 100, of 0.9 next to all). Equal sets are one fingerprint. The rows of a slot are in
+order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the first of the slot, the first with
+its second minimum, and the one before; in slots of up to ``HOT`` the ``BESIDE`` before it. So no
 group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
@@ -50,8 +51,10 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 #: First bit, bits, and the radius of the balls in the table and of those looked up.
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
-SHINGLE, SIMILARITY, WIDE, INDEXED, BESIDE = 5, 0.8, 512, 18, 3
+SHINGLE, SIMILARITY, WIDE, BESIDE = 5, 0.8, 512, 3
+INDEXED, SEGMENT, MINIMA = 16, 20, 8
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
+_ORDERS = random_table(MINIMA, 22)
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -156,6 +159,14 @@ def wide_fingerprint(own: np.ndarray) -> np.ndarray:
     return np.packbits(2 * total > len(own), bitorder="little").view("<i8")
 
 
+def minima(own: np.ndarray) -> np.ndarray:
+    """The smallest shingle hash in each of MINIMA orders; as longs, zeros for no shingles."""
+    least = np.full(MINIMA, ~np.uint64(0) if len(own) else np.uint64(0))
+    for k in range(0, len(own), _PART):
+        least = np.minimum(least, mix(own[None, k : k + _PART] ^ _ORDERS[:, None]).min(axis=1))
+    return least.view("<i8")
+
+
 def bits_apart(similarity: float, deviations: float = 0.0) -> int:
     """The bits in which fingerprints of sets of this Jaccard similarity differ on average, two sets of equal size being arccos(2s / (1 + s)) apart, and so many standard deviations more."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
@@ -163,26 +174,21 @@ def bits_apart(similarity: float, deviations: float = 0.0) -> int:
 
 
 def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """Rows (oid, mark, s, t, f) of all rows of docs: s and t name the shingle set, f is its fingerprint."""
+    """Rows (oid, mark, s, t, f, h) of all rows of docs: s and t name the shingle set, f is its fingerprint, h its minima."""
 
     def each(batches):
         for b in batches:
             sets = [shingles(x.as_py(), words) for x in b.column("text")]
             names = [pa.array(np.array([mix(x * r + np.uint64(1)).sum(dtype=np.uint64) for x in sets], dtype=np.uint64).view(np.int64)) for r in _REMIX[:, 1]]
-            yield pa.RecordBatch.from_arrays([b.column("oid"), b.column("mark"), *names, pa.array([wide_fingerprint(x) for x in sets], pa.list_(pa.int64()))], ["oid", "mark", "s", "t", "f"])
+            yield pa.RecordBatch.from_arrays([b.column("oid"), b.column("mark"), *names, *[pa.array([make(x) for x in sets], pa.list_(pa.int64())) for make in (wide_fingerprint, minima)]], ["oid", "mark", "s", "t", "f", "h"])
 
     rows = docs.select(order_id().alias("oid"), text_mark(F.col("text")).alias("mark"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>")
-
-
-def segment_bits(n: int) -> int:
-    """The bits of a segment for so many fingerprints."""
-    return next((size for size in (24, 28, 32, 36, 40) if min(INDEXED, WIDE // size) * (size // 2 + 1) ** 2 * n <= 8 << size), 44)
+    return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>, h array<long>")
 
 
-def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None) -> DataFrame:
-    """Edges (a, b, bits) between nodes (node, f) whose fingerprints differ in at most ``most`` bits."""
-    size = size or segment_bits(nodes.count())
+def similar(nodes: DataFrame, most: int, hot: int = HOT) -> DataFrame:
+    """Edges (a, b, bits) between nodes (node, f, h) whose fingerprints differ in at most ``most`` bits."""
+    size = SEGMENT
     masks = F.lit([0, *[1 << i for i in range(size)]]).cast("array<bigint>")
 
     def ball(k: int):
@@ -191,16 +197,19 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT, size: int | None = None
         if shift + size > 64:
             own = own.bitwiseOR(F.shiftleft(F.get("f", at + 1), 64 - shift))
         own = own.bitwiseAND(F.lit((1 << size) - 1).cast("long"))
-        slot = F.shiftleft(F.lit(k).cast("long"), 48)
-        return F.transform(F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: slot.bitwiseOR(own).bitwiseOR(m))
+        fine = F.hash(F.get("h", (k + 1) % MINIMA))
+        slot = lambda m: F.xxhash64(F.lit(k), own.bitwiseOR(m), F.get("h", k % MINIMA))
+        return F.transform(F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: F.struct(slot(m).alias("slot"), fine.alias("fine")))
 
-    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(min(INDEXED, WIDE // size))]))).alias("slot"))
-    whole = W.partitionBy("slot").orderBy("node").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(INDEXED)]))).alias("x")).select("node", "x.slot", "x.fine")
+    line = W.partitionBy("slot").orderBy("fine", "node")
+    whole = line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     shared = keys.withColumns({"n": F.count("*").over(whole), "first": F.first("node").over(whole)}).filter("n > 1")
-    line = W.partitionBy("slot").orderBy("node")
+    family = W.partitionBy("slot", "fine").orderBy("node").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     small = F.col("n") <= hot
-    others = F.array("first", *[F.lag("node", k).over(line) if k == 1 else F.when(small, F.lag("node", k).over(line)) for k in range(1, BESIDE + 1)])
-    pairs = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
+    others = F.array("first", F.first("node").over(family), *[F.lag("node", k).over(line) if k == 1 else F.when(small, F.lag("node", k).over(line)) for k in range(1, BESIDE + 1)])
+    met = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("bits")).filter(F.col("bits") <= most)
@@ -224,10 +233,10 @@ def checked(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -
 def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs with the smallest id of their group of similar texts; of repeated rows one."""
     prints = cut_lineage(wide_prints(docs, words))
-    sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"))
-    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f"))
+    sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"), F.first("h").alias("h"))
+    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f", "h"))
     own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
-    found = cut_lineage(similar(nodes.select("node", "f"), bits_apart(similarity, 2.5)))
+    found = cut_lineage(similar(nodes.select("node", "f", "h"), bits_apart(similarity, 2.5)))
     unsure = found.filter(F.col("bits") > bits_apart(similarity, -2.5))
     asked = cut_lineage(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark")))
     few = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked

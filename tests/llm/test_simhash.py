@@ -119,16 +119,63 @@ def test_groups_of_similar_texts(spark):
     assert {i for i in text if not any(i in p for p, j in near.items() if j > 0.5)} <= kept
 
 
-def test_deeper_segments_find_the_same_links(spark):
-    r = np.random.default_rng(5)
-    base = r.integers(-(1 << 62), 1 << 62, (40, 8))
-    flips = lambda n: np.bitwise_xor.reduce([np.where(np.arange(8) == r.integers(8), np.int64(1) << np.int64(r.integers(63)), 0) for _ in range(n)])
-    f = np.concatenate([base, [b ^ flips(20) for b in base]])
-    nodes = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(f)], "node long, f array<long>")
-    want = {(i, i + 40) for i in range(40)}
-    for size in (24, 28, 32, 44):
-        assert {(x.a, x.b) for x in simhash.similar(nodes, 40, size=size).collect()} == want
-    assert simhash.segment_bits(1000) == 24 and simhash.segment_bits(10**6) == 32 and simhash.segment_bits(10**12) == 44
+def nodes_of(spark, texts):
+    sets = [simhash.shingles(t) for t in texts]
+    return spark.createDataFrame([(k, simhash.wide_fingerprint(x).tolist(), simhash.minima(x).tolist()) for k, x in enumerate(sets)], "node long, f array<long>, h array<long>")
+
+
+def edited(r, base, similarity):
+    """base with single words replaced until the similarity of five-word shingles is as low."""
+    copy = list(base)
+    while jaccard(" ".join(base), " ".join(copy)) > similarity:
+        copy[r.randrange(len(copy))] = f"edit{r.random()}"
+    return copy
+
+
+def test_pairs_at_the_limit_meet(spark):
+    """Of pairs of similarity 0.80 to 0.85 nine in ten and more are compared. Nothing here depends on the size of the corpus."""
+    r = random.Random(31)
+    texts = []
+    for k in range(300):
+        base = [f"v{k}_{r.randrange(10**6)}" for _ in range(r.choice([200, 400]))]
+        texts += [" ".join(base), " ".join(edited(r, base, 0.84))]
+    wanted = [(i, i + 1) for i in range(0, 600, 2) if jaccard(texts[i], texts[i + 1]) >= 0.8]
+    found = {(x.a, x.b) for x in simhash.similar(nodes_of(spark, texts), simhash.WIDE).collect()}
+    assert len(wanted) > 250 and sum(p in found for p in wanted) >= 0.93 * len(wanted)
+    assert all(b == a + 1 and a % 2 == 0 for a, b in found)  # texts that share no shingle never meet
+
+
+def test_a_crowd_of_several_families(spark):
+    """Families that share a long passage, and so slots, each come out whole, in small and in crowded slots."""
+    r = random.Random(17)
+    passage = [f"p{k}" for k in range(150)]
+    rows = []
+    for g in range(12):
+        base = [*passage, *[f"g{g}_{k}" for k in range(110)]]
+        for c in range(25):
+            copy = list(base)
+            for _ in range(3 if c else 0):
+                copy[r.randrange(150, len(copy))] = f"edit{r.random()}"
+            rows.append((g * 1000 + c, " ".join(copy)))
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in simhash.one_of_each_group(df).collect()} == {g * 1000 for g in range(12)}
+    texts = [t for _, t in rows]
+    links = simhash.similar(nodes_of(spark, texts), simhash.bits_apart(0.8, 2.5), hot=4).collect()
+    group = list(range(len(rows)))
+    for _ in range(len(rows)):
+        before = list(group)
+        for x in links:
+            group[x.a] = group[x.b] = min(group[x.a], group[x.b])
+        if before == group:
+            break
+    assert len({(i // 1000, root) for (i, _), root in zip(rows, group, strict=True)}) == 12
+
+
+def test_minima_of_copies_and_of_nothing():
+    a, b = (simhash.minima(simhash.shingles(t)) for t in ("one two three four five six", "six five four three two one"))
+    assert (a == simhash.minima(simhash.shingles("ONE two three\nfour five six"))).all() and (a != b).all()
+    assert simhash.minima(simhash.shingles(None)).tolist() == [0] * simhash.MINIMA
 
 
 def test_wide_distance_follows_similarity():
