@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import base, breaks, events, fragments, intervals, layout, matching, models, overlap, phasing, reads, records, scalars, sessions, sinks, statistics, support, targets  # noqa: F401  each registers its queries
+from strandline.plans import base, breaks, events, fragments, intervals, layout, matching, models, overlap, phasing, reads, records, scalars, sessions, sinks, statistics, support, targets, tracks  # noqa: F401  each registers its queries
 
 
 def queries() -> dict:
