@@ -202,7 +202,9 @@ def packed_key(seq: Column) -> Column:
 
 
 def unpacked_key(value: Column, length: int) -> Column:
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.substring(F.lit(BITS), (F.shiftrightunsigned(value, 0) / F.pow(F.lit(4.0), k)).cast("long").bitwiseAND(3).cast("int") + 1, F.lit(1))), "")
+    """The sequence of ``length`` bases, 31 at most, that ``packed_key`` made a number of."""
+    base = lambda k: F.substring(F.lit(BITS), F.shiftrightunsigned(value, 2 * k).bitwiseAND(F.lit(3).cast("long")).cast("int") + 1, F.lit(1))
+    return F.concat(*[base(k) for k in range(length)])
 
 
 def group_of(key: Column) -> Column:

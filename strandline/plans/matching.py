@@ -185,12 +185,12 @@ def best_of_break_clusters(spark, sf):
     return V.best_calls(calls, 1, 40).withColumn("sources", F.array_join("sources", ","))
 
 
-@query(f"""WITH RECURSIVE {ITEMS}, c AS (SELECT id AS name, contig, start, "end" AS e, price AS qual FROM items WHERE flag = 'N'), l AS (SELECT DISTINCT a.name AS a, b.name AS b FROM c a JOIN c b ON a.contig = b.contig AND a.start < b.e AND b.start < a.e AND a.name < b.name
+@query(f"""WITH RECURSIVE {ITEMS}, c AS (SELECT id AS name, contig, start, "end" AS e, price AS qual FROM items), l AS (SELECT DISTINCT a.name AS a, b.name AS b FROM c a JOIN c b ON a.contig = b.contig AND a.start < b.e AND b.start < a.e AND a.name < b.name
 WHERE least(a.e, b.e) - greatest(a.start, b.start) > 0.8 * (a.e - a.start) AND least(a.e, b.e) - greatest(a.start, b.start) > 0.8 * (b.e - b.start)), u AS (SELECT a AS x, b AS y FROM l UNION SELECT b, a FROM l), r AS (SELECT x AS node, x AS root FROM u UNION SELECT u.y, least(r.root, u.y) FROM r JOIN u ON r.node = u.x),
 g AS (SELECT c.*, coalesce(t.root, c.name) AS root FROM c LEFT JOIN (SELECT node, min(root) AS root FROM r GROUP BY node) t ON t.node = c.name)
 SELECT root, name, contig, start, e AS "end", qual FROM g QUALIFY row_number() OVER (PARTITION BY root ORDER BY -qual, start, name) = 1""")
 def overlap_groups(spark, sf):
-    calls = items(spark, sf).filter("flag = 'N'").select(F.col("id").alias("name"), "contig", "start", "end", F.col("price").alias("qual"))
+    calls = items(spark, sf).select(F.col("id").alias("name"), "contig", "start", "end", F.col("price").alias("qual"))
     return V.selected(V.overlap_groups(calls, 0.8, 8), "quality")
 
 

@@ -216,7 +216,7 @@ def quantile_sketches(spark, sf):
     return A.quantiles(table(spark, sf, "lineitem"), ["l_returnflag"], "l_quantity", [0.1, 0.5, 0.9], 10_000)
 
 
-@query("""WITH RECURSIVE i AS (SELECT l_suppkey AS contig, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::BIGINT AS start, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::BIGINT + l_quantity::BIGINT AS e, (l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber AS name, l_extendedprice AS qual, l_linestatus AS kind FROM lineitem WHERE l_returnflag = 'A'),
+@query("""WITH RECURSIVE i AS (SELECT l_suppkey AS contig, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::BIGINT AS start, date_diff('day', DATE '1992-01-01', l_shipdate::DATE)::BIGINT + l_quantity::BIGINT AS e, (l_orderkey * 1000000 + l_partkey) * 10 + l_linenumber AS name, l_extendedprice AS qual, l_linestatus AS kind FROM lineitem),
 o AS (SELECT *, row_number() OVER (PARTITION BY contig ORDER BY start, e, name, qual) AS k FROM i), r AS (
 SELECT contig, k, start AS ls, e AS le, name AS best, qual AS bq, kind = 'F' AS f, kind = 'O' AS p, kind AS bk, 1 AS g FROM o WHERE k = 1 UNION ALL
 SELECT contig, k, CASE WHEN j THEN ls ELSE start END, CASE WHEN NOT j OR qual > bq THEN e ELSE le END, CASE WHEN NOT j OR qual > bq THEN name ELSE best END, CASE WHEN NOT j OR qual > bq THEN qual ELSE bq END, CASE WHEN j THEN f OR kind = 'F' ELSE kind = 'F' END, CASE WHEN j THEN p OR kind = 'O' ELSE kind = 'O' END, CASE WHEN NOT j OR qual > bq THEN kind ELSE bk END, CASE WHEN j THEN g ELSE g + 1 END
@@ -224,7 +224,7 @@ FROM (SELECT o.*, r.ls, r.le, r.best, r.bq, r.f, r.p, r.bk, r.g, least((least(r.
 SELECT contig, arg_max(best, k) AS name, CASE WHEN bool_or(f) AND bool_or(p) THEN 'UNK' ELSE arg_max(bk, k) END AS kind FROM r GROUP BY contig, g""")
 def kept_best_calls(spark, sf):
     day = F.datediff(F.col("l_shipdate"), F.lit("1992-01-01")).cast("long")
-    calls = table(spark, sf, "lineitem").filter("l_returnflag = 'A'").select(_id().alias("name"), F.col("l_suppkey").alias("contig"), day.alias("start"), (day + F.col("l_quantity").cast("long")).alias("end"), F.col("l_extendedprice").alias("qual"), F.col("l_linestatus").alias("kind"))
+    calls = table(spark, sf, "lineitem").select(_id().alias("name"), F.col("l_suppkey").alias("contig"), day.alias("start"), (day + F.col("l_quantity").cast("long")).alias("end"), F.col("l_extendedprice").alias("qual"), F.col("l_linestatus").alias("kind"))
     return V.kept_best(calls, 0.6, 366).select("contig", "name", "kind")
 
 

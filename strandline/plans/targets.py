@@ -62,11 +62,11 @@ def keys_around_breaks(spark, sf):
     return out.withColumns({"log10_empirical": F.round(F.coalesce("log10_empirical", F.lit(0.0)), 5), "log10_binomial": F.round(F.coalesce(bounded, F.lit(0.0)), 5)})
 
 
-@query(f"""WITH {ITEMS}, f AS (SELECT id, contig, start AS s1, "end" AS e1, start + 500 AS s2, "end" + 500 AS e2 FROM items WHERE flag = 'R'), t AS (SELECT DISTINCT s_suppkey AS contig, x * 90 AS s FROM supplier, range(0, 40) r(x))
+@query(f"""WITH {ITEMS}, f AS (SELECT id, contig, start AS s1, "end" AS e1, start + 500 AS s2, "end" + 500 AS e2 FROM items), t AS (SELECT DISTINCT s_suppkey AS contig, x * 90 AS s FROM supplier, range(0, 40) r(x))
 SELECT a.s AS left_target, b.s AS right_target, count(*) AS n FROM f JOIN t a ON f.contig = a.contig AND s1 < a.s + 90 AND a.s < e1 JOIN t b ON f.contig = b.contig AND s2 < b.s + 90 AND b.s < e2 GROUP BY ALL""")
 def target_pairs(spark, sf):
-    own = items(spark, sf).filter("flag = 'R'")
-    linked = own.select("id", F.col("contig").alias("contig1"), F.col("start").alias("start1"), F.col("end").alias("end1"), F.col("contig").alias("contig2"), (F.col("start") + 500).alias("start2"), (F.col("end") + 500).alias("end2"))
+    own = items(spark, sf)
+    linked = own.select(F.struct("id", "contig", "start", "end", "price").alias("id"), F.col("contig").alias("contig1"), F.col("start").alias("start1"), F.col("end").alias("end1"), F.col("contig").alias("contig2"), (F.col("start") + 500).alias("start2"), (F.col("end") + 500).alias("end2"))
     tiles = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("contig"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(39 * 90).cast("long"), F.lit(90).cast("long"))).alias("target"))
     return T.target_pairs(linked, tiles.withColumns({"start_r": F.col("target"), "end_r": F.col("target") + 90}), ["id"], 64)
 
