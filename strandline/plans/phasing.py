@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strandline.operators import chromosomes as C
 from strandline.operators import fuzzy as Z
 from strandline.operators import phasing as P
 from strandline.plans.base import code, code_sql, items, query, table
@@ -18,6 +19,15 @@ def phased_chunks(spark, sf):
     return P.phase(own, ["contig", "chunk"], beam=16)
 
 
+@query()
+def phased_variants(spark, sf):
+    """Days are variants of four chromosomes, a supplier's items of two months a key, with some noise."""
+    start, key = F.col("start"), F.col("contig") * 100 + F.floor(F.col("start") / 60)
+    side = F.when((key + (start % 3 == 0).cast("int")) % 2 == 0, 2.0).otherwise(-2.0) * F.when(F.col("id") % 9 == 0, -0.5).otherwise(1.0)
+    own = items(spark, sf).select((F.col("contig") % 4).alias("chromosome"), start.alias("variant"), key.alias("key"), side.alias("odds"))
+    return C.phased(own, ["chromosome"], tile=366)
+
+
 @query("""WITH v AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS variant, l_partkey // 50 AS c FROM lineitem), d AS (SELECT k, variant, c AS chunk, (variant + c * (k % 2)) % 2 AS hap FROM v UNION ALL SELECT k, variant, c - 1, CASE WHEN k % 5 = 0 AND variant % 3 = 0 THEN 1 - (variant + (c - 1) * (k % 2)) % 2 ELSE (variant + (c - 1) * (k % 2)) % 2 END FROM v WHERE variant % 50 < 20 AND c > 0),
 j AS (SELECT a.k, a.chunk + 1 AS chunk, avg(CASE WHEN a.hap = b.hap THEN 1.0 ELSE 0.0 END) AS same FROM d a JOIN d b ON a.k = b.k AND a.variant = b.variant AND b.chunk = a.chunk + 1 GROUP BY ALL),
 c AS (SELECT k, chunk, same, coalesce(same >= 0.95 OR same <= 1 - 0.95, false) AS sure FROM (SELECT DISTINCT k, chunk FROM d) LEFT JOIN j USING (k, chunk)),
