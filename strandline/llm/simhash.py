@@ -22,9 +22,8 @@ radius one. Such halves meet for values that are equal, differ in one bit, or di
 one. A slot is such a value together with one of ``MINIMA`` smallest shingle hashes of the text (segment k takes the k-th, around), so texts
 that share no shingle never meet, however many there are, and segments needn't deepen with the corpus: what share of similar pairs meet is the same at
 every size (at similarity 0.8 about 98 in 100, of 0.9 next to all). Equal sets are one fingerprint. The rows of a slot are in
-order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the first of the slot, the first with
-its second minimum, and the one before; in slots of up to ``HOT`` the ``BESIDE`` before it. So no
-group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
+order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the smallest of the slot and the smallest of its family; in families of up to ``HOT`` also
+the one before it, in slots of up to ``HOT`` the ``BESIDE`` before it. So no group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -203,11 +202,11 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT) -> DataFrame:
 
     keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(INDEXED)]))).alias("x")).select("node", "x.slot", "x.fine")
     line = W.partitionBy("slot").orderBy("fine", "node")
-    whole = line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    shared = keys.withColumns({"n": F.count("*").over(whole), "first": F.first("node").over(whole)}).filter("n > 1")
-    family = W.partitionBy("slot", "fine").orderBy("node").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    small = F.col("n") <= hot
-    others = F.array("first", F.first("node").over(family), *[F.lag("node", k).over(line) if k == 1 else F.when(small, F.lag("node", k).over(line)) for k in range(1, BESIDE + 1)])
+    slot, family = W.partitionBy("slot"), W.partitionBy("slot", "fine")
+    shared = keys.withColumns({"n": F.count("*").over(slot), "least": F.min("node").over(slot)}).filter("n > 1")
+    shared = shared.withColumns({"own": F.count("*").over(family), "first": F.min("node").over(family)})
+    near = lambda k: F.when((F.col("n") <= hot) | (F.lit(k == 1) & (F.col("own") <= hot)), F.lag("node", k).over(line))
+    others = F.array("least", "first", *[near(k) for k in range(1, BESIDE + 1)])
     met = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
