@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.lineage import cut_lineage
-from strandline.operators.intervals import point_join
+from strandline.operators.intervals import overlap_join
 from strandline.operators.ordered import across
 
 #: Gains below this are rounding.
@@ -58,6 +58,7 @@ def phased(evidence: DataFrame, by: list[str], least: float = 2.0, tile: int = 1
     own = cut_lineage(rows.join(places, [*by, "variant"]).select(*by, "place", "key", "odds"))
     spans = own.groupBy(*by, "key").agg((F.min("place") + 1).alias("start_r"), (F.max("place") + 1).alias("end_r")).filter("start_r < end_r")
     spans = cut_lineage(spans)
+    longest = spans.agg(F.max(F.col("end_r") - F.col("start_r"))).first()[0] or 1
     before = across(own, [*by, "key"], ["place"], {"was": ("lag", F.col("place")), "had": ("lag", F.col("odds"))}, tile)
     pull = _value(F.col("odds") + F.col("had")) - _value(F.col("odds") - F.col("had"))
     links = before.filter("was = place - 1").groupBy(*by, "place").agg(F.sum(pull).alias("pull"))
@@ -67,12 +68,12 @@ def phased(evidence: DataFrame, by: list[str], least: float = 2.0, tile: int = 1
         signed = _signed(own, phases, by, tile)
         gains = _gains(signed, places, by, tile)
         moves = gains.select(*by, "place", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("one").alias("gain")), F.struct(F.lit(1).alias("kind"), F.col("tail").alias("gain")))).alias("m")).select(*by, "place", "m.kind", F.round("m.gain", 9).alias("gain"))
-        moves = cut_lineage(moves.filter(F.col("gain") > LEAST_GAIN))
+        moves = moves.filter(F.col("gain") > LEAST_GAIN)
         if moves.isEmpty():
             break
         ones = moves.filter("kind = 0").join(own.select(*by, "place", "key"), [*by, "place"])
-        tails = point_join(moves.filter("kind = 1").withColumn("pos", F.col("place")), spans, by).select(*ones.columns)
-        touched = cut_lineage(ones.unionAll(tails))
+        tails = overlap_join(moves.filter("kind = 1").withColumns({"start": F.col("place"), "end": F.col("place") + 1}), spans, by, 64, longest=longest).select(*ones.columns)
+        touched = ones.unionAll(tails)
         best = touched.groupBy(*by, "key").agg(F.max_by(F.struct("place", "kind"), F.struct("gain", -F.col("place"), -F.col("kind"))).alias("best"))
         held = touched.join(best, [*by, "key"]).groupBy(*by, "place", "kind").agg(F.min((F.col("best.place") == F.col("place")) & (F.col("best.kind") == F.col("kind"))).alias("all")).filter("all")
         flips = held.groupBy(*by, "place").agg(F.count(F.when(F.col("kind") == 0, 1)).alias("alone"), F.count(F.when(F.col("kind") == 1, 1)).alias("behind"))

@@ -7,6 +7,8 @@ tasks as it has tiles, and only the summaries of a group meet in one place.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,12 +18,9 @@ TILE = 1 << 20
 
 
 def tile_of(df: DataFrame, by: list[str], pos: str, tile: int) -> Column:
-    """The tile of a row by a number or a time in seconds. Null for a null group key, whose rows form one tile."""
+    """The tile of a row by a number or a time in seconds; rows of a null group key have tiles like others."""
     at = F.unix_seconds(F.col(pos).cast("timestamp")) if isinstance(df.schema[pos].dataType, TimestampType | TimestampNTZType) else F.col(pos)
-    number = F.floor(at / tile).cast("long")
-    for key in by:
-        number = F.when(F.col(key).isNotNull(), number)
-    return number
+    return F.floor(at / tile).cast("long")
 
 
 def across(df: DataFrame, by: list[str], order: list[str], values: dict[str, tuple[str, Column]], tile: int = TILE) -> DataFrame:
@@ -65,7 +64,10 @@ def across(df: DataFrame, by: list[str], order: list[str], values: dict[str, tup
         summary.append(total.alias(s))
     tiled = df.withColumn("__tile", tile_of(df, by, order[0], tile))
     carried = tiled.groupBy(*by, "__tile").agg(*summary).withColumns(carry)
-    joined = tiled.withColumns(own).join(carried, [*by, "__tile"], "left")
+    keys = [*by, "__tile"]
+    carried = carried.select(*[F.col(c).alias(f"__key{k}") for k, c in enumerate(keys)], *carry)
+    met = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__key{k}")) for k, c in enumerate(keys)])
+    joined = tiled.withColumns(own).join(carried, met).drop(*[f"__key{k}" for k in range(len(keys))])
     return joined.withColumns(out).drop("__tile", *own, *carry).select(*df.columns, *[n for n in out if n not in df.columns])
 
 

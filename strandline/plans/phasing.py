@@ -21,10 +21,10 @@ def phased_chunks(spark, sf):
 
 @query()
 def phased_variants(spark, sf):
-    """Days are variants of four chromosomes, a supplier's items of two months a key, with some noise."""
-    start, key = F.col("start"), F.col("contig") * 100 + F.floor(F.col("start") / 60)
-    side = F.when((key + (start % 3 == 0).cast("int")) % 2 == 0, 2.0).otherwise(-2.0) * F.when(F.col("id") % 9 == 0, -0.5).otherwise(1.0)
-    own = items(spark, sf).select((F.col("contig") % 4).alias("chromosome"), start.alias("variant"), key.alias("key"), side.alias("odds"))
+    """Stretches of four days are variants of four chromosomes, a supplier's items of two months a key, with some noise."""
+    variant, key = F.floor(F.col("start") / 4), F.col("contig") * 100 + F.floor(F.col("start") / 60)
+    side = F.when((key + (variant % 3 == 0).cast("int")) % 2 == 0, 2.0).otherwise(-2.0) * F.when(F.col("id") % 9 == 0, -0.5).otherwise(1.0)
+    own = items(spark, sf).select((F.col("contig") % 4).alias("chromosome"), variant.alias("variant"), key.alias("key"), side.alias("odds"))
     return C.phased(own, ["chromosome"], tile=366)
 
 
