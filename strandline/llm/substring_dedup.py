@@ -1,8 +1,8 @@
-"""Substring dedup by Rabin-Karp hashes of every window of ``length`` words.
+"""Substring dedup: Rabin-Karp hashes of windows of ``length`` words, compared in runs.
 
-Every window gets a Rabin-Karp hash (two, where it is compared), counts are taken in Spark, and
-windows that also start earlier merge into maximal removal intervals. Windows whose smallest
-``q``-word hash occurs once in the corpus can't repeat and are not shuffled (see ``windows``).
+Not a count of every window, which would shuffle several times the input (README): windows are named by their smallest ``q``-word hash,
+neighbouring windows of one name are one row with the Rabin-Karp hashes of the first and the last of them, and Spark sorts and compares
+these rows; only where a name has different runs are its windows listed one by one, by two hashes each (see ``windows``). Windows that also start earlier merge into maximal removal intervals.
 
 Nulls and texts without words: nothing is removed, kept text is empty. Repeated rows (same id, same
 text) are one document and get the same result each. Rows of equal id but different text are ordered

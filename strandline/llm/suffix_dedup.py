@@ -1,11 +1,8 @@
-"""Suffix-array dedup of byte strings by bucket-pointer refinement.
-
-Suffixes start in buckets of their first byte. A bucket is refined by the bucket identifiers of
-later offsets: the bucket of the first 2k bytes at i comes from the buckets of k bytes at i and at
-i + k, and the new identifiers are used for the next refinement at once, so six rounds reach 64 bytes
-and an overlapping pair reaches ``length``. Identifiers are derived from the pairs themselves and
-so mean the same in every task; the sorting is Spark's, by identifier, first of the ``q``-byte
-buckets and then of the full strings. Suffixes alone in their bucket leave before the next sort.
+"""Removal of repeated byte strings by refined bucket identifiers.
+
+Not a sort of every suffix, which would shuffle many times the input (README). As in bucket-pointer refinement, the identifier of the first 2k bytes at a place comes from those of k
+bytes at it and k bytes further on, so that six rounds reach 64 bytes and an overlapping pair reaches ``length``; but identifiers are hashes of the pairs, the same in every task, and not ranks in a sorted order. Places are
+named by their smallest ``q``-byte bucket, runs of one name are compared by Spark's sort, and only names with different runs are refined (see ``windows``).
 
 Nulls and empty texts: nothing is removed. Repeated rows (same id, same text) are one document and
 get the same result each. Rows of equal id but different text are ordered by a hash of the text.
