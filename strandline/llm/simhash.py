@@ -22,8 +22,8 @@ radius one. Such halves meet for values that are equal, differ in one bit, or di
 one. A slot is such a value together with one of ``MINIMA`` smallest shingle hashes of the text (segment k takes the k-th, around), so texts
 that share no shingle never meet, however many there are, and segments needn't deepen with the corpus: what share of similar pairs meet is the same at
 every size (at similarity 0.8 about 98 in 100, of 0.9 next to all). Equal sets are one fingerprint. The rows of a slot are in
-order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the smallest of the slot and the smallest of its family; in families of up to ``HOT`` also
-the one before it, in slots of up to ``HOT`` the ``BESIDE`` before it. So no group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
+order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the smallest of the slot, the smallest of its family and the one before it. In slots of over ``CROWD``, where members have
+many slots in common, those whose own value it is meet the two smallest. So no group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -50,8 +50,8 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 #: First bit, bits, and the radius of the balls in the table and of those looked up.
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
-SHINGLE, SIMILARITY, WIDE, BESIDE = 5, 0.8, 512, 3
-INDEXED, SEGMENT, MINIMA = 16, 20, 8
+SHINGLE, SIMILARITY, WIDE = 5, 0.8, 512
+INDEXED, SEGMENT, MINIMA, CROWD = 16, 20, 8, 16
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 _ORDERS = random_table(MINIMA, 22)
 
@@ -185,7 +185,7 @@ def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>, h array<long>")
 
 
-def similar(nodes: DataFrame, most: int, hot: int = HOT) -> DataFrame:
+def similar(nodes: DataFrame, most: int, hot: int = CROWD) -> DataFrame:
     """Edges (a, b, bits) between nodes (node, f, h) whose fingerprints differ in at most ``most`` bits."""
     size = SEGMENT
     masks = F.lit([0, *[1 << i for i in range(size)]]).cast("array<bigint>")
@@ -198,16 +198,18 @@ def similar(nodes: DataFrame, most: int, hot: int = HOT) -> DataFrame:
         own = own.bitwiseAND(F.lit((1 << size) - 1).cast("long"))
         fine = F.hash(F.get("h", (k + 1) % MINIMA))
         slot = lambda m: F.xxhash64(F.lit(k), own.bitwiseOR(m), F.get("h", k % MINIMA))
-        return F.transform(F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: F.struct(slot(m).alias("slot"), fine.alias("fine")))
-
-    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(INDEXED)]))).alias("x")).select("node", "x.slot", "x.fine")
-    line = W.partitionBy("slot").orderBy("fine", "node")
-    slot, family = W.partitionBy("slot"), W.partitionBy("slot", "fine")
-    shared = keys.withColumns({"n": F.count("*").over(slot), "least": F.min("node").over(slot)}).filter("n > 1")
-    shared = shared.withColumns({"own": F.count("*").over(family), "first": F.min("node").over(family)})
-    near = lambda k: F.when((F.col("n") <= hot) | (F.lit(k == 1) & (F.col("own") <= hot)), F.lag("node", k).over(line))
-    others = F.array("least", "first", *[near(k) for k in range(1, BESIDE + 1)])
-    met = shared.withColumn("others", others).select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
+        return F.transform(F.filter(masks, lambda m: own.bitwiseAND(m) == 0), lambda m: F.struct(slot(m).alias("slot"), fine.alias("fine"), (m == 0).alias("own")))
+
+    keys = nodes.select("node", F.explode(F.flatten(F.array(*[ball(k) for k in range(INDEXED)]))).alias("x"))
+    keys = keys.select((F.col("node") * 2 + F.when(F.col("x.own"), 0).otherwise(1)).alias("key"), "x.slot", "x.fine")  # the last bit: whether the slot is the text's own, not a neighbour's
+    keys = keys.repartition("slot").sortWithinPartitions("slot", "fine", "key")  # one sort for all windows
+    line, slot, family = W.partitionBy("slot").orderBy("fine", "key"), W.partitionBy("slot"), W.partitionBy("slot", "fine")
+    shared = keys.withColumns({"n": F.count("*").over(slot), "least": F.min("key").over(slot)}).filter("n > 1")
+    shared = shared.withColumn("first", F.min("key").over(family)).withColumn("last", F.lag("key").over(line))
+    small = F.col("n") <= hot
+    asked = F.when(small | (F.col("key") % 2 == 0), F.array("least", "first", F.when(small, F.col("last"))))
+    met = shared.withColumn("others", asked).select(F.explode("others").alias("a"), F.col("key").alias("b"))
+    met = met.select(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b")).filter("a <> b")
     pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
