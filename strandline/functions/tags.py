@@ -29,7 +29,7 @@ def parsed(info: Column) -> Column:
 
 def text_of(entries: Column) -> Column:
     """The text of a map, by key; an empty value becomes a dot, no entries too."""
-    rows = F.array_sort(F.map_entries(entries))
+    rows = F.sort_array(F.map_entries(entries))
     joined = F.array_join(F.transform(rows, lambda e: F.concat(e["key"], F.lit("="), F.when(e["value"] == "", ".").otherwise(e["value"]))), ";")
     return F.when(joined == "", ".").otherwise(joined)
 
@@ -49,14 +49,14 @@ def value(info: Column, key: str, kind: str = "string", default=None) -> Column:
 
 
 def filters(text: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce(text, F.lit("")), ";"), lambda x: (x != "") & (x != "."))))
+    return F.sort_array(F.array_distinct(F.filter(F.split(F.coalesce(text, F.lit("")), ";"), lambda x: (x != "") & (x != "."))))
 
 
 def with_filter(text: Column, name: str, number: Column, low: float = float("-inf"), high: float = float("inf")) -> Column:
     """The filter list with ``name`` where the number is null or outside [low, high], without it elsewhere."""
     bad = number.isNull() | (number < low) | (number > high)
     own = F.filter(filters(text), lambda x: x != name)
-    out = F.array_join(F.array_sort(F.when(bad, F.array_union(own, F.array(F.lit(name)))).otherwise(own)), ";")
+    out = F.array_join(F.sort_array(F.when(bad, F.array_union(own, F.array(F.lit(name)))).otherwise(own)), ";")
     return F.when(out == "", ".").otherwise(out)
 
 

@@ -23,6 +23,7 @@ def phase_block_rows(variants: DataFrame, by: list[str], least: int = 2, tile: i
     own = variants.filter("phased and first <> second").select(*by, "pos", F.nullif("ps", F.lit(0)).alias("ps"), "first", "second")
     order = ["pos", "ps", "first", "second"]
     seen = across(own, by, order, {"__set": ("last", F.col("ps")), "__n": ("sum", F.lit(1))}, tile)
+    order = [*order, "__n"]  # rows that tie keep this order from here on
     before = across(seen, by, order, {"__was": ("lag", F.col("__set"))}, tile)
     new = (F.col("__n") == 1) | (F.col("ps").isNotNull() & ~F.col("ps").eqNullSafe(F.col("__was")))
     blocks = numbered(before, by, order, new, "block", tile)
@@ -54,7 +55,8 @@ def track_rows(intervals: DataFrame, by: list[str], ties: list[str], rows: int =
         number[sum(r * rows**j for j, r in enumerate(s))] = i
     order = ["start", "end", *ties]
     known = intervals.filter("start is not null and end is not null")
-    reach = across(known, by, order, {"__reach": ("reach", F.greatest("start", "end"))}, tile)
+    reach = across(known, by, order, {"__reach": ("reach", F.greatest("start", "end")), "__n": ("sum", F.lit(1))}, tile)
+    order = [*order, "__n"]  # rows that tie keep this order from here on
     cut = numbered(reach, by, order, F.col("__reach").isNull() | (F.col("start") > F.col("__reach")), "__stretch", tile).withColumnRenamed("__stretch", "__tile").drop("__reach")
     dealt = _dealt(cut, [*by, "__tile"], order)
 

@@ -12,6 +12,7 @@ from strandline.operators import tracks as T
 def test_phase_blocks(spark, tile):
     r = random.Random(tile)
     rows = [(g, i // 2, r.choice([0, 0, 5, 6, None]), r.random() < 0.5, r.random() < 0.5, r.random() < 0.9) for g in ("a", None) for i in range(80)]
+    rows += [x for x in rows for _ in range(2)]  # rows that tie
     want = []
     for g in ("a", None):
         own = sorted([(p, s or 0, a, b) for x, p, s, a, b, f in rows if x == g and f and a != b])
