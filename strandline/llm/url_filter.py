@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from strandline.llm.common import let, table
 
 MOST_LABELLED, SMOOTH, SEED = 20_000, 20, 5
-RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
+RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = ("length", "host_length", "path_length", "depth", "labels", "digit_ratio", "other_ratio", "entropy", "parameters", "fragment", "longest_label", "suffix_rate", "suffix_seen", "top_rate")
 
