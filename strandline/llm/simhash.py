@@ -22,8 +22,10 @@ radius one. Such halves meet for values that are equal, differ in one bit, or di
 one. A slot is such a value together with one of ``MINIMA`` smallest shingle hashes of the text (segment k takes the k-th, around), so texts
 that share no shingle never meet, however many there are, and segments needn't deepen with the corpus: what share of similar pairs meet is the same at
 every size (at similarity 0.8 about 98 in 100, of 0.9 next to all). Equal sets are one fingerprint. The rows of a slot are in
-order of a second minimum, so that the texts of one family are neighbours where several families share it. Every member meets the smallest of the slot, the smallest of its family and the one before it. In slots of over ``CROWD``, where members have
-many slots in common, those whose own value it is meet the two smallest. So no group emits all its pairs; a pair of close texts has many slots to meet at, and links join through others.
+order of a second minimum, so that the texts of one family are neighbours where several families share it. First every member meets the smallest of the slot, the smallest of its family and the one before it; in slots of over ``CROWD``
+those whose own value it is meet the two smallest. That finds most groups without listing pairs. Slots whose members are all of one group then have no link to add.
+The members of all others are joined by their shingle sets, exactly (``joined``, by prefixes in order of frequency): so any two texts
+that share a slot and resemble each other come into one group, however crowded the slot.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -51,7 +53,7 @@ WORDS, BITS, SEED, HOT = 4, 4, 42, 64
 SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1), (32, 32, 1, 1))
 _PART = 1 << 15
 SHINGLE, SIMILARITY, WIDE = 5, 0.8, 512
-INDEXED, SEGMENT, MINIMA, CROWD = 16, 20, 8, 16
+INDEXED, SEGMENT, MINIMA, CROWD, TILE = 16, 20, 8, 16, 1024
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 _ORDERS = random_table(MINIMA, 22)
 
@@ -185,8 +187,8 @@ def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>, h array<long>")
 
 
-def similar(nodes: DataFrame, most: int, hot: int = CROWD) -> DataFrame:
-    """Edges (a, b, bits) between nodes (node, f, h) whose fingerprints differ in at most ``most`` bits."""
+def met(nodes: DataFrame, hot: int = CROWD) -> DataFrame:
+    """Rows (slot, node, others) of the slots that several nodes (node, f, h) share: others are those of the slot that the node is compared with first."""
     size = SEGMENT
     masks = F.lit([0, *[1 << i for i in range(size)]]).cast("array<bigint>")
 
@@ -208,42 +210,97 @@ def similar(nodes: DataFrame, most: int, hot: int = CROWD) -> DataFrame:
     shared = shared.withColumn("first", F.min("key").over(family)).withColumn("last", F.lag("key").over(line))
     small = F.col("n") <= hot
     asked = F.when(small | (F.col("key") % 2 == 0), F.array("least", "first", F.when(small, F.col("last"))))
-    met = shared.withColumn("others", asked).select(F.explode("others").alias("a"), F.col("key").alias("b"))
-    met = met.select(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b")).filter("a <> b")
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return shared.select("slot", F.shiftright("key", 1).alias("node"), F.transform(asked, lambda k: F.shiftright(k, 1)).alias("others"))
+
+
+def starred(shared: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """Edges (a, b, bits) between nodes and those that they are compared with first, if the fingerprints differ in at most ``most`` bits; from the rows of ``met``."""
+    pairs = shared.select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
     apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("bits")).filter(F.col("bits") <= most)
 
 
-def checked(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of which the shingle sets of the texts (node, text) are similar: counted over the sets themselves, by 32 bits of each shingle's hash."""
+def similar(nodes: DataFrame, most: int, hot: int = CROWD) -> DataFrame:
+    """Edges (a, b, bits) between nodes (node, f, h) whose fingerprints differ in at most ``most`` bits, of those that are compared first."""
+    return starred(met(nodes, hot), nodes, most)
+
+
+def mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (node, root) of the nodes in slots whose members are of several groups so far; from the rows of ``met`` and (node, root)."""
+    own = shared.select("slot", "node").join(roots, "node", "left").select("slot", "node", F.coalesce("root", "node").alias("root"))
+    slot = W.partitionBy("slot")
+    return own.withColumns({"least": F.min("root").over(slot), "most": F.max("root").over(slot)}).filter("least <> most").select("node", "root").distinct()
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """The rows of texts (node, text, ...) with own in place of the text: 32 bits of the hash of each shingle."""
 
     def each(batches):
         for b in batches:
             sets = [np.unique(shingles(x.as_py(), words).astype(np.uint32)).view(np.int32) for x in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "own"])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in rest], pa.array(sets, pa.list_(pa.int32()))], [*rest, "own"])
+
+    rest = [k for k in texts.columns if k != "text"]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*rest).schema.fields)
+    return texts.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(each, f"{types}, own array<int>")
 
-    sets = texts.select("node", F.col("text").cast("string").alias("text")).mapInArrow(each, "node long, own array<int>")
+
+def checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets (node, own) are similar."""
     side = lambda name: sets.select(F.col("node").alias(name), F.col("own").alias(f"own_{name}"))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("own_a", "own_b"))
     return both.filter(shared >= similarity * (F.size("own_a") + F.size("own_b") - shared)).select("a", "b")
 
 
+def joined(sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different groups whose sets are similar, exactly; from rows (node, root, own).
+
+    By prefixes: in order of the number of sets that hold an element, the first element that two similar sets share stands among the
+    first of either, and in the smaller set still earlier; what follows it must be enough for the overlap. Members of one group don't meet.
+    """
+    each = sets.select("node", "root", F.size("own").alias("n"), F.explode("own").alias("x"))
+    line = each.join(each.groupBy("x").agg(F.count("*").alias("often")), "x").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x"))).alias("line"))
+    first = lambda share: (F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1).cast("int")
+    least = 2 * similarity / (1 + similarity)
+    rows = line.select("node", "root", "n", first(least).alias("early"), F.posexplode(F.slice("line.x", 1, first(similarity))).alias("at", "x"))
+    rows = cut_lineage(rows.groupBy("x", "root").agg(*[F.collect_list(F.when(when, F.struct("n", "node", "at"))).alias(k) for k, when in (("held", F.col("at") < F.col("early")), ("asked", F.lit(True)))]))
+    element = W.partitionBy("x")
+    rows = rows.withColumns({"lo": F.min("root").over(element), "hi": F.max("root").over(element)}).filter("lo <> hi")
+    enough = lambda a, b: F.least(a.n - a["at"], b.n - b["at"]) >= (a.n + b.n) * (least / 2) - 1e-6
+    fits = lambda a: lambda b: (F.struct(a.n, a.node) < F.struct(b.n, b.node)) & (a.n >= b.n * similarity - 1e-6) & enough(a, b)
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("root"), F.ceil(F.count("*").over(element) / TILE)))
+    tiles = rows.groupBy("x", "tile").agg(F.collect_list(F.struct("root", "asked")).alias("groups"))  # so many rows meet as there are groups and tiles, not pairs
+    others = F.flatten(F.transform(F.filter("groups", lambda g: g.root != F.col("root")), lambda g: g.asked))
+    met_ = rows.filter(F.size("held") > 0).select("x", "root", "held").join(tiles, "x").select("held", others.alias("asked"))
+    pairs = met_.select(F.explode("held").alias("a"), "asked").select("a", F.explode(F.filter("asked", fits(F.col("a")))).alias("b"))
+    pairs = pairs.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    return checked(pairs, sets, similarity)
+
+
 def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs with the smallest id of their group of similar texts; of repeated rows one."""
     prints = cut_lineage(wide_prints(docs, words))
     sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"), F.first("h").alias("h"))
     nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f", "h"))
     own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
-    found = cut_lineage(similar(nodes.select("node", "f", "h"), bits_apart(similarity, 2.5)))
-    unsure = found.filter(F.col("bits") > bits_apart(similarity, -2.5))
-    asked = cut_lineage(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark")))
-    few = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
-    texts = own.select("__oid", "__mark", "text").join(few, ["__oid", "__mark"]).dropDuplicates(["node"])
-    sure = found.filter(F.col("bits") <= bits_apart(similarity, -2.5)).select("a", "b")
-    roots = components(sure.unionAll(checked(unsure, texts, words, similarity)))
+    most, least = bits_apart(similarity, 2.5), bits_apart(similarity, -2.5)
+
+    def sets_of(few: DataFrame) -> DataFrame:
+        few = cut_lineage(few.join(nodes.select("node", F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark")), "node"))
+        few = F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
+        return shingle_sets(own.join(few, ["__oid", "__mark"]).dropDuplicates(["node"]).select(*[k for k in few.columns if k[:2] != "__"], "text"), words)
+
+    shared = cut_lineage(met(nodes))
+    found = cut_lineage(starred(shared, nodes, most))
+    unsure = found.filter(F.col("bits") > least)
+    taken = found.filter(F.col("bits") <= least).select("a", "b").unionAll(checked(unsure, sets_of(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()), similarity))
+    roots = components(taken)
+    more = cut_lineage(joined(cut_lineage(sets_of(mixed(shared, roots))), similarity))
+    if not more.isEmpty():
+        roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     grouped_ = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best"))
     best = grouped_.select(F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark"))
     return own.join(best, ["__oid", "__mark"], "left_semi").dropDuplicates(["__oid", "__mark"]).select(*docs.columns)

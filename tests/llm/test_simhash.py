@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 
@@ -172,6 +173,59 @@ def test_a_crowd_of_several_families(spark):
     assert len({(i // 1000, root) for (i, _), root in zip(rows, group, strict=True)}) == 12
 
 
+def resembling(sets, limit=0.8):
+    """The smallest key that links of similar sets reach from each."""
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, j in combinations(sorted(sets), 2):
+        both = len(sets[i] & sets[j])
+        if both >= limit * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((root(i), root(j)))
+            group[b] = a
+    return {i: root(i) for i in sets}
+
+
+def test_a_crowd_loses_no_pair(spark):
+    """Texts that share most of a passage crowd the same slots; those of them that resemble each other by 0.8 are found among all."""
+    r = random.Random(41)
+    passage = [f"p{k}" for k in range(200)]
+    rows = []
+    for g in range(100):
+        own = [f"g{g}_{k}" for k in range(34)]
+        rows.append((len(rows), " ".join(passage + own)))
+        for k in (3, 12, 20, 28):
+            own[k + r.randrange(3)] = f"edit{g}_{k}"
+        rows.append((len(rows), " ".join(passage + own)))
+    want = resembling({i: set(simhash.shingles(t).tolist()) for i, t in rows})
+    assert len(set(want.values())) == 100
+    kept = {x.doc_id for x in simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(want.values())
+
+
+def test_joined_sets_against_all_pairs(spark):
+    r = random.Random(43)
+    sets = {0: set(), 1: {7}, 2: {7, 8}}
+    for g in range(25):
+        base = r.sample(range(400), r.choice([4, 5, 9, 40, 120]))
+        for _ in range(r.randint(1, 5)):
+            own = set(base)
+            for _ in range(r.randint(0, len(base) // 6)):
+                own.discard(r.choice(base))
+                own |= {r.randrange(400)} if r.random() < 0.5 else set()
+            sets[len(sets)] = own
+    root = {i: 1000 + i % 17 if i % 3 else i for i in sets}
+    rows = [(i, root[i], sorted(x)) for i, x in sets.items()]
+    for limit in (0.8, 0.6):
+        want = {(i, j) for i, j in combinations(sets, 2) if root[i] != root[j] and sets[i] and len(sets[i] & sets[j]) >= limit * len(sets[i] | sets[j])}
+        found = simhash.joined(spark.createDataFrame(rows, "node long, root long, own array<int>"), limit).collect()
+        assert len(want) > 20 and sorted((x.a, x.b) for x in found) == sorted(want)
+
+
 def test_minima_of_copies_and_of_nothing():
     a, b = (simhash.minima(simhash.shingles(t)) for t in ("one two three four five six", "six five four three two one"))
     assert (a == simhash.minima(simhash.shingles("ONE two three\nfour five six"))).all() and (a != b).all()
