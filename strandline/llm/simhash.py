@@ -23,9 +23,11 @@ one. A slot is such a value together with one of ``MINIMA`` smallest shingle has
 that share no shingle never meet, however many there are, and segments needn't deepen with the corpus: what share of similar pairs meet is the same at
 every size (at similarity 0.8 about 98 in 100, of 0.9 next to all). Equal sets are one fingerprint. The rows of a slot are in
 order of a second minimum, so that the texts of one family are neighbours where several families share it. First every member meets the smallest of the slot, the smallest of its family and the one before it; in slots of over ``CROWD``
-those whose own value it is meet the two smallest. That finds most groups without listing pairs. Slots whose members are all of one group then have no link to add.
+those whose own value it is meet the two smallest: the smallest of the slot first, and the others only where they are of another group by then. That finds most groups without listing pairs. Slots whose members are all of one group then have no link to add.
 The members of all others are joined by their shingle sets, exactly (``joined``, by prefixes in order of frequency): so any two texts
-that share a slot and resemble each other come into one group, however crowded the slot.
+that share a slot and resemble each other come into one group, however crowded the slot. Before sets are compared, pairs are dropped for which
+parities of their elements by hash (``parity``) prove that the sets differ by too much: of a family of edited copies, whose members all share rare elements,
+few but the similar pairs are left.
 
 Null and blank texts have fingerprint zero and link like any other. Null ids order last. Repeated rows
 get the same result each. Other columns are ignored.
@@ -54,6 +56,7 @@ SHALLOW, DEEP = ((0, 22, 0, 0), (22, 21, 0, 1), (43, 21, 0, 1)), ((0, 32, 1, 1),
 _PART = 1 << 15
 SHINGLE, SIMILARITY, WIDE = 5, 0.8, 512
 INDEXED, SEGMENT, MINIMA, CROWD, TILE = 16, 20, 8, 16, 1024
+PARITY, NARROW = 1024, 256  # bits of a text's parities, and of those that stand with every element of a prefix
 _REMIX = random_table(2 * (WIDE // 64), 21).reshape(2, -1) | np.uint64(1)
 _ORDERS = random_table(MINIMA, 22)
 
@@ -168,6 +171,16 @@ def minima(own: np.ndarray) -> np.ndarray:
     return least.view("<i8")
 
 
+def parity(own: np.ndarray) -> np.ndarray:
+    """Of each of PARITY values of the last bits, whether an odd number of shingles has it; as longs. Sets differ in no fewer elements than their parities differ in bits."""
+    return np.packbits(np.bincount((own & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1, bitorder="little").view("<i8")
+
+
+def most_apart(similarity: float) -> float:
+    """The elements in which two sets of this similarity differ at most, as a share of their sizes' sum."""
+    return (1 - similarity) / (1 + similarity)
+
+
 def bits_apart(similarity: float, deviations: float = 0.0) -> int:
     """The bits in which fingerprints of sets of this Jaccard similarity differ on average, two sets of equal size being arccos(2s / (1 + s)) apart, and so many standard deviations more."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
@@ -175,16 +188,17 @@ def bits_apart(similarity: float, deviations: float = 0.0) -> int:
 
 
 def wide_prints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """Rows (oid, mark, s, t, f, h) of all rows of docs: s and t name the shingle set, f is its fingerprint, h its minima."""
+    """Rows (oid, mark, n, s, t, f, h, p) of all rows of docs: n shingles, s and t name their set, f is its fingerprint, h its minima, p its parities."""
 
     def each(batches):
         for b in batches:
             sets = [shingles(x.as_py(), words) for x in b.column("text")]
             names = [pa.array(np.array([mix(x * r + np.uint64(1)).sum(dtype=np.uint64) for x in sets], dtype=np.uint64).view(np.int64)) for r in _REMIX[:, 1]]
-            yield pa.RecordBatch.from_arrays([b.column("oid"), b.column("mark"), *names, *[pa.array([make(x) for x in sets], pa.list_(pa.int64())) for make in (wide_fingerprint, minima)]], ["oid", "mark", "s", "t", "f", "h"])
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("oid"), b.column("mark"), sizes, *names, *[pa.array([make(x) for x in sets], pa.list_(pa.int64())) for make in (wide_fingerprint, minima, parity)]], ["oid", "mark", "n", "s", "t", "f", "h", "p"])
 
     rows = docs.select(order_id().alias("oid"), text_mark(F.col("text")).alias("mark"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(each, "oid long, mark long, s long, t long, f array<long>, h array<long>")
+    return rows.mapInArrow(each, "oid long, mark long, n long, s long, t long, f array<long>, h array<long>, p array<long>")
 
 
 def met(nodes: DataFrame, hot: int = CROWD) -> DataFrame:
@@ -213,18 +227,33 @@ def met(nodes: DataFrame, hot: int = CROWD) -> DataFrame:
     return shared.select("slot", F.shiftright("key", 1).alias("node"), F.transform(asked, lambda k: F.shiftright(k, 1)).alias("others"))
 
 
-def starred(shared: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """Edges (a, b, bits) between nodes and those that they are compared with first, if the fingerprints differ in at most ``most`` bits; from the rows of ``met``."""
-    pairs = shared.select(F.explode("others").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    side = lambda name: nodes.select(F.col("node").alias(name), F.col("f").alias(f"f_{name}"))
-    apart = F.aggregate(F.zip_with("f_a", "f_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", apart.alias("bits")).filter(F.col("bits") <= most)
+def asked(shared: DataFrame, first: int = 1, n: int = 3) -> DataFrame:
+    """The pairs (a, b) that are compared first, of the n others from the first on; from the rows of ``met``."""
+    pairs = shared.select(F.explode(F.slice("others", first, n)).alias("a"), F.col("node").alias("b")).filter("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def of_two_groups(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose nodes aren't of one group so far, by rows (node, root)."""
+    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+    both = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return both.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def starred(pairs: DataFrame, nodes: DataFrame, most: int, similarity: float | None = None) -> DataFrame:
+    """The pairs (a, b, bits) of nodes whose fingerprints differ in at most ``most`` bits, without those whose parities rule out the similarity, if one is given."""
+    more = ["n", "p"] if similarity else []
+    side = lambda name: nodes.select(F.col("node").alias(name), *[F.col(k).alias(f"{k}_{name}") for k in ("f", *more)])
+    apart = lambda k: F.aggregate(F.zip_with(f"{k}_a", f"{k}_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    found = pairs.join(side("a"), "a").join(side("b"), "b")
+    if similarity:
+        found = found.filter(apart("p") <= (F.col("n_a") + F.col("n_b")) * most_apart(similarity) + 1e-6)
+    return found.select("a", "b", apart("f").alias("bits")).filter(F.col("bits") <= most)
 
 
 def similar(nodes: DataFrame, most: int, hot: int = CROWD) -> DataFrame:
     """Edges (a, b, bits) between nodes (node, f, h) whose fingerprints differ in at most ``most`` bits, of those that are compared first."""
-    return starred(met(nodes, hot), nodes, most)
+    return starred(asked(met(nodes, hot)), nodes, most)
 
 
 def mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -259,18 +288,22 @@ def joined(sets: DataFrame, similarity: float) -> DataFrame:
     """All pairs (a, b) of different groups whose sets are similar, exactly; from rows (node, root, own).
 
     By prefixes: in order of the number of sets that hold an element, the first element that two similar sets share stands among the
-    first of either, and in the smaller set still earlier; what follows it must be enough for the overlap. Members of one group don't meet.
+    first of either, and in the smaller set still earlier; what follows it must be enough for the overlap. Members of one group don't meet, nor do sets whose parities are too far apart.
     """
     each = sets.select("node", "root", F.size("own").alias("n"), F.explode("own").alias("x"))
-    line = each.join(each.groupBy("x").agg(F.count("*").alias("often")), "x").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x"))).alias("line"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").bitwiseAND(63).cast("int"))
+    odd = [F.bit_xor(F.when(F.shiftright("x", 6).bitwiseAND(NARROW // 64 - 1) == k, bit).otherwise(0)).alias(f"p{k}") for k in range(NARROW // 64)]
+    line = each.join(each.groupBy("x").agg(F.count("*").alias("often")), "x").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x"))).alias("line"), *odd)
+    parities = [f"p{k}" for k in range(NARROW // 64)]
     first = lambda share: (F.col("n") - F.ceil(F.col("n") * share - 1e-6) + 1).cast("int")
     least = 2 * similarity / (1 + similarity)
-    rows = line.select("node", "root", "n", first(least).alias("early"), F.posexplode(F.slice("line.x", 1, first(similarity))).alias("at", "x"))
-    rows = cut_lineage(rows.groupBy("x", "root").agg(*[F.collect_list(F.when(when, F.struct("n", "node", "at"))).alias(k) for k, when in (("held", F.col("at") < F.col("early")), ("asked", F.lit(True)))]))
+    rows = line.select("node", "root", "n", *parities, first(least).alias("early"), F.posexplode(F.slice("line.x", 1, first(similarity))).alias("at", "x"))
+    rows = cut_lineage(rows.groupBy("x", "root").agg(*[F.collect_list(F.when(when, F.struct("n", "node", "at", *parities))).alias(k) for k, when in (("held", F.col("at") < F.col("early")), ("asked", F.lit(True)))]))
     element = W.partitionBy("x")
     rows = rows.withColumns({"lo": F.min("root").over(element), "hi": F.max("root").over(element)}).filter("lo <> hi")
     enough = lambda a, b: F.least(a.n - a["at"], b.n - b["at"]) >= (a.n + b.n) * (least / 2) - 1e-6
-    fits = lambda a: lambda b: (F.struct(a.n, a.node) < F.struct(b.n, b.node)) & (a.n >= b.n * similarity - 1e-6) & enough(a, b)
+    near = lambda a, b: sum(F.bit_count(a[k].bitwiseXOR(b[k])) for k in parities) <= (a.n + b.n) * most_apart(similarity) + 1e-6
+    fits = lambda a: lambda b: (F.struct(a.n, a.node) < F.struct(b.n, b.node)) & (a.n >= b.n * similarity - 1e-6) & enough(a, b) & near(a, b)
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("root"), F.ceil(F.count("*").over(element) / TILE)))
     tiles = rows.groupBy("x", "tile").agg(F.collect_list(F.struct("root", "asked")).alias("groups"))  # so many rows meet as there are groups and tiles, not pairs
     others = F.flatten(F.transform(F.filter("groups", lambda g: g.root != F.col("root")), lambda g: g.asked))
@@ -283,8 +316,8 @@ def joined(sets: DataFrame, similarity: float) -> DataFrame:
 def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs with the smallest id of their group of similar texts; of repeated rows one."""
     prints = cut_lineage(wide_prints(docs, words))
-    sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), F.first("f").alias("f"), F.first("h").alias("h"))
-    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "f", "h"))
+    sets = prints.groupBy("s", "t").agg(F.min(F.struct("oid", "mark")).alias("best"), *[F.first(k).alias(k) for k in ("n", "f", "h", "p")])
+    nodes = cut_lineage(sets.select(F.monotonically_increasing_id().alias("node"), "best", "n", "f", "h", "p"))
     own = docs.withColumns({"__oid": order_id(), "__mark": text_mark(F.col("text"))})
     most, least = bits_apart(similarity, 2.5), bits_apart(similarity, -2.5)
 
@@ -293,14 +326,19 @@ def one_of_each_group(docs: DataFrame, words: int = SHINGLE, similarity: float =
         few = F.broadcast(few) if few.count() <= BROADCAST_ROWS else few
         return shingle_sets(own.join(few, ["__oid", "__mark"]).dropDuplicates(["node"]).select(*[k for k in few.columns if k[:2] != "__"], "text"), words)
 
+    def linked(pairs: DataFrame) -> DataFrame:
+        found = cut_lineage(starred(pairs, nodes, most, similarity))
+        unsure = found.filter(F.col("bits") > least)
+        return cut_lineage(found.filter(F.col("bits") <= least).select("a", "b").unionAll(checked(unsure, sets_of(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()), similarity)))
+
+    def joined_by(more: DataFrame, roots: DataFrame) -> DataFrame:
+        return roots if more.isEmpty() else components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
     shared = cut_lineage(met(nodes))
-    found = cut_lineage(starred(shared, nodes, most))
-    unsure = found.filter(F.col("bits") > least)
-    taken = found.filter(F.col("bits") <= least).select("a", "b").unionAll(checked(unsure, sets_of(unsure.select(F.explode(F.array("a", "b")).alias("node")).distinct()), similarity))
-    roots = components(taken)
-    more = cut_lineage(joined(cut_lineage(sets_of(mixed(shared, roots))), similarity))
-    if not more.isEmpty():
-        roots = components(more.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    smallest = cut_lineage(asked(shared, 1, 1))
+    roots = components(linked(smallest))
+    roots = joined_by(linked(of_two_groups(asked(shared, 2, 2).join(smallest, ["a", "b"], "left_anti"), roots)), roots)
+    roots = joined_by(cut_lineage(joined(cut_lineage(sets_of(mixed(shared, roots))), similarity)), roots)
     grouped_ = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best"))
     best = grouped_.select(F.col("best.oid").alias("__oid"), F.col("best.mark").alias("__mark"))
     return own.join(best, ["__oid", "__mark"], "left_semi").dropDuplicates(["__oid", "__mark"]).select(*docs.columns)

@@ -226,6 +226,61 @@ def test_joined_sets_against_all_pairs(spark):
         assert len(want) > 20 and sorted((x.a, x.b) for x in found) == sorted(want)
 
 
+def compared(monkeypatch):
+    """Numbers of pairs whose sets are compared, in order of the calls."""
+    seen, check = [], simhash.checked
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return check(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "checked", counted)
+    return seen
+
+
+def test_a_family_of_edited_copies_lists_few_pairs(spark, monkeypatch):
+    """Copies of one text, each with edits of its own, share rare elements in all pairs; those too far apart aren't listed."""
+    seen = compared(monkeypatch)
+    for n in (100, 200):
+        r = random.Random(n)
+        base, sets = [r.randrange(-(2**31), 2**31) for _ in range(150)], []
+        for k in range(n):
+            near = sets[-1] if k % 10 == 1 else base
+            sets.append(list(near))
+            for at in r.sample(range(150), 8 if near is not base else 14):
+                sets[-1][at] = r.randrange(-(2**31), 2**31)
+        want = [(a, b) for a, b in combinations(range(n), 2) if len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})]
+        rows = spark.createDataFrame([(k, k, x) for k, x in enumerate(sets)], "node long, root long, own array<int>")
+        assert sorted((x.a, x.b) for x in simhash.joined(rows, 0.8).collect()) == want and len(want) >= n // 10
+    assert seen[0] < 0.1 * 100 * 99 / 2 and seen[1] < 0.1 * 200 * 199 / 2
+
+
+def test_first_pairs_too_far_apart_are_not_compared_by_sets(spark, monkeypatch):
+    r = random.Random(53)
+    base, rows = [f"b{k}" for k in range(150)], []
+    for i in range(120):
+        own = list(base)
+        for k in r.sample(range(150), r.choice([1, 3, 5])):
+            own[k] = f"edit{i}_{k}"
+        rows.append((i, " ".join(own)))
+    sets = {i: set(simhash.shingles(t).tolist()) for i, t in rows}
+    want = resembling(sets)
+    seen = compared(monkeypatch)
+    kept = {x.doc_id for x in simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    links = sum(len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) for i, j in combinations(sets, 2))
+    assert kept == set(want.values()) and 1 < len(kept) < 120
+    assert sum(seen) < 1.5 * links
+
+
+def test_parities_bound_the_difference():
+    r = np.random.Generator(np.random.PCG64(8))
+    for n in (0, 1, 50, 900):
+        own, other = (r.integers(0, 1 << 64, n, dtype=np.uint64) for _ in range(2))
+        other = np.concatenate((own[: n // 2], other[n // 2 :]))
+        a, b = (simhash.parity(x).view(np.uint64) for x in (own, other))
+        assert int(np.bitwise_count(a ^ b).sum()) <= len({*own.tolist()} ^ {*other.tolist()})
+
+
 def test_minima_of_copies_and_of_nothing():
     a, b = (simhash.minima(simhash.shingles(t)) for t in ("one two three four five six", "six five four three two one"))
     assert (a == simhash.minima(simhash.shingles("ONE two three\nfour five six"))).all() and (a != b).all()
