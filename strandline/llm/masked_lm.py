@@ -35,7 +35,7 @@ from strandline.llm.substring_dedup import word_symbols
 
 CLASSES, MEMBERS, SIDE, EMBED, HIDDEN = 32, 32, 2, 24, 32
 BUCKETS, ROUNDS, STEP, RATE, SEED, SCALE = CLASSES * MEMBERS, 2, 2048, 0.1, 3, 1 << 16
-OWN = 768
+OWN, LARGE = 768, 60
 SHARE, LEAST, FEW = 21, 14, 8  # words of a trainer in both rounds, as powers of two; up to so many trainers do with the lesser number
 SHARED, FINE, TABLE = BUCKETS - OWN, 1 << 30, 20
 SHAPES = {"e": (BUCKETS + 1, EMBED), "w": (2 * SIDE * EMBED, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "m": (HIDDEN, MEMBERS), "mb": (CLASSES, MEMBERS)}
@@ -128,17 +128,21 @@ def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line[at], line[at[:, None] + around]
 
 
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)  # of short rows several times as fast as sum()
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     np.exp(np.clip(x, -60, 60, out=x), out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x /= _row_sums(x)[:, None]
     return x
 
 
 def forward(p: dict[str, np.ndarray], words: np.ndarray, around: np.ndarray):
-    x = p["e"][around].reshape(len(words), -1)
+    x = p["e"].take(around.reshape(-1), axis=0).reshape(len(words), 2 * SIDE * EMBED)
     h = np.tanh(x @ p["w"] + p["b"])
     kind = words // MEMBERS
-    return x, h, kind, _softmax(h @ p["c"] + p["cb"]), _softmax(h @ p["m"] + p["mb"][kind])
+    return x, h, kind, _softmax(h @ p["c"] + p["cb"]), _softmax(h @ p["m"] + p["mb"].take(kind, axis=0))
 
 
 class Scorer:
@@ -147,19 +151,21 @@ class Scorer:
     def __init__(self, p: dict[str, np.ndarray]):
         self.p = p
         self.places = [p["e"] @ p["w"][k * EMBED : (k + 1) * EMBED] for k in range(2 * SIDE)]
+        # hidden units are within one of zero, which bounds the logits; small ones need no shift before exp
+        self.shift = [np.abs(p[k]).sum(axis=0).max() + np.abs(p[b]).max() > LARGE for k, b in (("c", "cb"), ("m", "mb"))]
 
     def __call__(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
         p, rows, kind = self.p, np.arange(len(words)), words // MEMBERS
-        h = self.places[0][around[:, 0]] + p["b"]
+        h = self.places[0].take(around[:, 0], axis=0) + p["b"]
         for k in range(1, 2 * SIDE):
-            h += self.places[k][around[:, k]]
+            h += self.places[k].take(around[:, k], axis=0)
         np.tanh(h, out=h)
         out = np.zeros(len(words), h.dtype)
-        for x, at in ((h @ p["c"] + p["cb"], kind), (h @ p["m"] + p["mb"][kind], words % MEMBERS)):
-            own = x[rows, at]
-            top = x.max(axis=1)
-            x -= top[:, None]
-            out += own - top - np.log(np.exp(x, out=x).sum(axis=1))
+        for x, at, shift in ((h @ p["c"] + p["cb"], kind, self.shift[0]), (h @ p["m"] + p["mb"].take(kind, axis=0), words % MEMBERS, self.shift[1])):
+            if shift:
+                x -= x.max(axis=1)[:, None]
+            out += x[rows, at]
+            out -= np.log(_row_sums(np.exp(x, out=x)))
         return out
 
 
@@ -173,7 +179,7 @@ def _by_row(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     order = np.argsort(index.astype(np.int16), kind="stable")  # 16 bits: a radix sort
     own = index[order]
     start = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    out[own[start]] = np.add.reduceat(values[order], start, axis=0)
+    out[own[start]] = np.add.reduceat(values.take(order, axis=0), start, axis=0)
     return out
 
 

@@ -79,6 +79,19 @@ def test_gradient_and_normalisation():
     assert abs(total - 1) < 1e-9
 
 
+def test_scores_with_and_without_shift():
+    """Small logits go without a shift before exp, large ones don't overflow."""
+    r = np.random.Generator(np.random.PCG64(6))
+    words, around = r.integers(0, masked_lm.BUCKETS, 50), r.integers(0, masked_lm.BUCKETS + 1, (50, 2 * masked_lm.SIDE))
+    for factor, shifted in ((1, False), (200, True)):
+        p = {k: v * np.float32(factor) if k in "cm" else v for k, v in masked_lm.unpack(masked_lm.initial()).items()}
+        own = masked_lm.Scorer(p)
+        assert all(x == shifted for x in own.shift)
+        found = own(words, around)
+        own.shift = [True, True]
+        assert np.isfinite(found).all() and np.allclose(found, own(words, around), atol=1e-5)
+
+
 def test_training_tells_prose_from_shuffled_words(spark):
     r = random.Random(6)
     nxt = {w: r.choices([f"w{k}" for k in range(50)], k=2) for w in [f"w{k}" for k in range(50)]}
