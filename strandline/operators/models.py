@@ -187,14 +187,52 @@ def align_score(a: str, b: str, match: int = 1, mismatch: int = -1, opening: int
     return int(best)
 
 
+#: Cells of a row of all pairs that are aligned side by side.
+CELLS = 1 << 16
+
+
+def _letters(texts: list[bytes], pad: int) -> np.ndarray:
+    """The bytes of texts as columns, filled up with ``pad``."""
+    sizes = np.array([len(t) for t in texts])
+    out = np.full((int(sizes.max(initial=0)), len(texts)), pad, np.int16)
+    ends = np.cumsum(sizes)
+    out[np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes), np.repeat(np.arange(len(texts)), sizes)] = np.frombuffer(b"".join(texts), np.uint8)
+    return out
+
+
+def align_scores(a: list[str], b: list[str], match: int = 1, mismatch: int = -1, opening: int = -6, extending: int = -1) -> np.ndarray:
+    """``align_score`` of many pairs, a row of many of them at once, in order of length; mismatches and gaps cost, so what fills a text up adds nothing."""
+    x, y = [t.encode() for t in a], [t.encode() for t in b]
+    out, at = np.zeros(len(x), np.int32), 0
+    order = sorted(range(len(x)), key=lambda i: (len(y[i]), len(x[i])))
+    while at < len(order):
+        # the shortest come first, so a few fall short of the bound where lengths jump
+        some = order[at : at + max(1, CELLS // (len(y[order[at]]) + 1))]
+        some = some[: max(1, CELLS // (len(y[some[-1]]) + 1))]
+        at += len(some)
+        rows, other = _letters([x[i] for i in some], -1), _letters([y[i] for i in some], -2)
+        step = np.arange(len(other) + 1, dtype=np.int32)[:, None]
+        last, row = np.zeros((len(other) + 1, len(some)), np.int32), np.zeros((len(other) + 1, len(some)), np.int32)
+        down, best = np.full(last.shape, -(1 << 30), np.int32), np.zeros(len(some), np.int32)
+        for c in rows:
+            down = np.maximum(down + extending, last + opening)
+            row = np.zeros_like(last)
+            row[1:] = np.maximum(np.maximum(last[:-1] + np.where(other == c, match, mismatch), down[1:]), 0)
+            along = np.maximum.accumulate(row - step * extending, axis=0)[:-1] + (step[1:] - 1) * extending + opening
+            row[1:] = np.maximum(row[1:], along)
+            best, last = np.maximum(best, row.max(axis=0)), row
+        out[some] = best
+    return out
+
+
 @F.pandas_udf(IntegerType())
 def local_alignment(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([align_score(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="int32")
+    return pd.Series(align_scores(a.fillna("").tolist(), b.fillna("").tolist()), dtype="int32")
 
 
 def best_allele(reads: DataFrame, ids: list[str], seq: str, alleles: str) -> DataFrame:
     """(ids, allele, score, margin): the allele (array of sequences) that a read aligns to best, null on a tie, and by how much."""
-    each = reads.select(*ids, seq, F.posexplode(alleles).alias("allele", "__text")).withColumn("score", local_alignment(F.col(seq), F.col("__text")))
+    each = reads.repartition(*ids).select(*ids, seq, F.posexplode(alleles).alias("allele", "__text")).withColumn("score", local_alignment(F.col(seq), F.col("__text")))
     own = each.groupBy(*ids).agg(F.sort_array(F.collect_list(F.struct("score", "allele")), asc=False).alias("s"))
     first, second = F.get("s", 0), F.get("s", 1)
     margin = first["score"] - F.coalesce(second["score"], F.lit(0))
