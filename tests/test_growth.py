@@ -1,9 +1,27 @@
 """Operators that once grew with the square of something, or went pair by pair, against plain versions."""
 
+import itertools
 import random
 import time
 
-from strandline.operators import models
+from strandline.operators import fuzzy, models
+
+
+def joined_rows(df):
+    """The most rows that a join of df made, df being collected."""
+    df.collect()
+    found, todo = [0], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif "Join" in name:
+            found.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return max(found)
 
 
 def test_many_alignments_at_once():
@@ -16,3 +34,16 @@ def test_many_alignments_at_once():
     begin = time.process_time()
     models.align_scores([x[:22] for x in texts] * 100, [x[:12] for x in texts] * 100)
     assert time.process_time() - begin < 8  # one at a time they take some 40 seconds
+
+
+def test_pairs_within_meet_once(spark):
+    r = random.Random(9)
+    dense = ["".join(x) for x in itertools.product("AC", repeat=8)]
+    mixed = ["".join(r.choice("AC") for _ in range(r.choice([1, 2, 3, 4, 13, 24]))) for _ in range(150)]
+    plain = lambda keys, d: {(a, b, n) for a, b in itertools.combinations(sorted(set(keys)), 2) if len(a) == len(b) > d and (n := sum(x != y for x, y in zip(a, b, strict=True))) <= d}
+    for keys, d in ((dense, 2), (dense, 1), (mixed, 2), (mixed, 3), (mixed, 0)):
+        out = fuzzy.pairs_within(spark.createDataFrame([(k,) for k in [*keys, keys[0], None]], "k string"), "k", d)
+        assert sorted(map(tuple, out.collect())) == sorted(plain(keys, d))
+    keys = {"".join(r.choice("ACGT") for _ in range(10)) for _ in range(2000)}
+    out = fuzzy.pairs_within(spark.createDataFrame([(k,) for k in keys], "k string"), "k", 2)
+    assert 0 < joined_rows(out) < 4 * out.count()  # 60,000 met by thirds of their letters
