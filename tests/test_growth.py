@@ -4,6 +4,8 @@ import itertools
 import random
 import time
 
+import numpy as np
+
 from strandline.operators import fuzzy, models
 
 
@@ -47,3 +49,26 @@ def test_pairs_within_meet_once(spark):
     keys = {"".join(r.choice("ACGT") for _ in range(10)) for _ in range(2000)}
     out = fuzzy.pairs_within(spark.createDataFrame([(k,) for k in keys], "k string"), "k", 2)
     assert 0 < joined_rows(out) < 4 * out.count()  # 60,000 met by thirds of their letters
+
+
+def test_confirmed_keys_by_places(spark):
+    r = random.Random(2)
+    allowed = {"".join(r.choice("ACG") for _ in range(4)): float(r.randint(1, 60)) for _ in range(60)} | {"ACNT": 3.0, "A": 1.0}
+    reads = [(i, r.choice([*allowed, "TTTT"]), "".join(chr(33 + r.choice([2, 10, 20, 30, 38])) for _ in range(r.choice([4, 4, 4, 3])))) for i in range(600)]
+    error = lambda q, i: 10 ** (-max(3, min((ord(q[i]) if i < len(q) else 0) - 34, 33)) / 10)
+
+    def plain(key, qual):
+        if all(ord(c) - 33 > 24 for c in qual):
+            return key
+        w = {key: allowed[key]}
+        for other, prior in allowed.items():
+            places = [i for i in range(len(key)) if key[i] != other[i]] if len(other) == len(key) else []
+            if len(places) == 2 and all(other[i] in "ACGT" for i in places):
+                w[other] = prior * error(qual, places[0]) * error(qual, places[1])
+        best = max(w, key=lambda t: (w[t], t))
+        return best if w[best] > 0.9 * sum(w.values()) else None
+
+    out = fuzzy.confirmed(spark.createDataFrame(reads, "id long, key string, qual string"), spark.createDataFrame(list(allowed.items()), "key string, prior double"), ["id"], 0.9)
+    got = {x.id: x.corrected for x in out.collect()}
+    assert got == {i: plain(k, q) for i, k, q in reads if k in allowed}
+    assert np.any([v is None for v in got.values()])
