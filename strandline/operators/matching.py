@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strandline.lineage import cut_lineage
 from strandline.operators.aggregates import ratio
 from strandline.operators.intervals import overlap_join
 from strandline.operators.ordered import TILE, across
@@ -44,11 +45,12 @@ def pair_counts(df: DataFrame, group: str, item: str, least: int = 1, most_items
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
-def breakpoint_matches(calls: DataFrame, truth: DataFrame, slack: int, base: int = 1 << 14) -> DataFrame:
-    """(name, truth): calls and truths of which both breakpoints come within ``slack``; ends are ordered by contig and start first. Both sides: name, chrom1, start1, stop1, chrom2, start2, stop2.
+#: Names that occur in several rows are broadcast if there are no more.
+FEW = 100_000
 
-    Rows are dealt by the cells of both breakpoints, so that a pile of calls at one place meets only those that also end near each other.
-    """
+
+def _break_pairs(calls: DataFrame, truth: DataFrame, slack: int, base: int, longest: int) -> DataFrame:
+    """(name, truth) once for each two rows of which both breakpoints come within ``slack``."""
 
     def ordered(df: DataFrame, widen: int) -> DataFrame:
         side = lambda k: F.struct(F.col(f"chrom{k}").alias("c"), F.greatest(F.col(f"start{k}") - widen, F.lit(0)).alias("s"), (F.col(f"stop{k}") + widen).alias("e"))
@@ -62,9 +64,46 @@ def breakpoint_matches(calls: DataFrame, truth: DataFrame, slack: int, base: int
     a, b = dealt(ordered(calls, slack), size), dealt(ordered(truth, 0), size)
     left = a.select("name", F.col("x.c").alias("contig"), F.col("x.s").alias("start"), F.col("x.e").alias("end"), "y", "__other", "__end")
     right = b.select(F.col("name").alias("truth"), F.col("x.c").alias("contig"), F.col("x.s").alias("start_r"), F.col("x.e").alias("end_r"), F.col("y").alias("z"), "__other", "__end")
-    near = overlap_join(left, right, place, base)
+    near = overlap_join(left, right, place, base, longest=longest)
     met = F.floor(F.greatest("y.s", "z.s") / size) == F.col("__end")  # once for each pair
-    return near.filter(F.expr("y.s < z.e and z.s < y.e") & met).select("name", "truth").distinct()
+    return near.filter(F.expr("y.s < z.e and z.s < y.e") & met).select("name", "truth")
+
+
+def _longest_break(calls: DataFrame, truth: DataFrame, slack: int) -> int:
+    size = F.max(F.greatest(F.col("stop1") - F.col("start1"), F.col("stop2") - F.col("start2")))
+    found = [df.agg(size).first()[0] for df in (calls, truth)]
+    return max((x for x in found if x is not None), default=1) + 2 * slack
+
+
+def breakpoint_matches(calls: DataFrame, truth: DataFrame, slack: int, base: int = 1 << 14) -> DataFrame:
+    """(name, truth): calls and truths of which both breakpoints come within ``slack``; ends are ordered by contig and start first. Both sides: name, chrom1, start1, stop1, chrom2, start2, stop2.
+
+    Rows are dealt by the cells of both breakpoints, so that a pile of calls at one place meets only those that also end near each other. Two rows meet once,
+    so only pairs of names that occur in several rows are made distinct.
+    """
+
+    def parted(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        again = cut_lineage(df.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("name").alias("__again")))
+        n = again.limit(FEW + 1).count()
+        if not n:
+            return df, None
+        few = (lambda x: F.broadcast(x)) if n <= FEW else (lambda x: x)
+        same = F.col("name").eqNullSafe(F.col("__again"))
+        return df.join(few(again), same, "left_anti"), few(df.join(few(again), same, "left_semi"))
+
+    longest = _longest_break(calls, truth, slack)
+    (once, again), (truth_once, truth_again) = parted(calls), parted(truth)
+    out = _break_pairs(once, truth_once, slack, base, longest)
+    rest = [_break_pairs(a, b, slack, base, longest) for a, b in ((again, truth), (once, truth_again)) if a is not None and b is not None]
+    return out.unionAll(reduce(lambda a, b: a.unionAll(b), rest).distinct()) if rest else out
+
+
+def breakpoints_met(calls: DataFrame, truth: DataFrame, slack: int, base: int = 1 << 14) -> DataFrame:
+    """The distinct names of truth that ``breakpoint_matches`` pairs with a call. Places are matched once, however many rows they have."""
+    place = ["chrom1", "start1", "stop1", "chrom2", "start2", "stop2"]
+    one = lambda df: df.select(*place).distinct().withColumn("name", F.struct(*place))
+    met = _break_pairs(one(calls), one(truth), slack, base, _longest_break(calls, truth, slack)).select("truth").distinct()
+    return truth.join(met.select("truth.*"), place, "left_semi").select(F.col("name").alias("truth")).distinct()
 
 
 def reciprocal_matches(calls: DataFrame, truth: DataFrame, share: float, base: int = 1 << 14) -> DataFrame:
