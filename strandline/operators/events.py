@@ -40,8 +40,8 @@ def passing(events: DataFrame, rules: dict[str, Column], tracks: dict[str, DataF
     """events with filters: the names of the rules that hold and of the tracks (contig, start_r, end_r) that they overlap."""
     own = events.withColumn("filters", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()])) if rules else F.array().cast("array<string>"))
     for name, track in tracks.items():
-        hit = overlapping(events, track, "contig", ids, base).select(*ids, F.lit(name).alias("__hit"))
-        own = own.join(hit, ids, "left").withColumn("filters", F.when(F.col("__hit").isNotNull(), F.array_append("filters", F.col("__hit"))).otherwise(F.col("filters"))).drop("__hit")
+        hit = overlapping(events, track, "contig", ids, base).select("contig", "start", "end", F.lit(name).alias("__hit")).distinct()
+        own = own.join(hit, ["contig", "start", "end"], "left").select(*own.columns, "__hit").withColumn("filters", F.when(F.col("__hit").isNotNull(), F.array_append("filters", F.col("__hit"))).otherwise(F.col("filters"))).drop("__hit")
     return own
 
 
