@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strandline.functions.numeric import binomial_test
 from strandline.operators.aggregates import ratio
 from strandline.operators.intervals import overlap_join, overlapping
-from strandline.operators.matching import breakpoint_matches
+from strandline.operators.matching import breakpoints_met
 from strandline.operators.sessions import clusters
 
 
@@ -58,7 +58,7 @@ def mates(calls: DataFrame, window: int) -> DataFrame:
 
 def compared(samples: dict[str, DataFrame], truth: DataFrame, slack: int, base: int = 1 << 14) -> DataFrame:
     """(truth, in_<sample> ...): which call sets hold each truth."""
-    found = [breakpoint_matches(df, truth, slack, base).select(F.col("truth"), F.lit(True).alias(f"in_{k}")).distinct() for k, df in samples.items()]
+    found = [breakpoints_met(df, truth, slack, base).withColumn(f"in_{k}", F.lit(True)) for k, df in samples.items()]
     own = reduce(lambda a, b: a.join(b, "truth", "left"), found, truth.select(F.col("name").alias("truth")))
     return own.withColumns({f"in_{k}": F.coalesce(f"in_{k}", F.lit(False)) for k in samples})
 
