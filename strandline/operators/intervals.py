@@ -78,10 +78,10 @@ def point_join(points: DataFrame, right: DataFrame, by: str | list[str], base: i
 
 
 def overlapping(left: DataFrame, right: DataFrame, by: str | list[str], ids: list[str], base: int = 16384, anti: bool = False) -> DataFrame:
-    """Rows of left that overlap some interval of right, or none; ``ids`` tell rows of left apart."""
-    by = [by] if isinstance(by, str) else by
-    hits = overlap_join(left.select(*dict.fromkeys([*ids, *by, "start", "end"])), right.select(*by, "start_r", "end_r"), by, base).select(*ids).distinct()
-    return left.join(hits, ids, "left_anti" if anti else "left_semi")
+    """Rows of left that overlap some interval of right, or none. Rows are told by their intervals, so ``ids`` may repeat."""
+    keys = list(dict.fromkeys([*([by] if isinstance(by, str) else by), "start", "end"]))
+    hits = overlap_join(left.select(*keys).distinct(), right.select(*keys[:-2], "start_r", "end_r").distinct(), keys[:-2], base).select(*keys).distinct()
+    return left.join(hits, keys, "left_anti" if anti else "left_semi").select(*left.columns)
 
 
 def _merge_once(df: DataFrame, by: list[str], touching: bool) -> DataFrame:

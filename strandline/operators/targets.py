@@ -33,13 +33,15 @@ def nearest_intervals(left: DataFrame, right: DataFrame, by: list[str], tile: in
 
 
 def on_targets(records: DataFrame, targets: DataFrame, by: str, ids: list[str], whole: bool, base: int = 1 << 14) -> DataFrame:
-    """records (pos, length, ...) that begin or end on a target (start_r, end_r), or, with ``whole``, that end before the target that holds their first position does."""
+    """records (pos, length, ...) that begin or end on a target (start_r, end_r), or, with ``whole``, that end before the target that holds their first position does. Records are told by their places, so ``ids`` may repeat."""
+    keys = [by, "pos", "length"]
+    places = records.select(*keys).distinct()
     if whole:
-        hits = point_join(records, targets, by, base).filter(F.col("pos") + F.col("length") < F.col("end_r"))
+        hits = point_join(places, targets, by, base).filter(F.col("pos") + F.col("length") < F.col("end_r"))
     else:
-        points = records.select(*ids, by, F.explode(F.array(F.col("pos"), F.col("pos") + F.col("length"))).alias("pos"))
-        hits = point_join(points, targets, by, base)
-    return records.join(hits.select(*ids).distinct(), ids, "left_semi")
+        points = places.select(by, F.struct("pos", "length").alias("__own"), F.explode(F.array(F.col("pos"), F.col("pos") + F.col("length"))).alias("pos"))
+        hits = point_join(points, targets, by, base).select(by, "__own.*")
+    return records.join(hits.select(*keys).distinct(), keys, "left_semi").select(*records.columns)
 
 
 def fragments_at(variants: DataFrame, fragments: DataFrame, by: str, base: int = 1 << 14) -> DataFrame:
