@@ -7,22 +7,45 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strandline.functions.numeric import log10_binomial_tail, poisson_tail
+from strandline.lineage import cut_lineage
 from strandline.operators.graph import components
 from strandline.operators.matching import pair_counts
 
 
+#: Keys of a bin that the others are compared with first.
+HUBS = 3
+
+
 def coalesced(df: DataFrame, key: str, bin_: str, p_value: float, least: int, most_keys: int | None = None) -> DataFrame:
-    """(key, cluster) of keys that share more bins than chance explains: over ``least``, six standard deviations and a Poisson tail below ``p_value``; clusters are connected components. The mean under chance is the product of the keys' bins over the effective number of bins."""
-    own = df.select(key, bin_).distinct()
-    sizes = own.groupBy(key).agg(F.count("*").alias("n"))
-    per_bin = own.groupBy(bin_).agg(F.count("*").alias("c"))
+    """(key, cluster) of keys that share more bins than chance explains: over ``least``, six standard deviations and a Poisson tail below ``p_value``; clusters are connected components. The mean under chance is the product of the keys' bins over the effective number of bins.
+
+    Keys first meet a few keys of each bin, those that are first by hash in most bins; what they share there is no more than what they share in all, so a link is one.
+    Only bins that then hold keys of several components list their pairs, and only pairs of different ones.
+    """
+    own = cut_lineage(df.select(F.col(key).alias("k"), F.col(bin_).alias("bin")).distinct())
+    sizes = own.groupBy("k").agg(F.count("*").alias("size"))
+    per_bin = own.groupBy("bin").agg(F.count("*").alias("c"))
     bins = per_bin.agg((F.sum("c") * F.sum("c") / F.sum(F.col("c") * F.col("c"))).alias("bins"))
-    pairs = pair_counts(own, bin_, key, least + 1, most_keys)
-    both = pairs.join(sizes.select(F.col(key).alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col(key).alias("b"), F.col("n").alias("nb")), "b").join(F.broadcast(bins))  # one row
-    rate = (F.col("na") * F.col("nb") / F.col("bins")).alias("rate")
-    hits = both.select("a", "b", F.col("n").cast("double").alias("n"), rate).filter(F.col("n") >= F.col("rate") + 6 * F.sqrt("rate"))
-    hits = hits.filter(poisson_tail(F.col("n") + 1, F.col("rate")) < p_value)
-    return components(hits.select("a", "b")).withColumnsRenamed({"node": key, "root": "cluster"})
+    met = own.filter("k is not null and bin is not null")
+    if most_keys is not None:
+        met = met.join(per_bin.filter(F.col("c") <= most_keys).select("bin"), "bin", "left_semi")
+
+    def hits(pairs: DataFrame) -> DataFrame:
+        both = pairs.filter(F.col("n") > least).join(sizes.select(F.col("k").alias("a"), F.col("size").alias("na")), "a").join(sizes.select(F.col("k").alias("b"), F.col("size").alias("nb")), "b").join(F.broadcast(bins))  # one row
+        rate = (F.col("na") * F.col("nb") / F.col("bins")).alias("rate")
+        near = both.select("a", "b", F.col("n").cast("double").alias("n"), rate).filter(F.col("n") >= F.col("rate") + 6 * F.sqrt("rate"))
+        return near.filter(poisson_tail(F.col("n") + 1, F.col("rate")) < p_value).select("a", "b")
+
+    firsts = met.groupBy("bin").agg(F.min_by("k", F.struct(F.xxhash64("k"), F.col("k"))).alias("h")).groupBy("h").agg(F.count("*").alias("leads"))
+    ranked = met.join(firsts, F.col("k") == F.col("h")).withColumn("place", F.row_number().over(W.partitionBy("bin").orderBy(F.desc("leads"), "h")))
+    hubs = ranked.filter(F.col("place") <= HUBS).select("bin", "h")
+    starred = met.join(hubs, "bin").filter("k <> h").groupBy(F.col("k").alias("a"), F.col("h").alias("b")).agg(F.count("*").alias("n"))
+    first = cut_lineage(hits(starred))
+    rooted = cut_lineage(met.join(components(first).withColumnsRenamed({"node": "k"}), "k", "left").withColumn("root", F.coalesce("root", "k")))
+    mixed = rooted.join(rooted.groupBy("bin").agg(F.min("root").alias("x"), F.max("root").alias("z")).filter("x <> z").select("bin"), "bin", "left_semi")
+    side = lambda k, r: mixed.select("bin", F.col("k").alias(k), F.col("root").alias(r))
+    rest = side("a", "ra").join(side("b", "rb"), "bin").filter("a < b and ra <> rb").groupBy("a", "b").agg(F.count("*").alias("n"))
+    return components(first.unionAll(hits(rest))).withColumnsRenamed({"node": key, "root": "cluster"})
 
 
 def window_overlaps(df: DataFrame, window: str, key: str, keys: int, most_log10: float, least: int, min_distance: int = 0, most_keys: int | None = None) -> DataFrame:

@@ -5,8 +5,10 @@ import random
 import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from strandline.operators import fuzzy, models
+from strandline.functions.numeric import poisson_tail
+from strandline.operators import fuzzy, graph, matching, models, overlap
 
 
 def joined_rows(df):
@@ -72,3 +74,27 @@ def test_confirmed_keys_by_places(spark):
     got = {x.id: x.corrected for x in out.collect()}
     assert got == {i: plain(k, q) for i, k, q in reads if k in allowed}
     assert np.any([v is None for v in got.values()])
+
+
+def test_coalesced_keys_without_all_pairs(spark, monkeypatch):
+    r = random.Random(6)
+    # families that share most bins, of which two lean on each other by a few members, and keys of no family
+    rows = [(k, f"{k % 4}:{b}") for k in range(80) for b in range(40) if r.random() < 0.8]
+    rows += [(k, f"{f}:{b}") for k, f in ((0, 1), (4, 1), (3, 2)) for b in range(30)] + [(k, f"s{r.randrange(60)}") for k in range(80, 120) for _ in range(6)] + [(200, None), (None, "0:1")]
+    df = spark.createDataFrame(rows, "k long, b string")
+
+    def plain(most):
+        own = df.distinct()
+        size = {x.k: x.n for x in own.groupBy("k").agg(F.count("*").alias("n")).collect()}
+        c = [x.n for x in own.groupBy("b").agg(F.count("*").alias("n")).collect()]
+        pairs = [(x.a, x.b, x.n, size[x.a] * size[x.b] / (sum(c) ** 2 / sum(v * v for v in c))) for x in matching.pair_counts(own.withColumnRenamed("b", "bin"), "bin", "k", 2, most).collect()]
+        some = spark.createDataFrame([(a, b, float(n), e) for a, b, n, e in pairs if n >= e + 6 * e**0.5] or [(0, 0, 0.0, 1.0)], "a long, b long, n double, e double")
+        return sorted(map(tuple, graph.components(some.filter(poisson_tail(F.col("n") + 1, F.col("e")) < 1e-3)).collect()))
+
+    for most in (None, 17):
+        assert sorted(map(tuple, overlap.coalesced(df, "k", "b", 1e-3, 1, most).collect())) == plain(most)
+    alike = spark.createDataFrame([(k, b) for k in range(300) for b in range(20 * (k % 6), 20 * (k % 6) + 20)], "k long, b long")
+    seen = []
+    monkeypatch.setattr(overlap, "components", lambda edges: (seen.append(edges.count()), graph.components(edges))[1])
+    assert len({x.cluster for x in overlap.coalesced(alike, "k", "b", 1e-3, 1).collect()}) == 6
+    assert max(seen) < 1500  # 7,350 pairs are alike
