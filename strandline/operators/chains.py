@@ -92,9 +92,13 @@ def _chunks(batches, run: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
+def _run(by: list[str]):
+    return F.xxhash64(*[F.struct(c) for c in by])
+
+
 def _dealt(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """df with ``__run``, which tells neighbouring groups apart, sorted within the partitions of the groups."""
-    return df.withColumn("__run", F.xxhash64(*[F.struct(c) for c in by])).repartition(*by).sortWithinPartitions(*by, *order)
+    return df.withColumn("__run", _run(by)).repartition(*by).sortWithinPartitions(*by, *order)
 
 
 def _names(df: DataFrame) -> str:
@@ -109,7 +113,8 @@ def decoded(df: DataFrame, by: list[str], order: list[str], tile: int, states: i
     """
     kept = df.columns
     at = F.unix_seconds(F.col(order[0]).cast("timestamp")) if isinstance(df.schema[order[0]].dataType, TimestampType | TimestampNTZType) else F.col(order[0])
-    tiled = _dealt(df.withColumn("__tile", F.floor(at / tile).cast("long")), [*by, "__tile"], order)
+    df = df.withColumn("__tile", F.floor(at / tile).cast("long"))
+    tiled = _dealt(df, [*by, "__tile"], order)
     k, prior = states, np.asarray(prior, float)
     flat = lambda x: list(x.reshape(len(x), -1))
     maximum = lambda x, axis: x.max(axis=axis)
@@ -169,40 +174,64 @@ def decoded(df: DataFrame, by: list[str], order: list[str], tile: int, states: i
 
     more = ", ".join(f"in_{x} array<double>" for x in kinds) + (", behind array<double>" if smooth else "")
     carry = cut_lineage(_dealt(tiles, by, ["__tile"]).mapInPandas(carried, f"{types}, {more}, first boolean"))
-    ways = f"{_names(df)}, {types.split(', ')[-1]}, __ways array<int>, __from array<int>, __last boolean, __head boolean, __ends array<double>" + (", posterior array<double>" if smooth else "")
+    def walked(pdf):
+        """Steps, scores and moves of rows, for each row and state the best state before, and the scores at the ends of runs."""
+        steps, emission, moves = scored(pdf)
+        into, first = np.stack(pdf["in_best"].to_list()), pdf["first"].to_numpy(bool)
+        back = np.zeros((len(pdf), k), np.int32)
+        now = np.empty((len(steps.starts), k))
+        for i, (n, rows) in enumerate(steps.forward()):
+            before = into[rows] if i == 0 else now[:n]
+            go = before[:, :, None] + _of(moves, rows)
+            back[rows] = _first_best(go, 1)
+            step = go.max(axis=1) + emission[rows]
+            if i == 0:
+                own = first[rows]
+                step[own] = prior + (emission[rows[own]] if first_emits else 0)
+                back[rows[own]] = -1
+            now[:n] = step
+        return steps, emission, moves, back, now
+
+    def linked(batches):
+        for pdf in _chunks(batches, "__run"):
+            steps, _, _, back, now = walked(pdf)
+            at = np.tile(np.arange(k, dtype=np.int32), (len(steps.starts), 1))
+            for n, rows in steps.backward():
+                at[:n] = np.take_along_axis(back[rows], at[:n], 1)
+            yield pdf.iloc[steps.starts][[*by, "__tile"]].assign(entry=list(at), ends=list(now))
+
+    def rows_with(carry):
+        met = _meeting(df.withColumn("__run", _run([*by, "__tile"])), carry, by)
+        return met.repartition(*by, "__tile").sortWithinPartitions(*by, "__tile", *order)
+
+    # no row is held between the passes: the first gives a row a tile, the second decodes again with the tile's last state known
+    links = cut_lineage(rows_with(carry.select(*by, "__tile", "in_best", "first")).mapInPandas(linked, f"{types}, entry array<int>, ends array<double>"))
+
+    def followed(batches):
+        for pdf in _chunks(batches, "__run"):
+            steps = Steps(pdf["__run"].to_numpy())
+            entry, ends = np.stack(pdf["entry"].to_list()), np.stack(pdf["ends"].to_list())
+            stop = np.empty(len(pdf), np.int32)
+            last = steps.starts + steps.sizes - 1
+            stop[last] = _first_best(ends[last], 1)
+            for _, rows in steps.backward():
+                inner = rows[~np.isin(rows, steps.starts)]
+                stop[inner - 1] = entry[inner, stop[inner]]
+            yield pdf[[*by, "__tile"]].assign(stop=stop)
+
+    chosen = _dealt(links, by, ["__tile"]).mapInPandas(followed, f"{types}, stop int")
 
     def paths(batches):
         for pdf in _chunks(batches, "__run"):
-            steps, emission, moves = scored(pdf)
-            head = np.sort(steps.starts)
-            into, first = np.stack(pdf["in_best"].to_list()), pdf["first"].to_numpy(bool)
-            back = np.zeros((len(pdf), k), np.int32)
-            now = np.empty((len(steps.starts), k))
-            for i, (n, rows) in enumerate(steps.forward()):
-                before = into[rows] if i == 0 else now[:n]
-                go = before[:, :, None] + _of(moves, rows)
-                back[rows] = _first_best(go, 1)
-                step = go.max(axis=1) + emission[rows]
-                if i == 0:
-                    own = first[rows]
-                    step[own] = prior + (emission[rows[own]] if first_emits else 0)
-                    back[rows[own]] = -1
-                now[:n] = step
-            own_states, come = np.empty((len(pdf), k), np.int32), np.empty((len(pdf), k), np.int32)
-            at = np.tile(np.arange(k, dtype=np.int32), (len(steps.starts), 1))
+            steps, emission, moves, back, _ = walked(pdf)
+            stop, first = steps.starts + steps.sizes - 1, pdf["first"].to_numpy(bool)
+            state, come = np.empty(len(pdf), np.int32), np.empty(len(pdf), np.int32)
+            at = pdf["stop"].to_numpy()[stop].astype(np.int32)
             for n, rows in steps.backward():
-                own_states[rows] = at[:n]
-                come[rows] = np.take_along_axis(back[rows], at[:n], 1)
+                state[rows] = at[:n]
+                come[rows] = back[rows, at[:n]]
                 at[:n] = come[rows]
-            last = np.zeros(len(pdf), bool)
-            last[steps.starts + steps.sizes - 1] = True
-            ends = np.full(len(pdf), None, dtype=object)
-            for i, x in zip((steps.starts + steps.sizes - 1).tolist(), now, strict=True):
-                ends[i] = x
-            out = pdf[[*kept, "__tile"]].copy()
-            # a group's last state is found where the ends are followed
-            out["__ways"], out["__from"], out["__last"], out["__ends"] = list(own_states), list(come), last, ends
-            out.insert(out.columns.get_loc("__last") + 1, "__head", np.isin(np.arange(len(pdf)), head))
+            out = pdf[kept].assign(state=state, before=come)
             if smooth:
                 total_in, behind = np.stack(pdf["in_sum"].to_list()), np.stack(pdf["behind"].to_list())
                 ahead, after = np.empty((len(pdf), k)), np.empty((len(pdf), k))
@@ -212,7 +241,6 @@ def decoded(df: DataFrame, by: list[str], order: list[str], tile: int, states: i
                     if i == 0:
                         step[first[rows]] = prior + (emission[rows[first[rows]]] if first_emits else 0)
                     ahead[rows] = step
-                stop = steps.starts + steps.sizes - 1
                 after[stop] = behind[stop]
                 for _, rows in steps.backward():
                     inner = rows[~np.isin(rows, steps.starts)]
@@ -223,24 +251,9 @@ def decoded(df: DataFrame, by: list[str], order: list[str], tile: int, states: i
                 out["posterior"] = list(p / p.sum(axis=1, keepdims=True))
             yield out
 
-    found = cut_lineage(_meeting(tiled, carry, by).repartition(*by, "__tile").sortWithinPartitions(*by, "__tile", *order).mapInPandas(paths, ways))
-    links = found.filter("__last or __head").groupBy(*by, "__tile").agg(F.max(F.when(F.col("__head"), F.col("__from"))).alias("entry"), F.max(F.when(F.col("__last"), F.col("__ends"))).alias("ends"))
-
-    def followed(batches):
-        for pdf in _chunks(batches, "__run"):
-            steps = Steps(pdf["__run"].to_numpy())
-            entry, ends = np.stack(pdf["entry"].to_list()), np.stack(pdf["ends"].to_list())
-            stop = np.empty(len(pdf), np.int32)
-            last = steps.starts + steps.sizes - 1
-            stop[last] = _first_best(ends[last], 1)
-            for _, rows in steps.backward():
-                inner = rows[~np.isin(rows, steps.starts)]
-                stop[inner - 1] = entry[inner, stop[inner]]
-            yield pdf[[*by, "__tile"]].assign(stop=stop)
-
-    chosen = _dealt(links, by, ["__tile"]).mapInPandas(followed, f"{types}, stop int")
-    out = _meeting(found, chosen, by)
-    return out.select(*kept, F.get("__ways", F.col("stop")).alias("state"), F.nullif(F.get("__from", F.col("stop")), F.lit(-1)).alias("before"), *(["posterior"] if smooth else []))
+    schema = f"{_names(df.select(*kept))}, state int, before int" + (", posterior array<double>" if smooth else "")
+    out = rows_with(_meeting(carry, chosen, by)).mapInPandas(paths, schema)
+    return out.select(*kept, "state", F.nullif("before", F.lit(-1)).alias("before"), *(["posterior"] if smooth else []))
 
 
 def _meeting(rows: DataFrame, carry: DataFrame, by: list[str]) -> DataFrame:

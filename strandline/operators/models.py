@@ -133,25 +133,31 @@ def phase_switches(df: DataFrame, by: list[str], order: list[str], parity: str,
 TRIO = np.array([[s >> 2 & 1, s >> 1 & 1, s & 1] for s in range(8)])
 
 
-def trio_states(df: DataFrame, by: list[str], order: list[str], switch: float = 25.0, tile: int = TILE) -> DataFrame:
-    """df with state 0..7 (bits: haplotype from parent 1, from parent 2, child's phasing) and violation. Columns p1, p2, ch: two alleles each, and p1_set, p2_set, ch_set: phase sets, null where unphased. A mismatch costs 1; a switch costs ``switch`` within a phase set, nothing beyond."""
+def trio_states(df: DataFrame, by: list[str], order: list[str], switch: float = 25.0, tile: int = TILE, keep: list[str] | None = None) -> DataFrame:
+    """df with state 0..7 (bits: haplotype from parent 1, from parent 2, child's phasing) and violation. Columns p1, p2, ch: two alleles each, and p1_set, p2_set, ch_set: phase sets, null where unphased. A mismatch costs 1; a switch costs ``switch`` within a phase set, nothing beyond.
+
+    ``keep`` names the columns that come back beside ``by`` and ``order``: all, if not given.
+    """
     sets = ("p1_set", "p2_set", "ch_set")
-    seen = across(df, by, order, {f"__was_{x}": ("lag", F.col(x)) for x in sets}, tile)
-    same = seen.withColumn("__same", F.array(*[F.coalesce(F.col(x) == F.col(f"__was_{x}"), F.lit(False)).cast("double") for x in sets])).drop(*[f"__was_{x}" for x in sets])
-    # alleles by number, so that numpy compares them
+    kept = df.columns if keep is None else list(dict.fromkeys([*by, *order, *keep]))
+    one, two = F.array_intersect("p1", "ch"), F.array_intersect("p2", "ch")
+    both = (F.size(F.array_intersect(one, two)) == 1) & (F.array_sort(F.array_distinct(one)) == F.array_sort(F.array_distinct(two))) & (F.size(F.array_distinct("ch")) == 2)
+    # alleles by number, in one number of six digits, so that numpy compares them and no text is shuffled
     alleles = F.concat("p1", "p2", "ch")
-    same = same.withColumn("__alleles", F.transform(alleles, lambda x: F.array_position(alleles, x)))
+    digits = F.aggregate(F.transform(alleles, lambda x: F.array_position(alleles, x).cast("int")), F.lit(0), lambda n, x: n * 7 + x)
+    own = df.withColumns({"violation": (F.size(one) == 0) | (F.size(two) == 0) | both, "__alleles": digits}).select(*kept, *[x for x in sets if x not in kept], "violation", "__alleles")
+    seen = across(own, by, order, {f"__was_{x}": ("lag", F.col(x)) for x in sets}, tile)
+    same = sum((F.coalesce(F.col(x) == F.col(f"__was_{x}"), F.lit(False)).cast("int") * (1 << i) for i, x in enumerate(sets)), F.lit(0))
+    same = seen.withColumn("__same", same).select(*kept, "violation", "__alleles", "__same")
 
     def score(pdf):
-        a = np.stack(pdf["__alleles"].to_list()).reshape(-1, 3, 2) if len(pdf) else np.empty((0, 3, 2))
+        a = (pdf["__alleles"].to_numpy()[:, None] // 7 ** np.arange(5, -1, -1) % 7).reshape(-1, 3, 2)
         e = -(a[:, 0, :][:, TRIO[:, 0]] != a[:, 2, :][:, TRIO[:, 2]]).astype(float) - (a[:, 1, :][:, TRIO[:, 1]] != a[:, 2, :][:, 1 - TRIO[:, 2]])
         far = np.abs(TRIO[:, None, :] - TRIO[None, :, :])
-        return e, -switch * (far[None] * np.stack(pdf["__same"].to_list())[:, None, None, :]).sum(axis=3)
+        held = pdf["__same"].to_numpy()[:, None] >> np.arange(3) & 1
+        return e, -switch * (far[None] * held[:, None, None, :]).sum(axis=3, dtype=float)
 
-    one, two = F.array_intersect("p1", "ch"), F.array_intersect("p2", "ch")
-    both = (F.size(F.array_intersect(one, two)) == 1) & (F.array_sort(F.array_distinct(one)) == F.array_sort(F.array_distinct(two))) & (F.size(F.array_distinct("ch")) == 2)
-    out = decoded(same, by, order, tile, 8, score, np.zeros(8)).select(*df.columns, "state")
-    return out.withColumn("violation", (F.size(one) == 0) | (F.size(two) == 0) | both)
+    return decoded(same, by, order, tile, 8, score, np.zeros(8)).select(*kept, "state", "violation")
 
 
 def haplotype_posterior(calls: DataFrame, by: list[str], mixed_prior: float = 0.01) -> DataFrame:

@@ -76,7 +76,7 @@ def trio_states(spark, sf):
     pick = lambda a, b: F.array(code(F.col("l_partkey"), 1, a), code(F.col("l_partkey"), 1, b))
     phase = lambda m: F.when(F.col("l_linenumber") % m != 0, F.floor(F.col("l_orderkey") / 500))
     own = table(spark, sf, "lineitem").select("l_suppkey", ((F.col("l_orderkey") * 1000000 + F.col("l_partkey")) * 10 + F.col("l_linenumber")).alias("id"), pick("a", "b").alias("p1"), pick("c", "d").alias("p2"), pick("a", "c").alias("ch"), phase(3).alias("p1_set"), phase(4).alias("p2_set"), phase(5).alias("ch_set"))
-    return M.trio_states(own, ["l_suppkey"], ["id"], tile=1 << 36).select("l_suppkey", "id", "state", "violation")
+    return M.trio_states(own, ["l_suppkey"], ["id"], tile=1 << 36, keep=[]).select("l_suppkey", "id", "state", "violation")
 
 
 @query("""WITH c AS (SELECT l_orderkey, ln(CASE WHEN l_suppkey % 3 = 0 THEN 0.05 ELSE 0.95 END) AS a, ln(CASE WHEN l_suppkey % 3 = 0 THEN 0.95 ELSE 0.05 END) AS b, ln(0.5) AS m FROM lineitem), s AS (SELECT l_orderkey, sum(a) + ln(0.99 / 2) AS a, sum(b) + ln(0.99 / 2) AS b, sum(m) + ln(0.01) AS m FROM c GROUP BY 1)
