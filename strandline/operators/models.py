@@ -148,7 +148,7 @@ def trio_states(df: DataFrame, by: list[str], order: list[str], switch: float =
     own = df.withColumns({"violation": (F.size(one) == 0) | (F.size(two) == 0) | both, "__alleles": digits}).select(*kept, *[x for x in sets if x not in kept], "violation", "__alleles")
     seen = across(own, by, order, {f"__was_{x}": ("lag", F.col(x)) for x in sets}, tile)
     same = sum((F.coalesce(F.col(x) == F.col(f"__was_{x}"), F.lit(False)).cast("int") * (1 << i) for i, x in enumerate(sets)), F.lit(0))
-    same = seen.withColumn("__same", same).select(*kept, "violation", "__alleles", "__same")
+    same = cut_lineage(seen.withColumn("__same", same).select(*kept, "violation", "__alleles", "__same"))  # three passes read it
 
     def score(pdf):
         a = (pdf["__alleles"].to_numpy()[:, None] // 7 ** np.arange(5, -1, -1) % 7).reshape(-1, 3, 2)

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from strandline.functions.numeric import poisson_tail
-from strandline.operators import fuzzy, graph, matching, models, overlap
+from strandline.operators import chains, fuzzy, graph, matching, models, overlap
 
 
 def joined_rows(df):
@@ -98,3 +98,12 @@ def test_coalesced_keys_without_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(overlap, "components", lambda edges: (seen.append(edges.count()), graph.components(edges))[1])
     assert len({x.cluster for x in overlap.coalesced(alike, "k", "b", 1e-3, 1).collect()}) == 6
     assert max(seen) < 1500  # 7,350 pairs are alike
+
+
+def test_chains_hold_a_row_a_tile(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(chains, "cut_lineage", lambda df: (held.append(df.count()), df)[1])
+    df = spark.range(600).select((F.col("id") % 3).alias("g"), "id", (F.xxhash64("id") % 2).alias("x"))
+    score = lambda pdf: (np.where(pdf["x"].to_numpy()[:, None] == np.arange(2), 0.0, -1.0), np.where(np.eye(2, dtype=bool), 0.0, -3.0))
+    assert chains.decoded(df, ["g"], ["id"], 100, 2, score, np.zeros(2)).count() == 600
+    assert held and max(held) == 18  # six tiles of three groups
